@@ -1,0 +1,6 @@
+"""The matching rules for one route, one event at a time.
+
+The streaming operator applies these to Spark state; tests apply them to plain
+dictionaries as the independent check of the set-based form.  ``store`` offers
+``best``, ``move`` and ``timetable``/``active``/``early`` mappings.
+"""
