@@ -14,10 +14,6 @@ def epoch_seconds(time: Column) -> Column:
     return gap.cast("decimal(20,6)")
 
 
-def epoch_micros(time: Column) -> Column:
-    return (epoch_seconds(time) * 1000000).cast("bigint")
-
-
 def from_epoch_seconds(seconds: Column) -> Column:
     """Inverse of :func:`epoch_seconds`; digits below a microsecond are cut."""
     cut = F.floor(seconds * 1000000).cast("decimal(20,0)") / 1000000
@@ -33,17 +29,17 @@ def from_iso_text(text: Column) -> Column:
 
 
 def minutes(count: Column | int) -> Column:
-    count = F.lit(count) if isinstance(count, int) else count
-    return F.make_dt_interval(mins=count)
+    # integer times interval is a long multiplication; make_dt_interval works in decimals
+    return (F.lit(count) if isinstance(count, int) else count) * F.expr("INTERVAL '1' MINUTE")
 
 
 def hours(count: Column) -> Column:
-    return F.make_dt_interval(hours=count)
+    return count * F.expr("INTERVAL '1' HOUR")
 
 
-def hour_start(time: Column) -> Column:
-    return time - F.make_dt_interval(mins=F.minute(time), secs=F.date_part(F.lit("SECOND"), time))
+def day_start(time: Column) -> Column:
+    return time.cast("date").cast("timestamp_ntz")
 
 
-def day_start(time: Column) -> Column:
-    return hour_start(time) - F.make_dt_interval(hours=F.hour(time))
+def hour_start(time: Column) -> Column:
+    return day_start(time) + hours(F.hour(time))

@@ -3,9 +3,8 @@
 Two facts make this a relational job.  All active alerts of a route name the
 same travel, the best one, so an alert's content depends on the event alone and
 hardly on the request.  And a departure ends either all active alerts of a route
-(it was the best travel: a *closing* departure) or none.  Closing departures
-therefore cut a route into epochs, and an alert is a request meeting a later
-event of its own epoch.
+(a closing departure) or none, so an alert is a request meeting a later event
+of its own epoch.
 """
 
 from __future__ import annotations
@@ -17,103 +16,69 @@ from pyspark.sql import functions as F
 
 from waycast import schemas as S
 from waycast.operators.chunks import GROUP, ROWS_PER_CHUNK, ChunkedEvents, cut_into_chunks, first_row_of_next_chunk
-from waycast.operators.streams import is_complete, is_update
-from waycast.operators.timeline import best_timeline
+from waycast.operators.streams import is_update
+from waycast.operators.timeline import NO_EPOCH, best_timeline, chunk_openings, is_closing, with_openings
 
 EPOCH = [*S.ROUTE, "epoch"]
-NO_EPOCH = -1
-
-
-def is_closing() -> Column:
-    """The departing travel was the best one at that moment."""
-    return (F.col("kind") == S.DEPARTURE) & (F.col("travel_id") == F.col("before.travel_id"))
 
 
 @dataclass
 class History:
-    """All events with the state of their route just before them.
+    """Requests and timetable events with the state of their route around them.
 
-    ``rows`` has ``best``, the best entry; ``epoch``, the last closing departure,
-    and ``epoch_chunk``, its chunk; ``updated``, the last update; and
-    ``replaced_at``, the next request with the same id; all on the same route.
-    Timetable events keep ``before`` and ``after``.
+    ``requests`` has ``best`` (the entry a request finds), ``epoch`` and
+    ``replaced_at`` (the next request with the same id on the route).
+    ``timeline`` is that of :func:`waycast.operators.timeline.with_openings`.
     """
 
-    rows: DataFrame
+    requests: DataFrame
     timeline: DataFrame
     cut: ChunkedEvents
     openings: DataFrame | None = None
 
-    def requests(self) -> DataFrame:
-        return self.rows.filter(F.col("kind") == S.REQUEST)
-
-
-def _marks(timeline: DataFrame) -> DataFrame:
-    """What later rows of the route need to know about a timetable event."""
-    return timeline.select(
-        "*",
-        F.struct("after").alias("state"),
-        F.when(is_closing(), F.struct("seq", "chunk")).alias("closed"),
-        F.when(is_update(), F.struct("seq", F.col("before.travel_id").alias("last_travel_id"))).alias("updated"),
-    )
-
-
-def _chunk_openings(marks: DataFrame, cut: ChunkedEvents) -> DataFrame:
-    """Per chunk of a cut route, the latest marks left by earlier chunks."""
-    left = cut.cut_only(marks).groupBy(*GROUP).agg(
-        F.max_by("state", "seq").alias("state"),
-        F.max("closed").alias("closed"),
-        F.max("updated").alias("updated"),
-    )
-    earlier = Window.partitionBy(*S.ROUTE).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.chunk_grid().join(left, GROUP, "left")
-        .select(
-            *GROUP, "last_chunk",
-            *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in ("state", "closed", "updated")],
-        )
-        .filter(F.col("chunk") > 0)
-    )
-
 
 def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> History:
-    """Annotate the events.  One shuffle on ``(route, chunk)`` serves every window."""
-    cut = cut_into_chunks(events.filter(is_complete()), rows_per_chunk)
-    timeline = best_timeline(cut)
-    marks = _marks(timeline)
-    requests = cut.events.filter(F.col("kind") == S.REQUEST).select(
-        *GROUP, "last_chunk", "seq", "ts", "kind", "id", F.col("id").alias("request_id")
-    )
+    """Annotate complete events (see :func:`waycast.operators.streams.is_complete`).
+
+    Timetable events shuffle once for their timeline; requests shuffle once, on
+    ``(route, chunk)``, for all their windows.
+    """
+    routed = events.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
+    cut = cut_into_chunks(routed, rows_per_chunk)
+    local = best_timeline(cut)
+    openings = chunk_openings(local, cut) if cut.busy is not None else None
+    timeline = with_openings(local, openings, cut)
+
+    requests = cut.events.filter(F.col("kind") == S.REQUEST).select(*GROUP, "last_chunk", "seq", "ts", "id")
+    marks = timeline.select(*GROUP, "seq", "ts", F.struct(
+        "after", F.when(is_closing(), F.col("seq")).otherwise(F.col("epoch")).alias("epoch")
+    ).alias("state"))
     rows = requests.unionByName(marks, allowMissingColumns=True)
-    openings = None
-    if cut.busy is not None:
-        openings = _chunk_openings(marks, cut)
-        announced = first_row_of_next_chunk(cut.cut_only(requests), [*S.ROUTE, "request_id"], "seq")
-        for extra in (openings, announced):
-            rows = rows.unionByName(extra, allowMissingColumns=True)
-    # an opening row has no seq and sorts first; a row announcing the next chunk sorts last
-    earlier = Window.partitionBy(*GROUP).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    same_request = Window.partitionBy(*GROUP, "request_id").orderBy("seq")
-
-    def latest(column: str) -> Column:
-        return F.last(column, ignorenulls=True).over(earlier)
-
-    annotated = (
-        rows.select(
-            *GROUP, "last_chunk", "seq", "ts", "kind", "id", "travel_id", "before", "after",
-            latest("state").alias("_state"), latest("closed").alias("_closed"),
-            latest("updated").alias("updated"),
-            F.when(F.col("request_id").isNotNull(), F.lead("seq").over(same_request)).alias("replaced_at"),
-        )
-        .filter(F.col("kind").isNotNull())
-        .select(
-            "*", F.col("_state.after").alias("best"),
-            F.coalesce("_closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch"),
-            F.coalesce("_closed.chunk", F.lit(0).cast("bigint")).alias("epoch_chunk"),
-        )
-        .drop("_state", "_closed")
+    if openings is not None:
+        carried = openings.select(*GROUP, F.struct(
+            F.col("o_state.after").alias("after"),
+            F.coalesce("o_closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch"),
+        ).alias("state"))
+        announced = first_row_of_next_chunk(cut.cut_only(requests), [*S.ROUTE, "id"], "seq")
+        rows = rows.unionByName(carried, allowMissingColumns=True).unionByName(
+            announced.withColumn("announced", F.lit(True)), allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("announced", F.lit(None).cast("boolean"))
+    # An opening row has no seq and sorts first; a row announcing the next chunk
+    # sorts last.  Ordering by ts as well keeps the shuffled columns the same for
+    # every user of the result, so that Spark runs that shuffle once.
+    earlier = Window.partitionBy(*GROUP).orderBy("seq", "ts").rowsBetween(Window.unboundedPreceding, -1)
+    same_request = Window.partitionBy(*GROUP, "id").orderBy("seq", "ts")
+    found = rows.select(
+        *GROUP, "seq", "ts", "id", "announced",
+        F.last("state", ignorenulls=True).over(earlier).alias("found"),
+        F.lead("seq").over(same_request).alias("replaced_at"),
+    ).filter(F.col("id").isNotNull() & F.col("announced").isNull())
+    requests = found.select(
+        *GROUP, "seq", "ts", "id", "replaced_at", F.col("found.after").alias("best"),
+        F.coalesce("found.epoch", F.lit(NO_EPOCH).cast("bigint")).alias("epoch"),
     )
-    return History(annotated, timeline, cut, openings)
+    return History(requests, timeline, cut, openings)
 
 
 def _long_epochs(history: History) -> DataFrame:
@@ -123,7 +88,7 @@ def _long_epochs(history: History) -> DataFrame:
     as busy chunks.
     """
     return history.openings.groupBy(
-        *S.ROUTE, F.coalesce("closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch")
+        *S.ROUTE, F.coalesce("o_closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch")
     ).agg(F.max("chunk").alias("ends_in"))
 
 
@@ -136,16 +101,16 @@ def request_event_pairs(history: History, wanted: Column | None = None) -> DataF
     chunks its epoch came from, so a join key never holds more than two chunks.
     """
     chosen = is_update() | is_closing()
-    requests = history.requests().select(*EPOCH, "seq", "id", "replaced_at", "chunk")
-    events = history.rows.filter(chosen if wanted is None else chosen & wanted).select(
+    requests = history.requests.select(*EPOCH, "seq", "id", "replaced_at", "chunk")
+    events = history.timeline.filter(chosen if wanted is None else chosen & wanted).select(
         *EPOCH, "epoch_chunk", "chunk",
         F.col("seq").alias("e_seq"), F.col("ts").alias("e_ts"), F.col("kind").alias("e_kind"),
         F.col("id").alias("e_id"),
         F.when(is_update(), F.col("after")).otherwise(F.col("before")).alias("e_entry"),
         # an update moves everyone off the best travel before it; a departure
         # repeats what the last update did, if the request was there to see it
-        F.when(is_update(), F.col("before.travel_id")).otherwise(F.col("updated.last_travel_id")).alias("e_last"),
-        F.when(~is_update(), F.coalesce("updated.seq", F.lit(NO_EPOCH).cast("bigint"))).alias("e_last_seq"),
+        F.when(is_update(), F.col("before.travel_id")).otherwise(F.col("updated_from")).alias("e_last"),
+        F.when(~is_update(), F.coalesce("updated_at", F.lit(NO_EPOCH).cast("bigint"))).alias("e_last_seq"),
     )
     keys = list(EPOCH)
     if history.cut.busy is not None:
@@ -172,8 +137,8 @@ def _no_text() -> Column:
 
 def immediate_alerts(history: History) -> DataFrame:
     """Requests that find a live travel when they arrive."""
-    return history.requests().filter(F.col("best").isNotNull()).select(
-        "seq", F.col("ts").alias("alert_ts"), F.col("kind").alias("trigger_kind"), "id",
+    return history.requests.filter(F.col("best").isNotNull()).select(
+        "seq", F.col("ts").alias("alert_ts"), F.lit(S.REQUEST).alias("trigger_kind"), "id",
         F.col("best.travel_id").alias("travel_id"), _no_text().alias("last_travel_id"),
         _no_text().alias("update_id"), F.col("best.travel_type").alias("travel_type"), *S.ROUTE,
         F.col("best.departure_time").alias("departure_time"),
@@ -199,10 +164,5 @@ def later_alerts(history: History, wanted: Column | None = None) -> DataFrame:
     )
 
 
-def opens_timetable() -> Column:
-    """An update that finds the timetable empty: it serves the waiting requests."""
-    return is_update() & F.col("before").isNull()
-
-
 def all_alerts(history: History) -> DataFrame:
     return immediate_alerts(history).unionByName(later_alerts(history))

@@ -6,6 +6,9 @@ A running minimum whose members can also leave is the one thing the built-in
 window functions cannot express without pairing every event with every live
 travel, so the ordered pass over one chunk is an Arrow function; Spark
 partitions the work by ``(route, chunk)``.  Requests never pass through it.
+
+A departure of the best travel is a *closing* departure.  Closing departures
+cut a route into epochs; an epoch is named by the closing departure before it.
 """
 
 from __future__ import annotations
@@ -13,45 +16,74 @@ from __future__ import annotations
 import heapq
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waycast import schemas as S
-from waycast.functions import times
 from waycast.operators.chunks import GROUP, ChunkedEvents
 from waycast.operators.streams import is_update
 
 PAYLOAD = ["seq", "ts", "kind", "id", "travel_id", "last_chunk"]
+NO_EPOCH = -1
+
+
+def is_closing() -> Column:
+    """The departing travel was the best one at that moment."""
+    return (F.col("kind") == S.DEPARTURE) & (F.col("travel_id") == F.col("before.travel_id"))
+
+
+def opens_timetable() -> Column:
+    """An update that finds the timetable empty: it serves the waiting requests."""
+    return is_update() & F.col("before").isNull()
 
 
 def best_in_chunk(table: pa.Table) -> pa.Table:
-    """One chunk in, the same rows with ``before`` and ``after`` entries out."""
+    """One chunk in; the same rows with what held around them out.
+
+    Columns added are row numbers turned into values at the end: ``before`` and
+    ``after`` (best entries), ``closed_at`` (last closing departure) and
+    ``updated_at``/``updated_from`` (last update and the travel it moved from).
+    """
     table = table.sort_by("seq")
-    opens = table["entry"].is_valid().to_pylist()
-    travels = table["travel_id"].to_pylist()
-    arrivals = table["rank_time"].to_pylist()
+    entry = table["entry"].combine_chunks()
+    arrivals = pc.struct_field(entry, "arrival_time").cast(pa.int64()).to_pylist()
+    opens = entry.is_valid().to_pylist()
+    carried = table["carried"].to_pylist()
     live: dict[str, int] = {}
     heap: list[tuple[int, str, int]] = []
-    before: list[int | None] = []
-    after: list[int | None] = []
-    best = None
-    for row, travel in enumerate(travels):
+    before, after, closed, updated = [], [], [], []
+    best = last_closing = last_update = None
+    for row, travel in enumerate(table["travel_id"].to_pylist()):
         before.append(best)
+        closed.append(last_closing)
+        updated.append(last_update)
         if opens[row]:
             live[travel] = row
             heapq.heappush(heap, (arrivals[row], travel, row))
+            if not carried[row]:
+                last_update = row
         else:
-            live.pop(travel, None)
+            gone = live.pop(travel, None)
+            if gone is not None and gone == best:
+                last_closing = row
         while heap and live.get(heap[0][1]) != heap[0][2]:
             heapq.heappop(heap)  # replaced or departed since it was pushed
         best = heap[0][2] if heap else None
         after.append(best)
-    entry = table["entry"].combine_chunks()
-    for name, rows in (("before", before), ("after", after)):
-        table = table.append_column(name, entry.take(pa.array(rows, pa.int64())))
-    table = table.filter(pa.compute.invert(table["carried"]))
-    return table.drop_columns(["entry", "rank_time", "carried"])
+    rows = {k: pa.array(v, pa.int64()) for k, v in
+            (("before", before), ("after", after), ("closed", closed), ("updated", updated))}
+    seq = table["seq"]
+    best_before = entry.take(rows["before"])
+    table = (
+        table.append_column("before", best_before)
+        .append_column("after", entry.take(rows["after"]))
+        .append_column("closed_at", seq.take(rows["closed"]))
+        .append_column("updated_at", seq.take(rows["updated"]))
+        .append_column("updated_from", pc.struct_field(best_before, "travel_id").take(rows["updated"]))
+    )
+    return table.filter(pc.invert(table["carried"])).drop_columns(["entry", "carried"])
 
 
 def timetable_events(events: DataFrame) -> DataFrame:
@@ -61,22 +93,63 @@ def timetable_events(events: DataFrame) -> DataFrame:
         F.when(is_update(), F.struct(
             "travel_id", F.col("kind").alias("travel_type"), "departure_time", "arrival_time",
         )).alias("entry"),
-        F.when(is_update(), times.epoch_micros(F.col("arrival_time"))).alias("rank_time"),
         F.lit(False).alias("carried"),
     )
 
 
 def best_timeline(cut: ChunkedEvents) -> DataFrame:
-    """Every timetable event with ``before`` and ``after``, the best entries around it."""
+    """Every timetable event with the best entries around it.
+
+    ``closed_at``, ``updated_at`` and ``updated_from`` are known within the chunk
+    only; :func:`with_openings` completes them.
+    """
     rows = timetable_events(cut.events)
     if cut.busy is not None:
         rows = rows.unionByName(_carried_entries(rows, cut))
     fields = {f.name: f.dataType for f in rows.schema.fields}
-    out = T.StructType(
-        [T.StructField(c, fields[c]) for c in [*GROUP, *PAYLOAD]]
-        + [T.StructField(c, fields["entry"]) for c in ("before", "after")]
+    added = {"before": fields["entry"], "after": fields["entry"], "closed_at": T.LongType(),
+             "updated_at": T.LongType(), "updated_from": T.StringType()}
+    out = T.StructType([T.StructField(c, fields[c]) for c in [*GROUP, *PAYLOAD]]
+                       + [T.StructField(c, t) for c, t in added.items()])
+    timeline = rows.groupBy(*GROUP).applyInArrow(best_in_chunk, out)
+    # Spark cannot know what the function returns.  Stating that routes are set
+    # gives every user of the timeline the same plan, so shuffles above it are shared.
+    return timeline.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
+
+
+def chunk_openings(timeline: DataFrame, cut: ChunkedEvents) -> DataFrame:
+    """Per chunk of a cut route, what its earlier chunks end with."""
+    left = cut.cut_only(timeline).groupBy(*GROUP).agg(
+        F.max_by(F.struct("after"), "seq").alias("o_state"),
+        F.max(F.when(is_closing(), F.struct("seq", "chunk"))).alias("o_closed"),
+        F.max(F.when(is_update(), F.struct("seq", F.col("before.travel_id").alias("moved_from")))).alias("o_updated"),
+    )
+    earlier = Window.partitionBy(*S.ROUTE).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    kept = ["o_state", "o_closed", "o_updated"]
+    return (
+        cut.chunk_grid().join(left, GROUP, "left")
+        .select(*GROUP, "last_chunk", *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in kept])
+        .filter(F.col("chunk") > 0)
+    )
+
+
+def with_openings(timeline: DataFrame, openings: DataFrame | None, cut: ChunkedEvents) -> DataFrame:
+    """Timeline with ``epoch`` and its first chunk; chunk borders bridged."""
+    none = F.lit(NO_EPOCH).cast("bigint")
+    if openings is None:
+        return timeline.select(
+            "*", F.coalesce("closed_at", none).alias("epoch"), F.col("chunk").alias("epoch_chunk")
+        ).drop("closed_at")
+    bridged = timeline.join(cut.hint(openings.drop("last_chunk")), GROUP, "left")
+    return bridged.select(
+        *GROUP, *PAYLOAD, "before", "after",
+        F.coalesce("updated_at", "o_updated.seq").alias("updated_at"),
+        F.when(F.col("updated_at").isNull(), F.col("o_updated.moved_from"))
+        .otherwise(F.col("updated_from")).alias("updated_from"),
+        F.coalesce("closed_at", "o_closed.seq", none).alias("epoch"),
+        F.when(F.col("closed_at").isNotNull(), F.col("chunk"))
+        .otherwise(F.coalesce("o_closed.chunk", F.lit(0).cast("bigint"))).alias("epoch_chunk"),
     )
-    return rows.groupBy(*GROUP).applyInArrow(best_in_chunk, out)
 
 
 def _carried_entries(rows: DataFrame, cut: ChunkedEvents) -> DataFrame:
@@ -90,7 +163,7 @@ def _carried_entries(rows: DataFrame, cut: ChunkedEvents) -> DataFrame:
     open_entries = (
         cut.cut_only(rows)
         .groupBy(*GROUP, "last_chunk", "travel_id")
-        .agg(F.max_by(F.struct("seq", "entry", "rank_time"), "seq").alias("last"))
+        .agg(F.max_by(F.struct("seq", "entry"), "seq").alias("last"))
         .withColumn("touched", F.coalesce(F.lead("chunk").over(by_travel), F.col("last_chunk") + 1))
         .filter(F.col("last.entry").isNotNull())
         .select(*S.ROUTE, "last_chunk", "travel_id", "last.*",
@@ -98,10 +171,10 @@ def _carried_entries(rows: DataFrame, cut: ChunkedEvents) -> DataFrame:
     )
     touched = open_entries.filter(F.col("end") <= F.col("last_chunk")).withColumn("chunk", F.col("end"))
     carried = touched.unionByName(_best_untouched(open_entries, cut), allowMissingColumns=True)
+    no_text = F.lit(None).cast("string")
     return carried.select(
-        *GROUP, "seq", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("string").alias("kind"),
-        F.lit(None).cast("string").alias("id"), "travel_id", "last_chunk", "entry", "rank_time",
-        F.lit(True).alias("carried"),
+        *GROUP, "seq", F.lit(None).cast("timestamp_ntz").alias("ts"), no_text.alias("kind"),
+        no_text.alias("id"), "travel_id", "last_chunk", "entry", F.lit(True).alias("carried"),
     )
 
 
@@ -114,7 +187,7 @@ def _best_untouched(spans: DataFrame, cut: ChunkedEvents) -> DataFrame:
     """
     levels = F.sequence(F.lit(0), F.ceil(F.log2(F.col("last_chunk") + 2)).cast("int"))
 
-    def blocks(level):
+    def blocks(level: Column) -> Column:
         size = F.pow(F.lit(2), level).cast("bigint")
         first, last = F.ceil(F.col("begin") / size), F.floor(F.col("end") / size)
         return F.filter(
@@ -127,11 +200,11 @@ def _best_untouched(spans: DataFrame, cut: ChunkedEvents) -> DataFrame:
 
     best_of_block = (
         spans.filter(F.col("begin") < F.col("end"))
-        .select(*S.ROUTE, "travel_id", "seq", "entry", "rank_time",
+        .select(*S.ROUTE, "travel_id", "seq", "entry",
                 F.explode(F.flatten(F.transform(levels, blocks))).alias("b"))
         .groupBy(*S.ROUTE, "b.level", "b.block")
-        .agg(F.min_by(F.struct("travel_id", "seq", "entry", "rank_time"),
-                      F.struct("rank_time", "travel_id")).alias("best"))
+        .agg(F.min_by(F.struct("travel_id", "seq", "entry"),
+                      F.struct("entry.arrival_time", "travel_id")).alias("best"))
     )
     asked = cut.chunk_grid().select("*", F.explode(levels).alias("level")).withColumn(
         "block", F.floor(F.col("chunk") / F.pow(F.lit(2), F.col("level")))
@@ -139,6 +212,6 @@ def _best_untouched(spans: DataFrame, cut: ChunkedEvents) -> DataFrame:
     found = asked.join(best_of_block, [*S.ROUTE, "level", "block"])
     return (
         found.groupBy(*GROUP, "last_chunk")
-        .agg(F.min_by("best", F.struct("best.rank_time", "best.travel_id")).alias("best"))
+        .agg(F.min_by("best", F.struct("best.entry.arrival_time", "best.travel_id")).alias("best"))
         .select(*GROUP, "last_chunk", "best.*")
     )

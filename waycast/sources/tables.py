@@ -36,8 +36,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def project_events(raw: DataFrame, routes: str = "shared", repeat_ids: bool = False) -> DataFrame:
     """Raw event rows, batch or streaming, as one tagged event frame."""
     departure, arrival = ROUTES[routes]
-    kind = F.create_map(*[F.lit(x) for pair in KIND_OF.items() for x in pair])[F.col("event_type")]
-    k = F.get_json_object("props", "$.k").cast("int")
+    kind = F.lit(None)
+    for event_type, part in KIND_OF.items():
+        kind = F.when(F.col("event_type") == event_type, part).otherwise(kind)
+    k = F.col("k")
     is_request = F.col("kind") == S.REQUEST
 
     def unless_request(column: Column) -> Column:
@@ -52,7 +54,9 @@ def project_events(raw: DataFrame, routes: str = "shared", repeat_ids: bool = Fa
         .select(
             kind.alias("kind"),
             F.col("event_id").alias("seq"),
-            "ts", "user_id", "value", "props",
+            "ts", "user_id", "value",
+            # its own column: Spark then parses the text once for all uses
+            F.get_json_object("props", "$.k").cast("int").alias("k"),
             F.concat(F.lit("S"), F.expr(departure)).alias("departure_location"),
             F.concat(F.lit("S"), F.expr(arrival)).alias("arrival_location"),
         )
