@@ -1,0 +1,82 @@
+"""Load events of any size, one per given row.
+
+The rows bring an integer ``id`` and the time ``now``; everything else is
+arithmetic on the id, so the same rows always give the same events and no
+driver or single task makes them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waycast import schemas as S
+from waycast.functions import keys, times
+
+# Airport codes, in order.
+AIRPORTS = [
+    "ATL", "DFW", "DEN", "ORD", "LAX", "CLT", "MCO", "LAS", "PHX", "MIA",
+    "SEA", "IAH", "JFK", "EWR", "FLL", "MSP", "SFO", "DTW", "BOS", "SLC",
+    "PHL", "BWI", "TPA", "SAN", "LGA", "MDW", "BNA", "IAD", "DCA", "AUS",
+]
+MODULUS = 2147483647
+
+
+def row_ids(spark: SparkSession, rows: int, now: str) -> DataFrame:
+    return spark.range(rows).withColumn("now", F.lit(now).cast("timestamp_ntz"))
+
+
+def draw(salt: int, below: int) -> Column:
+    """A repeatable number below ``below`` out of ``id``."""
+    mixed = (F.col("id") % MODULUS + 1) * 48271 % MODULUS
+    return ((mixed + salt * 7919) * 16807 % MODULUS % below).cast("int")
+
+
+def _route(airports: int) -> list[Column]:
+    codes = F.array(*[F.lit(a) for a in AIRPORTS])
+    departure = F.element_at(codes, draw(1, min(airports, len(AIRPORTS))) + 1)
+    others = F.filter(codes, lambda code: code != departure)
+    arrival = F.element_at(others, draw(2, min(airports, len(AIRPORTS) - 1)) + 1)
+    return [departure.alias("departure_location"), arrival.alias("arrival_location")]
+
+
+def _timed(rows: DataFrame, airports: int, slot: int | None) -> DataFrame:
+    """Rows with route, slot, a departure within the slot's hour and an arrival after it."""
+    slot_column = draw(3, 24) if slot is None else F.lit(slot)
+    placed = rows.select("id", "now", *_route(airports), slot_column.alias("slot"))
+    today = times.day_start(F.col("now")) + times.hours(F.col("slot")) + draw(4, 3600) * F.expr("INTERVAL '1' SECOND")
+    timed = placed.withColumn(
+        "departs", F.when(today < F.col("now"), today + F.expr("INTERVAL '1' DAY")).otherwise(today)
+    )
+    return timed.withColumn(
+        "arrives", F.col("departs") + times.hours(draw(5, 15) + 1) + times.minutes(draw(6, 60))
+    )
+
+
+def _id(prefix: str, unique: bool) -> Column:
+    return F.expr("uuid()") if unique else F.concat(F.lit(prefix), F.col("id"))
+
+
+def updates(rows: DataFrame, kind: str, airports: int = 1, slot: int | None = None, random_ids: bool = False) -> DataFrame:
+    return _timed(rows, airports, slot).select(
+        _id("U", random_ids).alias("update_id"),
+        keys.travel_id("departure_location", "arrival_location", F.col("slot"), F.lit(kind)).alias("travel_id"),
+        *S.ROUTE, F.col("departs").alias("departure_time"), F.col("arrives").alias("arrival_time"),
+        F.col("id").alias("seq"), F.col("now").alias("ts"),
+    )
+
+
+def requests(rows: DataFrame, airports: int = 1, random_ids: bool = False) -> DataFrame:
+    return rows.select(_id("R", random_ids).alias("_id"), *_route(airports), F.col("id").alias("seq"),
+                       F.col("now").alias("ts")).withColumnRenamed("_id", "id")
+
+
+def departures(rows: DataFrame, airports: int = 1, random_ids: bool = False) -> DataFrame:
+    kind = F.when(draw(7, 2) == 0, S.TRAIN).otherwise(S.PLANE)
+    return _timed(rows, airports, None).select(
+        _id("D", random_ids).alias("_id"),
+        keys.travel_id("departure_location", "arrival_location", F.col("slot"), kind).alias("travel_id"),
+        *S.ROUTE, F.col("departs").alias("effective_departure_time"),
+        F.col("arrives").alias("expected_arrival_time"),
+        F.col("id").alias("seq"), F.col("now").alias("ts"),
+    ).withColumnRenamed("_id", "id")
