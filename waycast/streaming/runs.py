@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waycast import schemas as S
@@ -86,3 +87,29 @@ def run_to_end(spark: SparkSession, events: DataFrame, min_lead: int | None = S.
 def read_state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
     """One state variable of a stopped query as a table: ``timetable``, ``active``, ``early`` or ``route``."""
     return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+
+
+def read_timetable(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Entries per route.  Every shard holds them, so the first one is enough."""
+    return read_state(spark, checkpoint, "timetable").filter("key.shard = 0").select(
+        *[F.col(f"key.{c}").alias(c) for c in S.ROUTE], "user_map_value.*"
+    )
+
+
+def read_active(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Active requests with the travel all of their route have."""
+    requests = read_state(spark, checkpoint, "active").select(
+        "key.*", F.col("user_map_key.key").alias("id"), F.col("user_map_value.n").alias("seen")
+    )
+    routes = read_state(spark, checkpoint, "route").select("key.*", "value.*")
+    return requests.join(routes, [*S.ROUTE, "shard"]).select(
+        "id", *S.ROUTE, *S.ENTRY_SCHEMA.fieldNames(),
+        F.when(F.col("seen") < F.col("updates"), F.col("moved_from")).alias("last_travel_id"),
+    )
+
+
+def read_early(spark: SparkSession, checkpoint: str) -> DataFrame:
+    return read_state(spark, checkpoint, "early").select(
+        F.col("user_map_key.key").alias("id"), *[F.col(f"key.{c}").alias(c) for c in S.ROUTE],
+        F.col("user_map_value.n").alias("seq"),
+    )
