@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waycast import schemas as S
 from waycast.functions import times
-from waycast.operators.streams import is_complete
+from waycast.operators.streams import is_complete, is_update
 
 # Field names inside the JSON documents.
 EVENT_FIELDS = {
@@ -82,54 +82,56 @@ def encode_alerts(alerts: DataFrame, key_by: str = "request") -> DataFrame:
     )
 
 
-def _parsed(value: Column, names: set[str], time_names: set[str]) -> tuple[Column, Column]:
-    """The document twice: times as exact decimals, and times as text."""
+def _parsed(names: set[str], time_names: set[str]) -> Column:
+    """The document read twice: times as exact decimals, and times as text.
+
+    A one-element explode: later filters on parsed fields stay behind it, so
+    each record is parsed once and not once per field a filter mentions.
+    """
     plain = ", ".join(f"{n} string" for n in sorted(names - time_names))
     decimals = ", ".join(f"{n} decimal(20,9)" for n in sorted(time_names))
     texts = ", ".join(f"{n} string" for n in sorted(time_names))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    return (
-        F.from_json(value, f"{plain}, {decimals}, _broken string", options),
-        F.from_json(value, texts),
-    )
+    return F.explode(F.array(F.struct(
+        F.from_json("value", f"{plain}, {decimals}, _broken string", options).alias("doc"),
+        F.from_json("value", texts).alias("text"),
+    )))
 
 
-def _time(name: str) -> Column:
-    return F.coalesce(
-        times.from_epoch_seconds(F.col(f"_doc.{name}")), times.from_iso_text(F.col(f"_text.{name}"))
-    )
+def _time(pick) -> Column:
+    """A time field, ``pick`` choosing it out of either reading."""
+    return F.coalesce(times.from_epoch_seconds(pick("_p.doc")), times.from_iso_text(pick("_p.text")))
 
 
 def decode_events(log: DataFrame) -> DataFrame:
     """Log records as events plus ``problem``, null for a usable record."""
     names = {n for fields in EVENT_FIELDS.values() for n in fields.values()}
     time_names = {fields[c] for fields in EVENT_FIELDS.values() for c in TIME_COLUMNS if c in fields}
-    doc, text = _parsed(F.col("value"), names, time_names)
     kind = F.lit(None).cast("string")
     for name in EVENT_FIELDS:
         kind = F.when(F.col("topic") == S.TOPICS[name], name).otherwise(kind)
-    parsed = log.select("topic", "key", "value", "ts", "seq", kind.alias("kind"), doc.alias("_doc"), text.alias("_text"))
-
-    def column(name: str) -> Column:
-        sources = {
-            k: _time(f[name]) if name in TIME_COLUMNS else F.col(f"_doc.{f[name]}")
-            for k, f in EVENT_FIELDS.items() if name in f
-        }
-        picked = F.lit(None).cast("timestamp_ntz" if name in TIME_COLUMNS else "string")
-        for k, source in sources.items():
-            picked = F.when(F.col("kind") == k, source).otherwise(picked)
-        return picked.alias(name)
+    parsed = log.select("topic", "key", "value", kind.alias("kind"), "seq", "ts",
+                        _parsed(names, time_names).alias("_p"))
+    departed = F.col("kind") == S.DEPARTURE
+
+    def time(update_field: str, departure_field: str) -> Column:
+        return _time(lambda doc: F.when(is_update(), F.col(f"{doc}.{update_field}"))
+                     .when(departed, F.col(f"{doc}.{departure_field}")))
 
     decoded = parsed.select(
         "topic", "key", "value", "kind", "seq", "ts",
-        *[column(c) for c in ("id", "departure_location", "arrival_location", "travel_id",
-                              "departure_time", "arrival_time")],
-        F.col("_doc._broken").alias("_broken"),
+        F.when(is_update(), F.col("_p.doc.updateId")).otherwise(F.col("_p.doc.id")).alias("id"),
+        F.col("_p.doc.departureLocation").alias("departure_location"),
+        F.col("_p.doc.arrivalLocation").alias("arrival_location"),
+        F.when(is_update() | departed, F.col("_p.doc.travelId")).alias("travel_id"),
+        time("departureTime", "effectiveDepartureTime").alias("departure_time"),
+        time("arrivalTime", "expectedArrivalTime").alias("arrival_time"),
+        F.col("_p.doc._broken").isNotNull().alias("_broken"),
     )
     problem = (
         F.when(F.col("kind").isNull(), "unknown topic")
         .when(F.col("value").isNull(), "no value")
-        .when(F.col("_broken").isNotNull() & F.col("id").isNull(), "not JSON")
+        .when(F.col("_broken") & F.col("id").isNull(), "not JSON")
         .when(~is_complete(), "incomplete")
     )
     return decoded.withColumn("problem", problem).drop("_broken")
@@ -146,9 +148,9 @@ def rejected(decoded: DataFrame) -> DataFrame:
 def decode_alerts(log: DataFrame) -> DataFrame:
     names = set(ALERT_FIELDS.values())
     time_names = {ALERT_FIELDS[c] for c in TIME_COLUMNS}
-    doc, text = _parsed(F.col("value"), names, time_names)
-    parsed = log.select("key", "ts", "seq", doc.alias("_doc"), text.alias("_text"))
+    parsed = log.select("key", "seq", F.col("ts").alias("alert_ts"), _parsed(names, time_names).alias("_p"))
     return parsed.select(
-        "key", "seq", F.col("ts").alias("alert_ts"),
-        *[(_time(n) if c in TIME_COLUMNS else F.col(f"_doc.{n}")).alias(c) for c, n in ALERT_FIELDS.items()],
+        "key", "seq", "alert_ts",
+        *[(_time(lambda doc, n=n: F.col(f"{doc}.{n}")) if c in TIME_COLUMNS else F.col(f"_p.doc.{n}")).alias(c)
+          for c, n in ALERT_FIELDS.items()],
     )

@@ -333,7 +333,7 @@ def timetable_map(spark, sf_dir):
 
 @query
 def early_request_list(spark, sf_dir):
-    waiting = snapshots.waiting_requests(_history(spark, sf_dir, routes="per_user"))
+    waiting = snapshots.waiting_requests(_history(spark, sf_dir, routes="daily"))
     return timetable.paged_lists(waiting, S.ROUTE, "seq", ["id"], "requests")
 
 
@@ -380,7 +380,7 @@ def alerts_merged(spark, sf_dir):
 @query
 def early_remaining(spark, sf_dir):
     """Requests still waiting when the events end."""
-    return snapshots.waiting_requests(_history(spark, sf_dir, routes="per_user"))
+    return snapshots.waiting_requests(_history(spark, sf_dir, routes="daily"))
 
 
 # Composite questions
@@ -433,7 +433,7 @@ def alerts_changed_only(spark, sf_dir):
 @query
 def state_as_of(spark, sf_dir):
     """Timetable, active and early requests at a point in time."""
-    events = _events(spark, sf_dir, routes="per_user").filter(F.col("ts") <= F.lit(AS_OF).cast("timestamp_ntz"))
+    events = _events(spark, sf_dir, routes="daily").filter(F.col("ts") <= F.lit(AS_OF).cast("timestamp_ntz"))
     history = matching.trace(events)
     parts = [
         ("timetable", timetable.live(events).select(*S.ROUTE, F.col("update_id").alias("item"), "travel_id")),
@@ -480,5 +480,5 @@ def stream_active_state(spark, sf_dir):
 
 @query
 def stream_early_state(spark, sf_dir):
-    _, checkpoint = _streamed(spark, sf_dir, routes="per_user")
+    _, checkpoint = _streamed(spark, sf_dir, routes="daily")
     return runs.read_early(spark, checkpoint)

@@ -13,6 +13,7 @@ from waycast.sources.generate import AIRPORTS, MODULUS
 ROUTES = {
     "shared": ("user_id % 25", "user_id % 25 + 1 + (user_id // 25) % 2"),
     "per_user": ("user_id", "user_id + 1"),
+    "daily": ("user_id", "user_id * 100 + day(ts)"),
     "single": ("0", "1"),
 }
 EVENT = "kind, seq, ts, id, departure_location, arrival_location, travel_id, departure_time, arrival_time"
@@ -273,7 +274,7 @@ ORACLES: dict[str, str] = {
     "request_lifetimes": _alerts(f"SELECT seq, id, {ROUTE}, started_at, closed_at, replaced_at FROM lives"),
     "alerts_merged": _alerts(),
     "early_remaining": _alerts(f"""SELECT seq, ts, id, {ROUTE} FROM started
-        WHERE started_at IS NULL AND replaced_at IS NULL""", routes="per_user"),
+        WHERE started_at IS NULL AND replaced_at IS NULL""", routes="daily"),
     "alerts_replay": _alerts(),
     "alerts_replay_repeated_ids": _alerts(repeat_ids=True),
     "alerts_replay_per_user": _alerts(routes="per_user"),
@@ -291,6 +292,6 @@ ORACLES: dict[str, str] = {
           QUALIFY row_number() OVER (PARTITION BY r_seq ORDER BY seq DESC) = 1)
         UNION ALL
         SELECT 'early', {ROUTE}, id, NULL FROM started WHERE started_at IS NULL AND replaced_at IS NULL
-        """, routes="per_user", where=f"ts <= TIMESTAMP '{AS_OF}'"),
+        """, routes="daily", where=f"ts <= TIMESTAMP '{AS_OF}'"),
     "stream_alerts": _alerts(),
 }

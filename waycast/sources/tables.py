@@ -21,10 +21,12 @@ KIND_OF = {
     "purchase": S.DEPARTURE,
 }
 
-# How a user maps to a connection: 50 shared ones, one per user, or a single one.
+# How a row maps to a connection: 50 shared ones, one per user, one per user and
+# day (many short-lived connections), or a single one.
 ROUTES = {
     "shared": ("user_id % 25", "user_id % 25 + 1 + (user_id div 25) % 2"),
     "per_user": ("user_id", "user_id + 1"),
+    "daily": ("user_id", "user_id * 100 + day(ts)"),
     "single": ("user_id % 1", "user_id % 1 + 1"),
 }
 
