@@ -100,7 +100,11 @@ def shard_events(events: DataFrame, shards: int) -> DataFrame:
 
 def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, shards: int = 4,
                  ttl_ms: int | None = None) -> DataFrame:
-    """Alerts of a streaming event frame.  Filters run before the state's shuffle."""
+    """Alerts of a streaming event frame.  Filters run before the state's shuffle.
+
+    ``ttl_ms`` lets state expire.  Spark then runs batches for ever to look for
+    expired state, so such a query needs a periodic trigger, not ``availableNow``.
+    """
     ready = shard_events(apply_lead_time(events, min_lead, as_of), shards)
     return ready.groupBy(*S.ROUTE, "shard").transformWithState(
         MatchRequests(ttl_ms), S.ALERT_SCHEMA, "Append", "None" if ttl_ms is None else "ProcessingTime"
