@@ -91,10 +91,12 @@ def _parsed(names: set[str], time_names: set[str]) -> Column:
     plain = ", ".join(f"{n} string" for n in sorted(names - time_names))
     decimals = ", ".join(f"{n} decimal(20,9)" for n in sorted(time_names))
     texts = ", ".join(f"{n} string" for n in sorted(time_names))
+    # most records hold numbers only and are read once
+    has_text_time = F.col("value").rlike('"(' + "|".join(sorted(time_names)) + r')"\s*:\s*"')
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     return F.explode(F.array(F.struct(
         F.from_json("value", f"{plain}, {decimals}, _broken string", options).alias("doc"),
-        F.from_json("value", texts).alias("text"),
+        F.when(has_text_time, F.from_json("value", texts)).alias("text"),
     )))
 
 

@@ -14,18 +14,18 @@ def epoch_seconds(time: Column) -> Column:
     return gap.cast("decimal(20,6)")
 
 
+def from_epoch_micros(micros: Column) -> Column:
+    return F.expr(_EPOCH_SQL) + micros * F.expr("INTERVAL '0.000001' SECOND")
+
+
 def from_epoch_seconds(seconds: Column) -> Column:
     """Inverse of :func:`epoch_seconds`; digits below a microsecond are cut."""
-    cut = F.floor(seconds * 1000000).cast("decimal(20,0)") / 1000000
-    return F.expr(_EPOCH_SQL) + F.make_dt_interval(secs=cut.cast("decimal(18,6)"))
+    return from_epoch_micros(F.floor(seconds * 1000000).cast("bigint"))
 
 
 def from_iso_text(text: Column) -> Column:
     """ISO-8601 text to UTC; an offset in the text is honoured, null if unreadable."""
-    micros = F.unix_micros(text.try_cast("timestamp"))
-    return F.expr(_EPOCH_SQL) + F.make_dt_interval(
-        secs=(micros.cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
-    )
+    return from_epoch_micros(F.unix_micros(text.try_cast("timestamp")))
 
 
 def minutes(count: Column | int) -> Column:

@@ -66,15 +66,19 @@ def busy_routes(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
     )
 
 
-def cut_into_chunks(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> ChunkedEvents:
+def cut_into_chunks(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK,
+                    count_from: DataFrame | None = None) -> ChunkedEvents:
     """Number the chunks.
 
+    ``count_from`` may hold the same events before a costly filter: the chunks
+    only have to cover ``events``, and counting then reads fewer columns.
+
     One aggregation over route and ``seq`` runs at once, because the plan
     depends on its result: no busy route means no carried state at all, and a
     short list is broadcast.  A list beyond the limit stays distributed and is
     joined by shuffle, where adaptive execution splits the skewed side.
     """
-    busy = busy_routes(events, rows_per_chunk)
+    busy = busy_routes(events if count_from is None else count_from, rows_per_chunk)
     found = busy.take(MAX_BROADCAST_ROWS + 1)
     if not found:
         zero = F.lit(0).cast("bigint")

@@ -37,14 +37,14 @@ class History:
     openings: DataFrame | None = None
 
 
-def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> History:
+def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: DataFrame | None = None) -> History:
     """Annotate complete events (see :func:`waycast.operators.streams.is_complete`).
 
     Timetable events shuffle once for their timeline; requests shuffle once, on
     ``(route, chunk)``, for all their windows.
     """
     routed = events.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
-    cut = cut_into_chunks(routed, rows_per_chunk)
+    cut = cut_into_chunks(routed, rows_per_chunk, count_from)
     local = best_timeline(cut)
     openings = chunk_openings(local, cut) if cut.busy is not None else None
     timeline = with_openings(local, openings, cut)

@@ -104,9 +104,7 @@ def leaves_late_enough(min_lead: int | None = S.MIN_LEAD_MINUTES, as_of: Column
 
 
 def utc_now() -> Column:
-    return times.from_epoch_seconds(
-        (F.unix_micros(F.current_timestamp()).cast("decimal(20,0)") / 1000000).cast("decimal(20,6)")
-    )
+    return times.from_epoch_micros(F.unix_micros(F.current_timestamp()))
 
 
 def apply_lead_time(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of: Column | None = None) -> DataFrame:

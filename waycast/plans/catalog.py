@@ -37,7 +37,8 @@ def _events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str, **options) -> matching.History:
-    return matching.trace(_events(spark, sf_dir, **options))
+    raw = tables.read_events(spark, sf_dir, **options)
+    return matching.trace(streams.apply_lead_time(raw), count_from=raw)
 
 
 def _alerts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:

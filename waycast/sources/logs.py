@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waycast import schemas as S
+from waycast.functions import times
 
 
 def write_log(log: DataFrame, path: str, mode: str = "append") -> str:
@@ -44,9 +45,8 @@ def from_position(log: DataFrame, after_seq: int | None = None, from_time: str |
 
 def stream_broker(spark: SparkSession, servers: str, topics: list[str], starting_offsets: str = "latest",
                   offsets_per_trigger: int = 1_000_000, **options: str) -> DataFrame:
-    """The same columns from a broker.  ``seq`` needs one partition per topic to be a total
-    order; with more, order holds per partition and arrival order decides, as it does for
-    any reader of the topics."""
+    """The same columns from a broker.  Topics promise no order among each other,
+    so ``seq`` is the broker's time and, within a millisecond, the offset."""
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -56,16 +56,12 @@ def stream_broker(spark: SparkSession, servers: str, topics: list[str], starting
         .options(**options)
         .load()
     )
-    micros = F.unix_micros("timestamp")
+    millis = F.unix_millis("timestamp")
     return raw.select(
         "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-        F.expr("timestamp_ntz'1970-01-01 00:00:00'").alias("_zero"), micros.alias("_micros"),
-        F.col("offset").alias("_offset"),
-    ).select(
-        "topic", "key", "value",
-        (F.col("_zero") + F.make_dt_interval(secs=(F.col("_micros") / 1000000).cast("decimal(18,6)"))).alias("ts"),
+        times.from_epoch_micros(millis * 1000).alias("ts"),
         # arrival order across topics: broker time first, then offset
-        (F.col("_micros") * 1000 + F.col("_offset") % 1000).alias("seq"),
+        (millis * 1000000 + F.col("offset") % 1000000).alias("seq"),
     )
 
 
