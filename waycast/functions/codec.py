@@ -82,27 +82,32 @@ def encode_alerts(alerts: DataFrame, key_by: str = "request") -> DataFrame:
     )
 
 
-def _parsed(names: set[str], time_names: set[str]) -> Column:
-    """The document read twice: times as exact decimals, and times as text.
-
-    A one-element explode: later filters on parsed fields stay behind it, so
-    each record is parsed once and not once per field a filter mentions.
-    """
+def _parsed(names: set[str], time_names: set[str]) -> list[Column]:
+    """The document read twice: times as exact decimals, and times as text."""
     plain = ", ".join(f"{n} string" for n in sorted(names - time_names))
     decimals = ", ".join(f"{n} decimal(20,9)" for n in sorted(time_names))
     texts = ", ".join(f"{n} string" for n in sorted(time_names))
     # most records hold numbers only and are read once
     has_text_time = F.col("value").rlike('"(' + "|".join(sorted(time_names)) + r')"\s*:\s*"')
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    return F.explode(F.array(F.struct(
-        F.from_json("value", f"{plain}, {decimals}, _broken string", options).alias("doc"),
-        F.when(has_text_time, F.from_json("value", texts)).alias("text"),
-    )))
+    return [
+        F.from_json("value", f"{plain}, {decimals}, _broken string", options).alias("_doc"),
+        F.when(has_text_time, F.from_json("value", texts)).alias("_text"),
+    ]
+
+
+def _evaluated_once(frame: DataFrame, kept: list[str], fields: list[Column]) -> DataFrame:
+    """``kept`` columns and computed ``fields``.
+
+    A one-element explode: filters on the fields stay behind it, so they see
+    values and do not parse or convert the record again for each mention.
+    """
+    return frame.select(*kept, F.explode(F.array(F.struct(*fields))).alias("_e")).select(*kept, "_e.*")
 
 
 def _time(pick) -> Column:
     """A time field, ``pick`` choosing it out of either reading."""
-    return F.coalesce(times.from_epoch_seconds(pick("_p.doc")), times.from_iso_text(pick("_p.text")))
+    return F.coalesce(times.from_epoch_seconds(pick("_doc")), times.from_iso_text(pick("_text")))
 
 
 def decode_events(log: DataFrame) -> DataFrame:
@@ -112,24 +117,22 @@ def decode_events(log: DataFrame) -> DataFrame:
     kind = F.lit(None).cast("string")
     for name in EVENT_FIELDS:
         kind = F.when(F.col("topic") == S.TOPICS[name], name).otherwise(kind)
-    parsed = log.select("topic", "key", "value", kind.alias("kind"), "seq", "ts",
-                        _parsed(names, time_names).alias("_p"))
+    parsed = log.select("topic", "key", "value", kind.alias("kind"), "seq", "ts", *_parsed(names, time_names))
     departed = F.col("kind") == S.DEPARTURE
 
     def time(update_field: str, departure_field: str) -> Column:
         return _time(lambda doc: F.when(is_update(), F.col(f"{doc}.{update_field}"))
                      .when(departed, F.col(f"{doc}.{departure_field}")))
 
-    decoded = parsed.select(
-        "topic", "key", "value", "kind", "seq", "ts",
-        F.when(is_update(), F.col("_p.doc.updateId")).otherwise(F.col("_p.doc.id")).alias("id"),
-        F.col("_p.doc.departureLocation").alias("departure_location"),
-        F.col("_p.doc.arrivalLocation").alias("arrival_location"),
-        F.when(is_update() | departed, F.col("_p.doc.travelId")).alias("travel_id"),
+    decoded = _evaluated_once(parsed, ["topic", "key", "value", "kind", "seq", "ts"], [
+        F.when(is_update(), F.col("_doc.updateId")).otherwise(F.col("_doc.id")).alias("id"),
+        F.col("_doc.departureLocation").alias("departure_location"),
+        F.col("_doc.arrivalLocation").alias("arrival_location"),
+        F.when(is_update() | departed, F.col("_doc.travelId")).alias("travel_id"),
         time("departureTime", "effectiveDepartureTime").alias("departure_time"),
         time("arrivalTime", "expectedArrivalTime").alias("arrival_time"),
-        F.col("_p.doc._broken").isNotNull().alias("_broken"),
-    )
+        F.col("_doc._broken").isNotNull().alias("_broken"),
+    ])
     problem = (
         F.when(F.col("kind").isNull(), "unknown topic")
         .when(F.col("value").isNull(), "no value")
@@ -150,9 +153,8 @@ def rejected(decoded: DataFrame) -> DataFrame:
 def decode_alerts(log: DataFrame) -> DataFrame:
     names = set(ALERT_FIELDS.values())
     time_names = {ALERT_FIELDS[c] for c in TIME_COLUMNS}
-    parsed = log.select("key", "seq", F.col("ts").alias("alert_ts"), _parsed(names, time_names).alias("_p"))
-    return parsed.select(
-        "key", "seq", "alert_ts",
-        *[(_time(lambda doc, n=n: F.col(f"{doc}.{n}")) if c in TIME_COLUMNS else F.col(f"_p.doc.{n}")).alias(c)
-          for c, n in ALERT_FIELDS.items()],
-    )
+    parsed = log.select("key", "seq", F.col("ts").alias("alert_ts"), *_parsed(names, time_names))
+    return _evaluated_once(parsed, ["key", "seq", "alert_ts"], [
+        (_time(lambda doc, n=n: F.col(f"{doc}.{n}")) if c in TIME_COLUMNS else F.col(f"_doc.{n}")).alias(c)
+        for c, n in ALERT_FIELDS.items()
+    ])
