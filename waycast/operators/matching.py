@@ -18,6 +18,7 @@ from waycast import schemas as S
 from waycast.operators.chunks import GROUP, ROWS_PER_CHUNK, ChunkedEvents, cut_into_chunks, first_row_of_next_chunk
 from waycast.operators.streams import is_update
 from waycast.operators.timeline import NO_EPOCH, best_timeline, chunk_openings, is_closing, with_openings
+from waycast.session import staged
 
 EPOCH = [*S.ROUTE, "epoch"]
 
@@ -45,8 +46,11 @@ def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: D
     """
     routed = events.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
     cut = cut_into_chunks(routed, rows_per_chunk, count_from)
-    local = best_timeline(cut)
-    openings = chunk_openings(local, cut) if cut.busy is not None else None
+    local, openings = best_timeline(cut), None
+    if cut.busy is not None:
+        # read several times below, and a small part of the data: requests are not in it
+        local = staged(local, "timeline")
+        openings = chunk_openings(local, cut)
     timeline = with_openings(local, openings, cut)
 
     requests = cut.events.filter(F.col("kind") == S.REQUEST).select(*GROUP, "last_chunk", "seq", "ts", "id")

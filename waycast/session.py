@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -39,3 +39,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="waycast-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame`` written to the shared folder and read back: computed once, lineage cut."""
+    path = work_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
