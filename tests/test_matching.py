@@ -60,6 +60,15 @@ def test_batch_equals_sequential_replay(spark, seed, rows_per_chunk):
     assert sorted(tuple(r) for r in live.collect()) == left["timetable"]
 
 
+def test_too_many_busy_routes_to_broadcast(spark, monkeypatch):
+    """Beyond the size limit the list of busy routes is joined by shuffle; same alerts."""
+    monkeypatch.setattr("waycast.operators.chunks.MAX_BROADCAST_ROWS", 5)
+    events = random_events(7)
+    cut = cut_into_chunks(frame(spark, events), 3)
+    assert cut.busy is not None and not cut.small
+    assert bag(matching.all_alerts(matching.trace(frame(spark, events), 3))) == Counter(replay(events)[0])
+
+
 def test_one_long_route_in_many_chunks(spark):
     """A single route, as long epochs and long-lived entries cross many chunks."""
     events = random_events(11, routes=1, length=600, arrivals=50, request_ids=300)

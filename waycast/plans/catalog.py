@@ -463,7 +463,9 @@ def stream_alert_sink(spark, sf_dir):
     """A streaming run into the alert log, as JSON records keyed by request."""
     path, checkpoint = work_dir(spark, "alert-log"), work_dir(spark, "state")
     alerts = matcher.match_stream(runs.stream_events(spark, sf_dir))
-    runs.start_alert_log(alerts, path, checkpoint).awaitTermination()
+    runs.start_alert_log(
+        alerts, path, checkpoint, partitions=spark.sparkContext.defaultParallelism
+    ).awaitTermination()
     return spark.read.parquet(path).drop("batch")
 
 

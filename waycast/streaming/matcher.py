@@ -40,8 +40,8 @@ class _MapView:
             self._state.removeKey((key,))
 
     def items(self):
-        # read through before yielding: the rules change the state while they emit
-        return [(key[0], self._unpack(value)) for key, value in self._state.iterator()]
+        # lazily, a busy shard may hold many rows; no rule changes the mapping it walks
+        return ((key[0], self._unpack(value)) for key, value in self._state.iterator())
 
     def clear(self):
         self._state.clear()

@@ -24,10 +24,17 @@ STATE_SETTINGS = {
 
 
 @contextmanager
-def state_settings(spark: SparkSession) -> Iterator[None]:
-    """The settings a stateful query reads when it starts; the session's own come back."""
-    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
-    for name, value in STATE_SETTINGS.items():
+def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """The settings a stateful query reads when it starts; the session's own come back.
+
+    ``partitions`` is the number of state partitions.  It is fixed by the first
+    start of a checkpoint; the number of cores is a good choice.
+    """
+    wanted = dict(STATE_SETTINGS)
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
@@ -36,9 +43,10 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                      partitions: int | None = None) -> StreamingQuery:
     """Alerts to parquet files; file sink and checkpoint make it exactly once."""
-    with state_settings(alerts.sparkSession):
+    with state_settings(alerts.sparkSession, partitions):
         return (
             alerts.writeStream.format("parquet").outputMode("append")
             .option("path", path).option("checkpointLocation", checkpoint)
@@ -47,7 +55,7 @@ def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, trigger: di
 
 
 def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, key_by: str = "request",
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
     """Alerts as JSON log records, one folder per batch.
 
     A batch that is run again after a failure overwrites its own folder, so the
@@ -56,7 +64,7 @@ def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, key_by: str =
     def write(batch: DataFrame, batch_id: int) -> None:
         codec.encode_alerts(batch, key_by).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    with state_settings(alerts.sparkSession):
+    with state_settings(alerts.sparkSession, partitions):
         return (
             alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start()
@@ -79,7 +87,8 @@ def run_to_end(spark: SparkSession, events: DataFrame, min_lead: int | None = S.
                shards: int = 4) -> tuple[DataFrame, str]:
     """Process everything there is; returns the alerts and the checkpoint folder."""
     out, checkpoint = work_dir(spark, "alerts"), work_dir(spark, "state")
-    query = start_alert_files(match_stream(events, min_lead, shards=shards), out, checkpoint)
+    query = start_alert_files(match_stream(events, min_lead, shards=shards), out, checkpoint,
+                              partitions=spark.sparkContext.defaultParallelism)
     query.awaitTermination()
     return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
 
