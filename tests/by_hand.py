@@ -104,3 +104,22 @@ def random_events(seed, routes=40, length=30, arrivals=5, request_ids=7):
             arrives = DAY + timedelta(hours=rng.randint(1, arrivals))
             events.append(event(travel_type, seq, f"u{seq}", dep, arr, travel, DAY, arrives))
     return events
+
+
+def incomplete_events(routes):
+    """Rows that miss something, on routes that are in use; they must not matter."""
+    events, seq = [], 1_000_000
+    for r in range(routes):
+        dep, arr = f"A{r}", f"B{r % 3}"
+        travel = f"{dep}#{arr}#0_TRAIN"
+        for e in (
+            event("TRAIN", 0, "x", dep, arr, travel, DAY, None), event("TRAIN", 0, "x", dep, arr, travel, None, DAY),
+            event("TRAIN", 0, "x", dep, arr, None, DAY, DAY), event("TRAIN", 0, None, dep, arr, travel, DAY, DAY),
+            event("BOAT", 0, "x", dep, arr, travel, DAY, DAY), event("TRAIN", 0, "x", None, arr, travel, DAY, DAY),
+            event("DEPARTURE", 0, "x", dep, arr, None, DAY, DAY), event("DEPARTURE", 0, None, dep, arr, travel, DAY, DAY),
+            event("REQUEST", 0, None, dep, arr), event("REQUEST", 0, "x", dep, None),
+        ):
+            seq += 1
+            e.seq = seq if len(events) % 2 else -seq  # before and after the good ones
+            events.append(e)
+    return events

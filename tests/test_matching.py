@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from by_hand import as_rows, random_events, replay
+from by_hand import as_rows, incomplete_events, random_events, replay
 from pyspark.sql import functions as F
 from scenarios import SCENARIOS, events_of, everything
 
@@ -60,6 +60,13 @@ def test_batch_equals_sequential_replay(spark, seed, rows_per_chunk):
     assert sorted(tuple(r) for r in live.collect()) == left["timetable"]
 
 
+@pytest.mark.parametrize("rows_per_chunk", [250_000, 3])
+def test_incomplete_events_change_nothing(spark, rows_per_chunk):
+    events = random_events(8)
+    history = matching.trace(frame(spark, events + incomplete_events(40)), rows_per_chunk)
+    assert bag(matching.all_alerts(history)) == Counter(replay(events)[0])
+
+
 def test_too_many_busy_routes_to_broadcast(spark, monkeypatch):
     """Beyond the size limit the list of busy routes is joined by shuffle; same alerts."""
     monkeypatch.setattr("waycast.operators.chunks.MAX_BROADCAST_ROWS", 5)

@@ -5,7 +5,7 @@ import time
 from collections import Counter
 
 import pytest
-from by_hand import as_rows, random_events, replay
+from by_hand import as_rows, incomplete_events, random_events, replay
 from scenarios import everything
 
 from waycast import schemas as S
@@ -40,6 +40,8 @@ def test_stream_equals_replay_over_batches(spark, tmp_path, shards):
         e.seq += 10_000
     events = scenario_events + extra
     parts = [events[: len(events) // 3], events[len(events) // 3: 2 * len(events) // 3], events[2 * len(events) // 3:]]
+    junk = incomplete_events(12)
+    parts = [[*part, *junk] for part in parts]
     write_parts(spark, parts, str(tmp_path / "in"))
     alerts, checkpoint = runs.run_to_end(spark, stream(spark, str(tmp_path / "in")), min_lead=None, shards=shards)
     wanted, left = replay(events)

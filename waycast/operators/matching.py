@@ -39,7 +39,7 @@ class History:
 
 
 def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: DataFrame | None = None) -> History:
-    """Annotate complete events (see :func:`waycast.operators.streams.is_complete`).
+    """Annotate events; incomplete ones (``streams.is_complete``) take no part.
 
     Timetable events shuffle once for their timeline; requests shuffle once, on
     ``(route, chunk)``, for all their windows.

@@ -46,7 +46,7 @@ def best_in_chunk(table: pa.Table) -> pa.Table:
     ``after`` (best entries), ``closed_at`` (last closing departure) and
     ``updated_at``/``updated_from`` (last update and the travel it moved from).
     """
-    table = table.sort_by("seq")
+    table = _usable(table).sort_by("seq")
     entry = table["entry"].combine_chunks()
     arrivals = pc.struct_field(entry, "arrival_time").cast(pa.int64()).to_pylist()
     opens = entry.is_valid().to_pylist()
@@ -86,9 +86,17 @@ def best_in_chunk(table: pa.Table) -> pa.Table:
     return table.filter(pc.invert(table["carried"])).drop_columns(["entry", "carried"])
 
 
+def _usable(table: pa.Table) -> pa.Table:
+    """Rows with everything the rules need; see ``streams.is_complete``."""
+    table = table.combine_chunks()
+    timed = pc.and_(*[pc.is_valid(pc.struct_field(table["entry"], c)) for c in ("departure_time", "arrival_time")])
+    named = pc.and_(pc.is_valid(table["travel_id"]), pc.or_(table["carried"], pc.is_valid(table["id"])))
+    return table.filter(pc.and_(named, pc.or_(timed, pc.is_null(table["entry"]))))
+
+
 def timetable_events(events: DataFrame) -> DataFrame:
     """Updates and departures, with the entry an update brings."""
-    return events.filter(F.col("kind") != S.REQUEST).select(
+    return events.filter(F.col("kind").isin(*S.UPDATE_KINDS, S.DEPARTURE)).select(
         *GROUP, *PAYLOAD,
         F.when(is_update(), F.struct(
             "travel_id", F.col("kind").alias("travel_type"), "departure_time", "arrival_time",

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from waycast import schemas as S
-from waycast.operators.streams import apply_lead_time
+from waycast.operators.streams import apply_lead_time, is_complete
 from waycast.streaming.rules import Entry, Route, apply
 
 TEXT_KEY = T.StructType([T.StructField("key", T.StringType())])
@@ -105,7 +105,7 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     ``ttl_ms`` lets state expire.  Spark then runs batches for ever to look for
     expired state, so such a query needs a periodic trigger, not ``availableNow``.
     """
-    ready = shard_events(apply_lead_time(events, min_lead, as_of), shards)
+    ready = shard_events(apply_lead_time(events.filter(is_complete()), min_lead, as_of), shards)
     return ready.groupBy(*S.ROUTE, "shard").transformWithState(
         MatchRequests(ttl_ms), S.ALERT_SCHEMA, "Append", "None" if ttl_ms is None else "ProcessingTime"
     )
