@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waycast.llm import bpe_codec, token_counts
+from waycast.llm import bpe_codec, line_dedup, simhash, token_counts
 from waycast.llm.common import read
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_codec.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.kept(line_dedup.build(docs), docs, digest=True)
+
+
+@query("op9_simhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
