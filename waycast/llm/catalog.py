@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, line_dedup, simhash, token_counts
-from waycast.llm.common import read
+from waycast.llm import bpe_codec, line_dedup, quality, simhash, token_counts, toxicity
+from waycast.llm.common import label_fold, read
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +47,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(label_fold(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (label_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(label_fold(F.col("doc_id"), 3) != 1).select("doc_id", "quality")
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select("doc_id", (label_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
