@@ -4,11 +4,11 @@
    packs about ``BLOCK_BYTES`` of text into one block: the list of the block's
    distinct words and, for each document, the positions of its words in that list.
 2. Word table.  The blocks' words are dealt out by hash; each shard encodes every
-   distinct word once.  Its ids, joined with the id-to-piece table, give what it
-   decodes to.  That table has one row per entry of the vocabulary file, so its
-   size is fixed by the file and the join is a broadcast join.
-3. Join back.  Every block gets the ids of its words by position and puts its
-   documents together.
+   distinct word once.
+3. Join back.  Every block gets the ids of its words by position, joins the ids of
+   each distinct word with the id-to-piece table, and puts its documents together.
+   The piece table has one row per entry of the vocabulary file, so its size is
+   fixed by the file and the join is a broadcast join.
 
 A frequent word is one entry per block, never one row per occurrence, so no word
 can be a hot key.  A block holds ``BLOCK_BYTES`` of text or one document.
@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import types as T
 from waycast.llm.common import arrow, partitions, pieces, slices, texts
 from waycast.llm.token_counts import _byte_level, _calls, encoder
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: More shards than this do not help: a shard of a hundred terabytes still has a few million words.
 MOST_SHARDS = 4096
 
@@ -85,8 +86,8 @@ def decode(rows: DataFrame, file: str, ids: str = "ids") -> DataFrame:
     return rows.join(joined, "_row", "left").select(*names, decoded.alias("decoded"))
 
 
-def _pack(value) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, protocol=5))
+def _pack(value, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(value, protocol=5))
 
 
 def _unpack(data: bytes):
@@ -99,6 +100,16 @@ def _planes(values: np.ndarray) -> list[bytes]:
     return [np.ascontiguousarray(raw[:, i]).tobytes() for i in range(4)]
 
 
+def _pack_words(words: list[str]) -> bytes:
+    return _pack((_planes(np.array([len(w) for w in words], np.uint32)), "".join(words).encode()), 9)
+
+
+def _unpack_words(data: bytes) -> list[str]:
+    lengths, text = _unpack(data)
+    text, ends = text.decode(), np.cumsum(_numbers(lengths)).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def _numbers(planes: list[bytes]) -> np.ndarray:
     return np.ascontiguousarray(np.stack([np.frombuffer(p, np.uint8) for p in planes], 1)).view("<u4").ravel()
 
@@ -121,7 +132,11 @@ def _blocks(docs: DataFrame, text: str, others: list[str]) -> DataFrame:
             with pa.ipc.new_stream(sink, kept.schema) as writer:
                 writer.write_table(kept)
             rest = sink.getvalue().to_pybytes()
-        body = pickle.dumps((_pack(list(places)), _pack((lengths, _planes(np.concatenate(runs)), rest))))
+        at, words = np.concatenate(runs), list(places)
+        order = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")  # frequent words get small numbers
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        body = pickle.dumps((_pack_words([words[i] for i in order.tolist()]), _pack((lengths, _planes(place[at]), rest))))
         return arrow(_BLOCK, block=[hashlib.md5(body).hexdigest()], body=[body])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,43 +155,43 @@ def _blocks(docs: DataFrame, text: str, others: list[str]) -> DataFrame:
     return docs.select(text, *others).mapInArrow(work, schema).repartition(n, "block")
 
 
+def _homes(words: list[str], shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The shard and the places of a list's words in it, for each shard that has any."""
+    home = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint32, len(words)) % shards
+    order = np.argsort(home, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if words else []:
+        yield int(home[at[0]]), at
+
+
 def _words(blocks: DataFrame, shards: int) -> DataFrame:
     """The distinct words of each block, dealt out to shards by a hash of the word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
         for batch in batches:
             for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                words = _unpack(pickle.loads(body)[0])
-                home = np.array([zlib.crc32(w.encode()) for w in words], np.uint32) % shards
-                order = np.argsort(home, kind="stable")
-                borders = np.flatnonzero(np.diff(home[order])) + 1
-                for at in np.split(order, borders) if words else []:
-                    s = int(home[at[0]])
-                    own = _pack(([words[i] for i in at.tolist()], _planes(at)))
-                    yield arrow(_WORDS, shard=[s], block=[block], words=[own])
+                words = _unpack_words(pickle.loads(body)[0])
+                for shard, at in _homes(words, shards):
+                    own = _pack_words([words[i] for i in at.tolist()])
+                    yield arrow(_WORDS, shard=[shard], block=[block], words=[own])
 
     return blocks.mapInArrow(work, "shard int, block string, words binary")
 
 
-def _codes(words: DataFrame, file: str, pieces_of: list[bytes]) -> DataFrame:
-    """The shards' word tables, joined back to each block's list: (block, codes)."""
-    held = words.sparkSession.sparkContext.broadcast(pieces_of)
+def _codes(words: DataFrame, file: str) -> DataFrame:
+    """The ids of each block's words of each shard, from the shard's table: (block, codes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_batch, table, current, piece = encoder(file), {}, None, held.value
+        encode_batch, table, current = encoder(file), {}, None
         for batch in batches:
             for shard, block, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "words")), strict=True):
                 if shard != current:
                     current, table = shard, {}
-                own, at = _unpack(data)
+                own = _unpack_words(data)
                 for call in _calls([w for w in own if w not in table]):
                     table.update(zip(call, (e.ids for e in encode_batch(call)), strict=True))
                 coded = [table[w] for w in own]
-                flat = [i for ids in coded for i in ids]
-                back = [b"".join(map(piece.__getitem__, ids)) for ids in coded]
-                body = at, list(map(len, coded)), _planes(np.array(flat, np.uint32)), list(map(len, back)), b"".join(back)
+                flat = np.array([i for ids in coded for i in ids], np.uint32)
+                body = shard, _planes(np.array(list(map(len, coded)), np.uint32)), _planes(flat)
                 yield arrow(_CODES, block=[block], codes=[_pack(body)])
 
     return words.mapInArrow(work, "block string, codes binary")
@@ -189,12 +204,14 @@ def _encoded(docs: DataFrame, file: str, text: str, results: list, finish) -> Da
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     others = [c for c in docs.columns if c not in (text, *(name for name, _ in results))]
     blocks = _blocks(docs, text, others)
-    dealt = _words(blocks, min(4 * n, MOST_SHARDS)).repartition(n, "shard").sortWithinPartitions("shard")
+    shards = min(n, MOST_SHARDS)
+    dealt = _words(blocks, shards).repartition(n, "shard").sortWithinPartitions("shard")
     table = sorted((r["id"], bytes(r["piece"])) for r in piece_table(spark, file).toLocalIterator())
     pieces_of = [b""] * (table[-1][0] + 1)
     for i, piece in table:
         pieces_of[i] = piece
-    codes = _codes(dealt, file, pieces_of).groupBy("block").agg(F.collect_list("codes").alias("codes"))
+    held = spark.sparkContext.broadcast(pieces_of)
+    codes = _codes(dealt, file).groupBy("block").agg(F.collect_list("codes").alias("codes"))
     whole = blocks.join(codes.hint("shuffle_hash"), "block", "left")
     schema = T.StructType([*docs.select(*others).schema.fields, *(T.StructField(name, kind) for name, kind in results)])
 
@@ -203,7 +220,7 @@ def _encoded(docs: DataFrame, file: str, text: str, results: list, finish) -> Da
             for body, parts in zip(batch.column("body").to_pylist(), batch.column("codes").to_pylist(), strict=True):
                 words, rest = pickle.loads(body)
                 lengths, planes, kept = _unpack(rest)
-                ids, back = _by_place(len(_unpack(words)), parts or [])
+                ids, back = _by_place(_unpack_words(words), shards, parts or [], held.value)
                 ends = np.cumsum(lengths).tolist()
                 at = _numbers(planes).tolist()
                 rows = [finish(b"".join(ids[i] for i in at[e - k : e]), b"".join(back[i] for i in at[e - k : e])) for e, k in zip(ends, lengths, strict=True)]
@@ -220,18 +237,20 @@ def _encoded(docs: DataFrame, file: str, text: str, results: list, finish) -> Da
 _ARROW = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
 
 
-def _by_place(n: int, parts: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+def _by_place(words: list[str], shards: int, parts: list[bytes], pieces_of: list[bytes]) -> tuple[list[bytes], list[bytes]]:
     """Ids (as bytes) and decoded bytes of a block's words, each at the word's place."""
-    ids: list = [None] * n
-    back: list = [None] * n
-    for part in parts:
-        at, n_ids, planes, n_bytes, text = _unpack(part)
-        flat, a, b = _numbers(planes).astype("<u4").tobytes(), 0, 0
-        for i, k, m in zip(_numbers(at).tolist(), n_ids, n_bytes, strict=True):
-            ids[i], back[i] = flat[a : a + 4 * k], text[b : b + m]
-            a, b = a + 4 * k, b + m
-    if None in ids:
-        raise RuntimeError("a block lacks ids of its words: the input gave other rows when it was read again")
+    ids: list = [None] * len(words)
+    back: list = [None] * len(words)
+    by_shard = {shard: (lengths, flat) for shard, lengths, flat in map(_unpack, parts)}
+    for shard, at in _homes(words, shards):
+        if shard not in by_shard:
+            raise RuntimeError("a block lacks ids of its words: the input gave other rows when it was read again")
+        lengths, flat = map(_numbers, by_shard[shard])
+        found = list(map(pieces_of.__getitem__, flat.tolist()))
+        raw, a = flat.astype("<u4").tobytes(), 0
+        for i, k in zip(at.tolist(), lengths.tolist(), strict=True):
+            ids[i], back[i] = raw[4 * a : 4 * (a + k)], b"".join(found[a : a + k])
+            a += k
     return ids, back
 
 
