@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, line_dedup, quality, simhash, token_counts, toxicity
+from waycast.llm import bpe_codec, line_dedup, nearest, quality, secrets, simhash, suffix_dedup, token_counts, toxicity
 from waycast.llm.common import label_fold, read
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").where(label_fold(F.col("doc_id"), 3) != 1).select("doc_id", "quality")
     scored = quality.score(docs, quality.fit(docs, labels))
     return scored.select("doc_id", (label_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op5_nearest")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
+@query("op8_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
