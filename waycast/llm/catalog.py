@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, line_dedup, nearest, quality, secrets, simhash, suffix_dedup, token_counts, toxicity
+from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, quality, secrets, simhash, suffix_dedup, token_counts, toxicity
 from waycast.llm.common import label_fold, read
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +50,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,3 +86,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
