@@ -19,7 +19,7 @@ from waycast.session import build_session
 HEADLINE = [
     "alerts_replay", "alerts_replay_single_route", "alerts_replay_per_user", "alerts_changed_only",
     "alert_scenario_counts", "request_best_match", "departed_alerts", "active_alerts", "request_lifetimes",
-    "best_timeline", "best_per_route", "timetable_latest", "timetable_intervals", "decode_events", "gen_updates",
+    "best_timeline", "best_per_route", "timetable_latest", "timetable_intervals", "decode_events",
 ]
 
 

@@ -1,4 +1,4 @@
-"""JSON, rejects, generators, log and time functions."""
+"""JSON, rejects, log and time functions."""
 
 from collections import Counter
 from datetime import UTC, datetime
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from waycast import schemas as S
 from waycast.functions import codec, keys, times
 from waycast.operators import streams
-from waycast.sources import generate, logs, tables
+from waycast.sources import logs, tables
 
 
 def record(value, topic="trainTimeUpdated", seq=1):
@@ -67,22 +67,6 @@ def test_events_survive_encoding_in_another_zone(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_generated_updates_follow_their_slot(spark):
-    rows = generate.row_ids(spark, 500, "2030-01-01 12:30:00")
-    made = generate.updates(rows, S.PLANE).collect()
-    assert {(r.departure_location, r.arrival_location) for r in made} == {("ATL", "DFW")}
-    now = datetime(2030, 1, 1, 12, 30)
-    for r in made:
-        slot = int(r.travel_id.split("#")[2].split("_")[0])
-        assert r.departure_time.hour == slot and now <= r.departure_time
-        assert 3600 <= (r.arrival_time - r.departure_time).total_seconds() < 16 * 3600
-    assert len({r.travel_id for r in made}) == 24
-    many = generate.requests(rows, airports=30).collect()
-    assert all(r.departure_location != r.arrival_location for r in many)
-    assert len({r.departure_location for r in many}) == 30
-    assert generate.departures(rows, random_ids=True).select("id").distinct().count() == 500
-
-
 def test_log_reads_topics_and_positions(spark, sf_dir, tmp_path):
     events = tables.read_events(spark, sf_dir)
     path = logs.write_log(codec.encode_events(events), str(tmp_path / "log"))

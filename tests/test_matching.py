@@ -10,6 +10,7 @@ from scenarios import SCENARIOS, events_of, everything
 from waycast import schemas as S
 from waycast.operators import matching, snapshots, streams, timetable
 from waycast.operators.chunks import cut_into_chunks
+from waycast.operators.timeline import is_closing, opens_timetable
 from waycast.sources import tables
 from waycast.streaming.rules import DictState, apply
 
@@ -67,13 +68,78 @@ def test_incomplete_events_change_nothing(spark, rows_per_chunk):
     assert bag(matching.all_alerts(history)) == Counter(replay(events)[0])
 
 
-def test_too_many_busy_routes_to_broadcast(spark, monkeypatch):
-    """Beyond the size limit the list of busy routes is joined by shuffle; same alerts."""
-    monkeypatch.setattr("waycast.operators.chunks.MAX_BROADCAST_ROWS", 5)
-    events = random_events(7)
-    cut = cut_into_chunks(frame(spark, events), 3)
-    assert cut.busy is not None and not cut.small
-    assert bag(matching.all_alerts(matching.trace(frame(spark, events), 3))) == Counter(replay(events)[0])
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("shape", ["even", "gaps", "burst", "outlier"])
+def test_no_chunk_is_much_larger_than_asked(spark, shape):
+    """One hot route and some small ones; what ``seq`` looks like makes no difference."""
+    n, limit = 4000, 200
+    place = F.col("id")
+    seq = {
+        "even": place, "gaps": place * 1_000_003 + F.when(place > 2000, 10**15).otherwise(0),
+        "burst": F.when(place < 50, place * 10**12).otherwise(10**15 + place), "outlier": F.when(place == 0, -(10**17)).otherwise(place),
+    }[shape]
+    hot = place % 10 != 0
+    rows = spark.range(n).select(
+        F.lit("REQUEST").alias("kind"), seq.cast("long").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+        F.concat(F.lit("r"), place).alias("id"), F.when(hot, "A").otherwise(F.concat(F.lit("X"), place)).alias("departure_location"),
+        F.lit("B").alias("arrival_location"), F.lit(None).cast("string").alias("travel_id"),
+        F.lit(None).cast("timestamp_ntz").alias("departure_time"), F.lit(None).cast("timestamp_ntz").alias("arrival_time"),
+    )
+    cut = cut_into_chunks(rows, limit)
+    sizes = cut.events.groupBy(*S.ROUTE, "chunk").count().collect()
+    assert sum(r["count"] for r in sizes) == n and max(r["count"] for r in sizes) <= 2 * limit
+    chunks = sorted((r for r in sizes if r.departure_location == "A"), key=lambda r: r.chunk)
+    assert [r.chunk for r in chunks] == list(range(len(chunks))) and len(chunks) > n / limit / 2
+    borders = cut.events.filter("departure_location = 'A'").groupBy("chunk").agg(F.min("seq").alias("a"), F.max("seq").alias("b")).orderBy("chunk").collect()
+    assert all(x.b < y.a for x, y in zip(borders, borders[1:], strict=False))
+
+
+def test_cut_routes_are_never_joined_on_the_bare_route(spark, monkeypatch):
+    monkeypatch.setattr("waycast.operators.chunks.ROWS_PER_FILE", 10)
+    history = matching.trace(frame(spark, random_events(7)), 40)
+    assert history.cut.is_cut
+    for df in (matching.all_alerts(history), timetable.intervals(history.cut)):
+        for line in plan_of(df).splitlines():
+            if "Join " in line:
+                assert any(name in line for name in ("chunk", "_range", "epoch", "level")), line
+    assert bag(matching.all_alerts(history)) == Counter(replay(random_events(7))[0])
+
+
+def test_one_event_per_epoch_joins_give_the_same(spark):
+    events = random_events(12)
+    for rows in (250_000, 30):
+        history = matching.trace(frame(spark, events), rows)
+        for wanted in (is_closing(), opens_timetable()):
+            assert bag(matching.later_alerts(history, wanted, one_each=True)) == bag(matching.later_alerts(history, wanted))
+
+
+def test_timeline_streams_over_batches(spark):
+    """Chunks that run over many Arrow batches keep what is open between them."""
+    events = random_events(13, routes=3, length=200)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert bag(matching.all_alerts(matching.trace(frame(spark, events)))) == Counter(replay(events)[0])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_incomplete_events_are_no_timetable_entries(spark):
+    events = random_events(14)
+    junk = incomplete_events(40)
+    for e in junk[::5]:
+        e.seq = None
+    clean, mixed = frame(spark, events), frame(spark, events + junk)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(timetable.live(mixed)) == rows(timetable.live(clean))
+    assert rows(timetable.latest(mixed)) == rows(timetable.latest(clean))
+    assert rows(timetable.best_per_route(timetable.live(mixed))) == rows(timetable.best_per_route(timetable.live(clean)))
+    assert rows(timetable.intervals(cut_into_chunks(mixed))) == rows(timetable.intervals(cut_into_chunks(clean)))
+    assert rows(timetable.unmatched_departures(mixed, timetable.intervals(cut_into_chunks(mixed)))) == rows(
+        timetable.unmatched_departures(clean, timetable.intervals(cut_into_chunks(clean))))
 
 
 def test_one_long_route_in_many_chunks(spark):
@@ -128,13 +194,9 @@ def test_known_counts(spark, sf_dir):
     assert matching.all_alerts(matching.trace(repeated)).count() == 521
 
 
-def test_paged_maps_hold_everything(spark):
-    rows = [("A", "B", f"t{i}", i) for i in range(250)] + [("C", "D", "t0", 1)]
+def test_items_have_their_places(spark):
+    rows = [("A", "B", f"t{i:03}", i) for i in range(250)] + [("C", "D", "t0", 1)]
     df = spark.createDataFrame(rows, "departure_location string, arrival_location string, travel_id string, seq long")
-    pages = timetable.paged_maps(df, S.ROUTE, "travel_id", ["seq"], "entries", page_rows=50).collect()
-    assert len([p for p in pages if p.departure_location == "A"]) > 1
-    back = {(p.departure_location, k): v.seq for p in pages for k, v in p["entries"].items()}
-    assert back == {(r[0], r[2]): r[3] for r in rows}
-    lists = timetable.paged_lists(df, S.ROUTE, "seq", ["travel_id"], "entries", page_rows=50).collect()
-    assert sorted((p.departure_location, e.seq, e.travel_id) for p in lists for e in p["entries"]) == sorted(
-        (r[0], r[3], r[2]) for r in rows)
+    got = timetable.as_items(df, S.ROUTE, "travel_id", ["seq"]).collect()
+    assert sorted((r.departure_location, r.place, r.seq) for r in got) == sorted(
+        [("A", i + 1, i) for i in range(250)] + [("C", 1, 1)])

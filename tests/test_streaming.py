@@ -5,6 +5,7 @@ import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from by_hand import as_rows, incomplete_events, random_events, replay
 from scenarios import everything
 
@@ -66,17 +67,30 @@ def test_restart_in_the_middle_loses_and_repeats_nothing(spark, tmp_path):
     assert bag(spark.read.schema(S.ALERT_SCHEMA).parquet(out)) == Counter(replay(events)[0])
 
 
-def test_alert_log_from_an_event_log(spark, tmp_path, sf_dir):
-    """JSON log in, JSON alerts out, equal to the batch alerts."""
+def test_job_from_log_to_log(spark, tmp_path, sf_dir):
+    """JSON log in, JSON alerts and rejects out, equal to the batch alerts."""
     events = tables.read_events(spark, sf_dir)
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    source, out, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "checkpoint"))
     logs.write_log(codec.encode_events(events), source)
-    decoded = codec.accepted(codec.decode_events(logs.stream_log(spark, source)))
-    runs.start_alert_log(matcher.match_stream(decoded, shards=2), out, checkpoint).awaitTermination()
+    bad = events.limit(3).select(F.lit("departed").alias("topic"), F.lit("k").alias("key"), F.lit("{broken").alias("value"), "ts", "seq")
+    logs.write_log(bad, source)
+    for query in runs.start_job(logs.stream_log(spark, source), out, rejects, checkpoint, shards=2, live=False):
+        query.awaitTermination()
     got = codec.decode_alerts(spark.read.parquet(out)).drop("alert_ts")
     wanted = matching.all_alerts(matching.trace(streams.apply_lead_time(events)))
     wanted = wanted.withColumn("key", wanted["id"]).select(*got.columns)
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, wanted.collect()))
+    assert spark.read.parquet(rejects).count() == 3
+
+
+def test_job_measures_the_lead_time_from_now(spark, tmp_path, sf_dir):
+    events = tables.read_events(spark, sf_dir)
+    source, out, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "rejects", "checkpoint"))
+    logs.write_log(codec.encode_events(events), source)
+    for query in runs.start_job(logs.stream_log(spark, source), out, rejects, checkpoint, shards=2):
+        query.awaitTermination()
+    # every update of the table left long ago, so no request finds a travel
+    assert spark.read.schema(S.LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(out).count() == 0
 
 
 def test_ttl_option_starts(spark, tmp_path):

@@ -1,102 +1,87 @@
-"""Cutting busy routes into time chunks.
-
-Everything stateful here is ordered per route, and one route may hold a third
-of all rows.  A route with more than ``rows_per_chunk`` events is therefore cut
-into consecutive ranges of ``seq``; other routes stay whole.  Work is shuffled
-on ``(route, chunk)``, so no task ever receives a whole busy route, and what a
-chunk must know about the rest of its route arrives as a few extra rows: the
-state left by earlier chunks, or the first row of the next one.
-
-``seq`` is the order of arrival and unique, so a chunk never holds more rows
-than it spans sequence numbers.  A route with a share ``s`` of all rows gets
-chunks of at most ``rows_per_chunk / s`` rows however bursty it is.
+"""Cutting routes into time chunks of a bounded number of rows.
+
+Everything stateful here is ordered per route, and one route may hold a third of
+all rows.  All events are therefore dealt into ranges of ``(route, seq)`` with
+about ``rows_per_chunk`` rows each and written once; Spark finds the borders by
+sampling rows, so gaps, bursts and outliers in ``seq`` do not matter.  A route that
+lies in several ranges is cut there: its ranges are its chunks, numbered from 0.
+All other routes have chunk 0 only.  Later work is shuffled on ``(route, chunk)``,
+and what a chunk must know about the rest of its route arrives as a few extra rows:
+the state left by earlier chunks, or the first row of the next one.
+
+No step joins events on the bare route.  The table of cut routes has at most two
+rows per range and is joined on route and range, a key that holds one range at most.
+
+Incomplete events (``streams.is_complete``) are left out here, once for all users.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waycast.operators.streams import is_complete
 from waycast.schemas import ROUTE
+from waycast.session import staged
 
 ROWS_PER_CHUNK = 250_000
-# Hot-route rows the driver may hold and Spark may broadcast (about 10 MB).
-MAX_BROADCAST_ROWS = 100_000
+# Ranges beyond this number only cost: every task streams its chunk, however long.
+MOST_CHUNKS = 20_000
+ROWS_PER_FILE = 100_000
 
 GROUP = [*ROUTE, "chunk"]
 
 
 @dataclass
 class ChunkedEvents:
-    """Events with ``chunk`` and ``last_chunk``; ``busy`` lists the cut routes."""
+    """Events with ``chunk`` and ``last_chunk``; ``grid`` has a row per chunk of every cut route."""
 
     events: DataFrame
-    busy: DataFrame | None = None
-    small: bool = True
+    grid: DataFrame | None = None
 
-    def hint(self, frame: DataFrame) -> DataFrame:
-        """Broadcast a frame of one row per busy chunk, when their number was checked."""
-        return F.broadcast(frame) if self.small else frame
+    @property
+    def is_cut(self) -> bool:
+        return self.grid is not None
 
     def cut_only(self, frame: DataFrame) -> DataFrame:
         return frame.filter(F.col("last_chunk") > 0)
 
-    def chunk_grid(self) -> DataFrame:
-        """One row per chunk of every cut route."""
-        return self.busy.select(
-            *ROUTE, "last_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), "last_chunk")).alias("chunk")
-        )
-
-
-def busy_routes(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Routes above the limit with the width of their chunks; at most N / limit rows."""
-    return (
-        events.groupBy(*ROUTE)
-        .agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-        .filter(F.col("n") > rows_per_chunk)
-        .select(
-            *ROUTE, "lo",
-            F.ceil((F.col("hi") - F.col("lo") + 1) / F.ceil(F.col("n") / rows_per_chunk)).alias("width"),
-            "hi",
-        )
-        .withColumn("last_chunk", F.expr("(hi - lo) div width"))
-        .drop("hi")
-    )
-
 
 def cut_into_chunks(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK,
                     count_from: DataFrame | None = None) -> ChunkedEvents:
     """Number the chunks.
 
-    ``count_from`` may hold the same events before a costly filter: the chunks
-    only have to cover ``events``, and counting then reads fewer columns.
-
-    One aggregation over route and ``seq`` runs at once, because the plan
-    depends on its result: no busy route means no carried state at all, and a
-    short list is broadcast.  A list beyond the limit stays distributed and is
-    joined by shuffle, where adaptive execution splits the skewed side.
+    Runs at once: a count of the events (of ``count_from``, the same events before a
+    costly filter, if given) and, if they fill more than one range, the write that
+    deals them out.
     """
-    busy = busy_routes(events if count_from is None else count_from, rows_per_chunk)
-    found = busy.take(MAX_BROADCAST_ROWS + 1)
-    if not found:
+    events = events.filter(is_complete())
+    total = (events if count_from is None else count_from).count()
+    if total <= rows_per_chunk:
         zero = F.lit(0).cast("bigint")
         return ChunkedEvents(events.withColumn("chunk", zero).withColumn("last_chunk", zero))
-    small = (
-        len(found) <= MAX_BROADCAST_ROWS
-        and sum(row["last_chunk"] + 1 for row in found) <= MAX_BROADCAST_ROWS
+    ranges = min(math.ceil(1.25 * total / rows_per_chunk), MOST_CHUNKS)
+    files = max(events.sparkSession.sparkContext.defaultParallelism, total // ROWS_PER_FILE)
+    dealt = staged(
+        events.repartitionByRange(ranges, *ROUTE, "seq")
+        .withColumn("_range", F.spark_partition_id().cast("bigint")).coalesce(files), "chunks"
+    )
+    spans = dealt.groupBy(*ROUTE).agg(F.min("_range").alias("_first"), F.max("_range").alias("_last"))
+    grid = staged(
+        spans.filter(F.col("_last") > F.col("_first")).select(
+            *ROUTE, "_first", (F.col("_last") - F.col("_first")).alias("_length"),
+            F.explode(F.sequence("_first", "_last")).alias("_range")), "chunk-grid"
     )
-    if len(found) <= MAX_BROADCAST_ROWS:
-        busy = events.sparkSession.createDataFrame(found, busy.schema)
-    side = F.broadcast(busy) if len(found) <= MAX_BROADCAST_ROWS else busy
-    numbered = (
-        events.join(side.withColumnRenamed("last_chunk", "_last"), ROUTE, "left")
-        .withColumn("chunk", F.coalesce(F.expr("(seq - lo) div width"), F.lit(0).cast("bigint")))
-        .withColumn("last_chunk", F.coalesce("_last", F.lit(0).cast("bigint")))
-        .select(*events.columns, "chunk", "last_chunk")
+    zero = F.lit(0).cast("bigint")
+    numbered = dealt.join(grid, [*ROUTE, "_range"], "left").select(
+        *events.columns, F.coalesce(F.col("_range") - F.col("_first"), zero).alias("chunk"),
+        F.coalesce("_length", zero).alias("last_chunk"),
     )
-    return ChunkedEvents(numbered, busy, small)
+    return ChunkedEvents(numbered, grid.select(
+        *ROUTE, F.col("_length").alias("last_chunk"), (F.col("_range") - F.col("_first")).alias("chunk")))
 
 
 def first_row_of_next_chunk(frame: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -41,13 +41,15 @@ class History:
 def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: DataFrame | None = None) -> History:
     """Annotate events; incomplete ones (``streams.is_complete``) take no part.
 
-    Timetable events shuffle once for their timeline; requests shuffle once, on
-    ``(route, chunk)``, for all their windows.
+    Timetable events are shuffled on ``(route, chunk)`` for their timeline, and
+    requests with the timeline's marks for their windows; alerts shuffle both again
+    on the epoch.  With more events than one chunk holds, everything is shuffled and
+    written once before (``chunks.cut_into_chunks``), and so is the timeline: then
+    this call itself runs jobs, and so does every query built on it.
     """
-    routed = events.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
-    cut = cut_into_chunks(routed, rows_per_chunk, count_from)
+    cut = cut_into_chunks(events, rows_per_chunk, count_from)
     local, openings = best_timeline(cut), None
-    if cut.busy is not None:
+    if cut.is_cut:
         # read several times below, and a small part of the data: requests are not in it
         local = staged(local, "timeline")
         openings = chunk_openings(local, cut)
@@ -61,7 +63,7 @@ def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: D
     if openings is not None:
         carried = openings.select(*GROUP, F.struct(
             F.col("o_state.after").alias("after"),
-            F.coalesce("o_closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch"),
+            _opening_epoch().alias("epoch"),
         ).alias("state"))
         announced = first_row_of_next_chunk(cut.cut_only(requests), [*S.ROUTE, "id"], "seq")
         rows = rows.unionByName(carried, allowMissingColumns=True).unionByName(
@@ -85,24 +87,31 @@ def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: D
     return History(requests, timeline, cut, openings)
 
 
-def _long_epochs(history: History) -> DataFrame:
-    """Epochs of cut routes that reach beyond their first chunk, and where they end.
+def _chunk_ends(history: History) -> DataFrame:
+    """Per chunk of a cut route: the epoch that is open at its end, and the chunk where that one ends."""
+    opening = history.openings.select(*GROUP, _opening_epoch().alias("open_epoch"))
+    return opening.select(
+        *S.ROUTE, (F.col("chunk") - 1).alias("chunk"), "open_epoch",
+        F.max("chunk").over(Window.partitionBy(*S.ROUTE, "open_epoch")).alias("ends_in"),
+    )
 
-    Every chunk border lies inside one epoch, so there are at most as many rows
-    as busy chunks.
-    """
-    return history.openings.groupBy(
-        *S.ROUTE, F.coalesce("o_closed.seq", F.lit(NO_EPOCH).cast("bigint")).alias("epoch")
-    ).agg(F.max("chunk").alias("ends_in"))
 
+def _opening_epoch() -> Column:
+    return F.coalesce("o_closed.seq", F.lit(NO_EPOCH).cast("bigint"))
 
-def request_event_pairs(history: History, wanted: Column | None = None) -> DataFrame:
+
+def request_event_pairs(history: History, wanted: Column | None = None, one_each: bool = False) -> DataFrame:
     """Requests joined with the later events of their epoch.
 
+    ``one_each`` states that at most one wanted event lies in an epoch, as is so for
+    closing departures and for updates that find the timetable empty.  Then requests
+    meet a side with unique keys, each once, and a crowded epoch can be split at run
+    time; no request is repeated for the chunks its epoch covers.
+
     An equi-join on route and epoch, whose result is close to the alerts
     themselves.  An epoch that runs over several chunks is joined chunk by
     chunk: a request visits the chunks its epoch still covers, an event the
-    chunks its epoch came from, so a join key never holds more than two chunks.
+    chunks its epoch came from, so a join key holds the rows of two chunks.
     """
     chosen = is_update() | is_closing()
     requests = history.requests.select(*EPOCH, "seq", "id", "replaced_at", "chunk")
@@ -117,12 +126,12 @@ def request_event_pairs(history: History, wanted: Column | None = None) -> DataF
         F.when(~is_update(), F.coalesce("updated_at", F.lit(NO_EPOCH).cast("bigint"))).alias("e_last_seq"),
     )
     keys = list(EPOCH)
-    if history.cut.busy is not None:
+    if history.cut.is_cut and not one_each:
+        last = F.when(F.col("epoch") == F.col("open_epoch"), F.col("ends_in"))
         requests = (
-            requests.join(history.cut.hint(_long_epochs(history)), EPOCH, "left")
-            .withColumn("event_chunk", F.explode(
-                F.sequence("chunk", F.greatest("chunk", F.coalesce("ends_in", "chunk")))))
-            .withColumnRenamed("chunk", "request_chunk").drop("ends_in")
+            requests.join(_chunk_ends(history), GROUP, "left")
+            .withColumn("event_chunk", F.explode(F.sequence("chunk", F.greatest("chunk", F.coalesce(last, "chunk")))))
+            .withColumnRenamed("chunk", "request_chunk").drop("open_epoch", "ends_in")
         )
         events = events.withColumn("request_chunk", F.explode(F.sequence("epoch_chunk", "chunk")))
         events = events.withColumnRenamed("chunk", "event_chunk")
@@ -150,14 +159,15 @@ def immediate_alerts(history: History) -> DataFrame:
     )
 
 
-def later_alerts(history: History, wanted: Column | None = None) -> DataFrame:
+def later_alerts(history: History, wanted: Column | None = None, one_each: bool = False) -> DataFrame:
     """Alerts set off by updates and closing departures.
 
     ``wanted`` restricts the events, for instance to those with no best entry
-    before them, which serve the requests that were waiting.
+    before them, which serve the requests that were waiting.  For ``one_each`` see
+    :func:`request_event_pairs`.
     """
     departed = F.col("e_kind") == S.DEPARTURE
-    return request_event_pairs(history, wanted).select(
+    return request_event_pairs(history, wanted, one_each).select(
         F.col("e_seq").alias("seq"), F.col("e_ts").alias("alert_ts"), F.col("e_kind").alias("trigger_kind"), "id",
         F.col("e_entry.travel_id").alias("travel_id"),
         F.when(~departed | (F.col("e_last_seq") > F.col("seq")), F.col("e_last")).alias("last_travel_id"),

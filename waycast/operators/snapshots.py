@@ -13,6 +13,7 @@ from waycast import schemas as S
 from waycast.operators.matching import EPOCH, History
 from waycast.operators.streams import is_update
 from waycast.operators.timeline import is_closing, opens_timetable
+from waycast.session import staged
 
 
 def route_states(history: History) -> DataFrame:
@@ -30,10 +31,19 @@ def route_states(history: History) -> DataFrame:
     )
 
 
+def _small_side(frame: DataFrame, history: History, purpose: str) -> DataFrame:
+    """One row per route or epoch, to be joined with requests.
+
+    As a written table it lets Spark split a crowded epoch at run time, which it
+    cannot do when the other side is an aggregation.
+    """
+    return staged(frame, purpose) if history.cut.is_cut else frame
+
+
 def active_alerts(history: History) -> DataFrame:
     """The last alert of every request whose travel has not departed."""
     open_requests = history.requests.filter(F.col("replaced_at").isNull())
-    joined = open_requests.join(route_states(history), EPOCH)
+    joined = open_requests.join(_small_side(route_states(history), history, "route-states"), EPOCH)
     told = F.col("u.seq") > F.col("seq")
     active = joined.filter(F.col("best").isNotNull() | told).select("*", F.coalesce(told, F.lit(False)).alias("told"))
 
@@ -72,7 +82,7 @@ def request_lifetimes(history: History) -> DataFrame:
         F.min(F.when(opens_timetable(), F.col("seq"))).alias("opened_at"),
         F.max(F.when(is_closing(), F.col("seq"))).alias("closed_at"),
     )
-    return history.requests.join(borders, EPOCH, "left").select(
+    return history.requests.join(_small_side(borders, history, "epochs"), EPOCH, "left").select(
         "seq", "id", *S.ROUTE,
         F.when(F.col("best").isNotNull(), F.col("seq")).when(
             F.col("replaced_at").isNull() | (F.col("opened_at") < F.col("replaced_at")), F.col("opened_at")

@@ -4,8 +4,8 @@ The best travel is the least ``(arrival_time, travel_id)`` among entries that
 are live, where an update opens or replaces an entry and a departure closes it.
 A running minimum whose members can also leave is the one thing the built-in
 window functions cannot express without pairing every event with every live
-travel, so the ordered pass over one chunk is an Arrow function; Spark
-partitions the work by ``(route, chunk)``.  Requests never pass through it.
+travel, so the ordered pass is an Arrow function; Spark deals out and sorts the
+rows by ``(route, chunk)`` and ``seq``, and the pass streams through them.  Requests never pass through it.
 
 A departure of the best travel is a *closing* departure.  Closing departures
 cut a route into epochs; an epoch is named by the closing departure before it.
@@ -14,6 +14,7 @@ cut a route into epochs; an epoch is named by the closing departure before it.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +27,7 @@ from waycast.operators.chunks import GROUP, ChunkedEvents
 from waycast.operators.streams import is_update
 
 PAYLOAD = ["seq", "ts", "kind", "id", "travel_id", "last_chunk"]
+ADDED = ["before", "after", "closed_at", "updated_at", "updated_from"]
 NO_EPOCH = -1
 
 
@@ -39,59 +41,79 @@ def opens_timetable() -> Column:
     return is_update() & F.col("before").isNull()
 
 
-def best_in_chunk(table: pa.Table) -> pa.Table:
-    """One chunk in; the same rows with what held around them out.
+class _Live:
+    """The open entries of one chunk while its rows pass; entries are numbers of rows."""
 
-    Columns added are row numbers turned into values at the end: ``before`` and
-    ``after`` (best entries), ``closed_at`` (last closing departure) and
-    ``updated_at``/``updated_from`` (last update and the travel it moved from).
-    """
-    table = _usable(table).sort_by("seq")
-    entry = table["entry"].combine_chunks()
-    arrivals = pc.struct_field(entry, "arrival_time").cast(pa.int64()).to_pylist()
-    opens = entry.is_valid().to_pylist()
-    carried = table["carried"].to_pylist()
-    live: dict[str, int] = {}
-    heap: list[tuple[int, str, int]] = []
-    before, after, closed, updated = [], [], [], []
-    best = last_closing = last_update = None
-    for row, travel in enumerate(table["travel_id"].to_pylist()):
-        before.append(best)
-        closed.append(last_closing)
-        updated.append(last_update)
-        if opens[row]:
-            live[travel] = row
-            heapq.heappush(heap, (arrivals[row], travel, row))
-            if not carried[row]:
-                last_update = row
-        else:
-            gone = live.pop(travel, None)
-            if gone is not None and gone == best:
-                last_closing = row
-        while heap and live.get(heap[0][1]) != heap[0][2]:
-            heapq.heappop(heap)  # replaced or departed since it was pushed
-        best = heap[0][2] if heap else None
-        after.append(best)
-    rows = {k: pa.array(v, pa.int64()) for k, v in
-            (("before", before), ("after", after), ("closed", closed), ("updated", updated))}
-    seq = table["seq"]
-    best_before = entry.take(rows["before"])
-    table = (
-        table.append_column("before", best_before)
-        .append_column("after", entry.take(rows["after"]))
-        .append_column("closed_at", seq.take(rows["closed"]))
-        .append_column("updated_at", seq.take(rows["updated"]))
-        .append_column("updated_from", pc.struct_field(best_before, "travel_id").take(rows["updated"]))
-    )
-    return table.filter(pc.invert(table["carried"])).drop_columns(["entry", "carried"])
+    def __init__(self) -> None:
+        self.entries: dict[str, int] = {}
+        self.heap: list[tuple[int, str, int]] = []
+        self.best: tuple[int, str] | None = None  # row and travel
+        self.closed = self.updated = self.moved_from = None
+
+    def open(self, row: int, travel: str, arrival: int) -> None:
+        self.entries[travel] = row
+        heapq.heappush(self.heap, (arrival, travel, row))
+
+    def settle(self) -> None:
+        while self.heap and self.entries.get(self.heap[0][1]) != self.heap[0][2]:
+            heapq.heappop(self.heap)  # replaced or departed since it was pushed
+        self.best = (self.heap[0][2], self.heap[0][1]) if self.heap else None
 
+    def renumber(self) -> list[int]:
+        """The rows of the open entries, which get the numbers 0, 1, ... from now on."""
+        rows = sorted(self.entries.values())
+        place = {row: i for i, row in enumerate(rows)}
+        self.heap = [(a, t, place[r]) for a, t, r in self.heap if self.entries.get(t) == r]
+        self.entries = {t: place[r] for t, r in self.entries.items()}
+        heapq.heapify(self.heap)
+        self.settle()
+        return rows
 
-def _usable(table: pa.Table) -> pa.Table:
-    """Rows with everything the rules need; see ``streams.is_complete``."""
-    table = table.combine_chunks()
-    timed = pc.and_(*[pc.is_valid(pc.struct_field(table["entry"], c)) for c in ("departure_time", "arrival_time")])
-    named = pc.and_(pc.is_valid(table["travel_id"]), pc.or_(table["carried"], pc.is_valid(table["id"])))
-    return table.filter(pc.and_(named, pc.or_(timed, pc.is_null(table["entry"]))))
+
+def best_around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk and ``seq`` in; the same rows with what held around them out.
+
+    Added are ``before`` and ``after`` (best entries), ``closed_at`` (last closing
+    departure) and ``updated_at``/``updated_from`` (last update and the travel it
+    moved from).  A chunk may run over any number of batches; between them only its
+    open entries are kept.
+    """
+    group, live, kept = None, _Live(), None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]).combine_chunks()
+        if not table.num_rows:
+            continue
+        entry = table["entry"].combine_chunks()
+        shift = 0 if kept is None else len(kept)
+        entries = entry if not shift else pa.concat_arrays([kept, entry])
+        arrivals = pc.struct_field(entry, "arrival_time").cast(pa.int64()).to_pylist()
+        opens, carried = entry.is_valid().to_pylist(), table["carried"].to_pylist()
+        seqs, travels = table["seq"].to_pylist(), table["travel_id"].to_pylist()
+        before, after, closed, updated, moved = [], [], [], [], []
+        for i, key in enumerate(zip(*(table[c].to_pylist() for c in GROUP), strict=True)):
+            if key != group:
+                group, live = key, _Live()
+            best, travel = live.best, travels[i]
+            before.append(best and best[0])
+            closed.append(live.closed)
+            updated.append(live.updated)
+            moved.append(live.moved_from)
+            if opens[i]:
+                live.open(shift + i, travel, arrivals[i])
+                if not carried[i]:
+                    live.updated, live.moved_from = seqs[i], best and best[1]
+            elif live.entries.pop(travel, None) is not None and best and best[1] == travel:
+                live.closed = seqs[i]
+            live.settle()
+            after.append(live.best and live.best[0])
+        added = [
+            entries.take(pa.array(before, pa.int64())), entries.take(pa.array(after, pa.int64())),
+            pa.array(closed, pa.int64()), pa.array(updated, pa.int64()), pa.array(moved, pa.string()),
+        ]
+        names = [*GROUP, *PAYLOAD]
+        done = pa.Table.from_arrays([*(table[c] for c in names), *added], names=[*names, *ADDED])
+        yield from done.filter(pc.invert(table["carried"])).to_batches()
+        kept = entries.take(pa.array(live.renumber(), pa.int64()))
 
 
 def timetable_events(events: DataFrame) -> DataFrame:
@@ -112,14 +134,13 @@ def best_timeline(cut: ChunkedEvents) -> DataFrame:
     only; :func:`with_openings` completes them.
     """
     rows = timetable_events(cut.events)
-    if cut.busy is not None:
+    if cut.is_cut:
         rows = rows.unionByName(_carried_entries(rows, cut))
     fields = {f.name: f.dataType for f in rows.schema.fields}
-    added = {"before": fields["entry"], "after": fields["entry"], "closed_at": T.LongType(),
-             "updated_at": T.LongType(), "updated_from": T.StringType()}
+    kinds = [fields["entry"], fields["entry"], T.LongType(), T.LongType(), T.StringType()]
     out = T.StructType([T.StructField(c, fields[c]) for c in [*GROUP, *PAYLOAD]]
-                       + [T.StructField(c, t) for c, t in added.items()])
-    timeline = rows.groupBy(*GROUP).applyInArrow(best_in_chunk, out)
+                       + [T.StructField(c, t) for c, t in zip(ADDED, kinds, strict=True)])
+    timeline = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "seq").mapInArrow(best_around, out)
     # Spark cannot know what the function returns.  Stating that routes are set
     # gives every user of the timeline the same plan, so shuffles above it are shared.
     return timeline.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())
@@ -135,7 +156,7 @@ def chunk_openings(timeline: DataFrame, cut: ChunkedEvents) -> DataFrame:
     earlier = Window.partitionBy(*S.ROUTE).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     kept = ["o_state", "o_closed", "o_updated"]
     return (
-        cut.chunk_grid().join(left, GROUP, "left")
+        cut.grid.join(left, GROUP, "left")
         .select(*GROUP, "last_chunk", *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in kept])
         .filter(F.col("chunk") > 0)
     )
@@ -148,7 +169,7 @@ def with_openings(timeline: DataFrame, openings: DataFrame | None, cut: ChunkedE
         return timeline.select(
             "*", F.coalesce("closed_at", none).alias("epoch"), F.col("chunk").alias("epoch_chunk")
         ).drop("closed_at")
-    bridged = timeline.join(cut.hint(openings.drop("last_chunk")), GROUP, "left")
+    bridged = timeline.join(openings.drop("last_chunk"), GROUP, "left")
     return bridged.select(
         *GROUP, *PAYLOAD, "before", "after",
         F.coalesce("updated_at", "o_updated.seq").alias("updated_at"),
@@ -214,7 +235,7 @@ def _best_untouched(spans: DataFrame, cut: ChunkedEvents) -> DataFrame:
         .agg(F.min_by(F.struct("travel_id", "seq", "entry"),
                       F.struct("entry.arrival_time", "travel_id")).alias("best"))
     )
-    asked = cut.chunk_grid().select("*", F.explode(levels).alias("level")).withColumn(
+    asked = cut.grid.select("*", F.explode(levels).alias("level")).withColumn(
         "block", F.floor(F.col("chunk") / F.pow(F.lit(2), F.col("level")))
     )
     found = asked.join(best_of_block, [*S.ROUTE, "level", "block"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waycast import schemas as S
 from waycast.operators.chunks import GROUP, ChunkedEvents, first_row_of_next_chunk
-from waycast.operators.streams import is_update
+from waycast.operators.streams import is_complete, is_update
 
 TRAVEL = [*S.ROUTE, "travel_id"]
 TIMES = ["departure_time", "arrival_time"]
@@ -23,7 +23,7 @@ def entries(trains: DataFrame, planes: DataFrame) -> DataFrame:
 def latest(events: DataFrame) -> DataFrame:
     """Last update per travel; aggregated before the shuffle."""
     return (
-        events.filter(is_update()).groupBy(*TRAVEL)
+        events.filter(is_complete() & is_update()).groupBy(*TRAVEL)
         .agg(F.max_by(F.struct(F.col("id").alias("update_id"), F.col("kind").alias("travel_type"), *TIMES, "seq"),
                       "seq").alias("u"))
         .select(*TRAVEL, "u.*")
@@ -37,7 +37,7 @@ def live(events: DataFrame) -> DataFrame:
     against later departures would.
     """
     return (
-        events.filter(F.col("kind") != S.REQUEST).groupBy(*TRAVEL)
+        events.filter(is_complete() & (F.col("kind") != S.REQUEST)).groupBy(*TRAVEL)
         .agg(F.max_by(F.struct("kind", F.col("id").alias("update_id"), F.col("kind").alias("travel_type"),
                                *TIMES, "seq"), "seq").alias("u"))
         .filter(F.col("u.kind") != S.DEPARTURE)
@@ -51,7 +51,7 @@ def intervals(cut: ChunkedEvents) -> DataFrame:
     changes = cut.events.filter(F.col("kind") != S.REQUEST).select(
         *GROUP, "last_chunk", "travel_id", "seq", "kind", "id", *TIMES
     )
-    if cut.busy is not None:
+    if cut.is_cut:
         changes = changes.unionByName(
             first_row_of_next_chunk(cut.cut_only(changes), TRAVEL, "seq"), allowMissingColumns=True
         )
@@ -85,34 +85,17 @@ def unmatched_departures(events: DataFrame, valid: DataFrame) -> DataFrame:
     """Departures that end no entry.  ``seq`` is unique, so the join cannot skew."""
     ended = valid.filter(F.col("valid_to").isNotNull()).select(*TRAVEL, F.col("valid_to").alias("seq"))
     return (
-        events.filter(F.col("kind") == S.DEPARTURE)
+        events.filter(is_complete() & (F.col("kind") == S.DEPARTURE))
         .select("seq", "id", *TRAVEL)
         .join(ended, [*TRAVEL, "seq"], "left_anti")
     )
 
 
-def paged_maps(frame: DataFrame, keys: list[str], key: str, value: list[str], name: str, page_rows: int = 1000) -> DataFrame:
-    """Rows of a key as maps from ``key`` to a struct of ``value``.
+def as_items(frame: DataFrame, keys: list[str], order: str, value: list[str]) -> DataFrame:
+    """A map or list per key in rows: the key's columns, the item's place in it (by ``order``), ``order`` and ``value``.
 
-    A key with many rows gets several maps, ``page`` telling them apart, so no
-    task builds one map out of a whole busy key.  Nothing is left out.
+    A key may have any number of items, so they never become one value; the place is
+    counted in a sorted pass, which spills.
     """
-    pages = frame.groupBy(*keys).agg((F.floor(F.count("*") / page_rows) + 1).alias("pages"))
-    return (
-        frame.join(pages, keys)
-        .withColumn("page", F.pmod(F.xxhash64(key), F.col("pages")))
-        .groupBy(*keys, "page")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.col(key).alias("key"), F.struct(*value).alias("value"))))).alias(name))
-    )
-
-
-def paged_lists(frame: DataFrame, keys: list[str], order: str, value: list[str], name: str, page_rows: int = 1000) -> DataFrame:
-    """As :func:`paged_maps`, as lists sorted by ``order``."""
-    pages = frame.groupBy(*keys).agg((F.floor(F.count("*") / page_rows) + 1).alias("pages"))
-    return (
-        frame.join(pages, keys)
-        .withColumn("page", F.pmod(F.xxhash64(order), F.col("pages")))
-        .groupBy(*keys, "page")
-        .agg(F.array_sort(F.collect_list(F.struct(order, *value))).alias(name))
-    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint").alias("place")
+    return frame.select(*keys, place, order, *value)

@@ -16,8 +16,8 @@ from waycast.operators import matching, snapshots, streams, timetable
 from waycast.operators.chunks import cut_into_chunks
 from waycast.operators.timeline import is_closing, opens_timetable
 from waycast.session import work_dir
-from waycast.sources import generate, logs, tables
-from waycast.streaming import matcher, runs
+from waycast.sources import logs, tables
+from waycast.streaming import runs
 
 # Point in time for as-of questions: about half of the events lie before it.
 AS_OF = "2024-01-16 00:00:00"
@@ -32,8 +32,8 @@ def query(function: Query) -> Query:
 
 
 def _events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """Events after the lead-time filter."""
-    return streams.apply_lead_time(tables.read_events(spark, sf_dir, **options))
+    """Complete events after the lead-time filter."""
+    return streams.apply_lead_time(tables.read_events(spark, sf_dir, **options)).filter(streams.is_complete())
 
 
 def _history(spark: SparkSession, sf_dir: str, **options) -> matching.History:
@@ -87,7 +87,7 @@ def src_event_log(spark, sf_dir):
 
 
 @query
-def src_from_latest(spark, sf_dir):
+def src_from_time(spark, sf_dir):
     """The log read from a point in time on."""
     log = codec.encode_events(tables.read_events(spark, sf_dir))
     return logs.from_position(log, from_time=AS_OF).select("topic", "key", "ts", "seq")
@@ -113,27 +113,6 @@ def decode_rejects(spark, sf_dir):
     return codec.rejected(decoded).select("seq", "topic", "problem")
 
 
-def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("now"))
-
-
-@query
-def gen_updates(spark, sf_dir):
-    rows = _seeds(spark, sf_dir)
-    return timetable.entries(generate.updates(rows, S.TRAIN, airports=30),
-                             generate.updates(rows, S.PLANE, airports=30, slot=9))
-
-
-@query
-def gen_requests(spark, sf_dir):
-    return generate.requests(_seeds(spark, sf_dir), airports=30)
-
-
-@query
-def gen_departures(spark, sf_dir):
-    return generate.departures(_seeds(spark, sf_dir), airports=30)
-
-
 # Sinks and keys
 
 @query
@@ -221,9 +200,9 @@ def slot_groups(spark, sf_dir):
 
 @query
 def state_keys(spark, sf_dir):
-    """Key text of an active alert where a travel is given, of an early request otherwise."""
-    immediate = matching.immediate_alerts(_history(spark, sf_dir))
-    return immediate.select(
+    """Per request, the key text of its active alert (null if no travel is given) and of an early request."""
+    requests = _history(spark, sf_dir).requests.select("seq", "id", *S.ROUTE, F.col("best.travel_id").alias("travel_id"))
+    return requests.select(
         "seq", keys.active_alert_key().alias("active_key"), keys.early_request_key().alias("early_key")
     )
 
@@ -258,7 +237,7 @@ def reoptimised_alerts(spark, sf_dir):
 @query
 def early_request_match(spark, sf_dir):
     """Waiting requests served by the first update after them."""
-    return matching.later_alerts(_history(spark, sf_dir, routes="per_user"), opens_timetable())
+    return matching.later_alerts(_history(spark, sf_dir, routes="per_user"), opens_timetable(), one_each=True)
 
 
 @query
@@ -273,7 +252,7 @@ def timetable_after_departures(spark, sf_dir):
 
 @query
 def departed_alerts(spark, sf_dir):
-    return matching.later_alerts(_history(spark, sf_dir), is_closing())
+    return matching.later_alerts(_history(spark, sf_dir), is_closing(), one_each=True)
 
 
 @query
@@ -298,7 +277,7 @@ def route_prefix_scan(spark, sf_dir):
     """
     events = _events(spark, sf_dir)
     wanted = tables.requests(events).groupBy(keys.route_key().alias("route_key")).agg(F.count("*").alias("requests"))
-    found = timetable.latest(events).select(
+    found = timetable.live(events).select(
         F.substring_index("travel_id", "#", 2).alias("route_key"), "travel_id", "update_id", "seq"
     )
     return wanted.join(found, "route_key")
@@ -313,7 +292,7 @@ def best_per_route(spark, sf_dir):
 
 @query
 def best_tie_break(spark, sf_dir):
-    return timetable.tied_for_best(timetable.latest(_events(spark, sf_dir)))
+    return timetable.tied_for_best(timetable.live(_events(spark, sf_dir)))
 
 
 @query
@@ -328,21 +307,24 @@ def timetable_sorted(spark, sf_dir):
 
 @query
 def timetable_map(spark, sf_dir):
-    return timetable.paged_maps(timetable.live(_events(spark, sf_dir)), S.ROUTE, "travel_id",
-                                ["update_id", "travel_type", *timetable.TIMES], "timetable")
+    """The timetable of each route by travel id, one row per item."""
+    return timetable.as_items(timetable.live(_events(spark, sf_dir)), S.ROUTE, "travel_id",
+                              ["update_id", "travel_type", *timetable.TIMES])
 
 
 @query
 def early_request_list(spark, sf_dir):
     waiting = snapshots.waiting_requests(_history(spark, sf_dir, routes="daily"))
-    return timetable.paged_lists(waiting, S.ROUTE, "seq", ["id"], "requests")
+    return timetable.as_items(waiting, S.ROUTE, "seq", ["id"])
 
 
 @query
 def alert_map(spark, sf_dir):
     active = snapshots.active_alerts(_history(spark, sf_dir))
-    return timetable.paged_maps(active, ["travel_id"], "id",
-                                [c for c in S.ALERT_COLUMNS if c not in ("id", "travel_id")], "alerts")
+    # a request id may be active on several routes; its place then follows the sequence number
+    named = active.withColumn("item", F.struct("id", "seq", *S.ROUTE))
+    rows = timetable.as_items(named, ["travel_id"], "item", [c for c in S.ALERT_COLUMNS if c not in ("travel_id",)])
+    return rows.drop("item")
 
 
 @query
@@ -370,12 +352,8 @@ def request_lifetimes(spark, sf_dir):
 
 @query
 def alerts_merged(spark, sf_dir):
-    """The outputs of the four inputs, merged."""
-    history = _history(spark, sf_dir)
-    merged = matching.immediate_alerts(history)
-    for kind in (S.TRAIN, S.PLANE, S.DEPARTURE):
-        merged = merged.unionByName(matching.later_alerts(history, F.col("kind") == kind))
-    return merged
+    """The outputs of the four inputs, merged: one join serves updates and departures alike."""
+    return matching.all_alerts(_history(spark, sf_dir))
 
 
 @query
@@ -448,40 +426,37 @@ def state_as_of(spark, sf_dir):
 
 # Streaming
 
-def _streamed(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, str]:
-    return runs.run_to_end(spark, runs.stream_events(spark, sf_dir, **options))
-
-
 @query
 def stream_alerts(spark, sf_dir):
-    """The replay's alerts, from a streaming run."""
-    return _streamed(spark, sf_dir)[0]
+    """The replay's alerts, from a stream that arrives in parts."""
+    return runs.replay_table(spark, sf_dir)[0]
 
 
 @query
 def stream_alert_sink(spark, sf_dir):
-    """A streaming run into the alert log, as JSON records keyed by request."""
-    path, checkpoint = work_dir(spark, "alert-log"), work_dir(spark, "state")
-    alerts = matcher.match_stream(runs.stream_events(spark, sf_dir))
-    runs.start_alert_log(
-        alerts, path, checkpoint, partitions=spark.sparkContext.defaultParallelism
-    ).awaitTermination()
-    return spark.read.parquet(path).drop("batch")
+    """The whole job: a log of JSON records in, a log of JSON alerts out, read again."""
+    source, path, rejects, checkpoint = (work_dir(spark, n) for n in ("log", "alert-log", "rejects", "state"))
+    cores = spark.sparkContext.defaultParallelism
+    for part in runs.in_parts(codec.encode_events(tables.read_events(spark, sf_dir)), "seq"):
+        logs.write_log(part, source)
+        for run in runs.start_job(logs.stream_log(spark, source), path, rejects, checkpoint, cores, live=False, partitions=cores):
+            run.awaitTermination()
+    return codec.decode_alerts(spark.read.parquet(path).drop("batch"))
 
 
 @query
 def stream_timetable_state(spark, sf_dir):
-    _, checkpoint = _streamed(spark, sf_dir)
+    _, checkpoint = runs.replay_table(spark, sf_dir)
     return runs.read_timetable(spark, checkpoint)
 
 
 @query
 def stream_active_state(spark, sf_dir):
-    _, checkpoint = _streamed(spark, sf_dir)
+    _, checkpoint = runs.replay_table(spark, sf_dir)
     return runs.read_active(spark, checkpoint)
 
 
 @query
 def stream_early_state(spark, sf_dir):
-    _, checkpoint = _streamed(spark, sf_dir, routes="daily")
+    _, checkpoint = runs.replay_table(spark, sf_dir, routes="daily")
     return runs.read_early(spark, checkpoint)

@@ -8,7 +8,6 @@ is fine for checking and for nothing else.
 from __future__ import annotations
 
 from waycast.plans.catalog import AS_OF
-from waycast.sources.generate import AIRPORTS, MODULUS
 
 ROUTES = {
     "shared": ("user_id % 25", "user_id % 25 + 1 + (user_id // 25) % 2"),
@@ -144,31 +143,6 @@ def _alerts(select: str = f"SELECT {ALERT} FROM alerts", **options) -> str:
     return f"WITH {_events(**options)},{_ALERTS}\n{select}"
 
 
-def _draw(salt: int, below: int) -> str:
-    return (f"CAST(((((event_id % {MODULUS} + 1) * 48271) % {MODULUS} + {salt * 7919}) * 16807)"
-            f" % {MODULUS} % {below} AS INTEGER)")
-
-
-def _generated(select: str, slot: str) -> str:
-    codes = "[" + ", ".join(f"'{a}'" for a in AIRPORTS) + "]"
-    return f"""
-SELECT {select} FROM (
-  SELECT *, departs + to_hours({_draw(5, 15)} + 1) + to_minutes({_draw(6, 60)}) AS arrives FROM (
-    SELECT *, CASE WHEN today < ts THEN today + INTERVAL 1 DAY ELSE today END AS departs FROM (
-      SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) + to_hours(slot) + to_seconds({_draw(4, 3600)}) AS today,
-        list_filter({codes}, lambda a: a <> departure_location)[{_draw(2, 29)} + 1] AS arrival_location
-      FROM (
-        SELECT event_id, ts, {slot} AS slot, {codes}[{_draw(1, 30)} + 1] AS departure_location FROM events
-      ))))"""
-
-
-def _generated_updates(kind: str, slot: str) -> str:
-    return _generated(
-        "'U' || event_id AS update_id, departure_location || '#' || arrival_location || '#' || slot || "
-        f"'_{kind}' AS travel_id, {ROUTE}, departs AS departure_time, arrives AS arrival_time, "
-        f"event_id AS seq, ts, '{kind}' AS travel_type", slot)
-
-
 ORACLES: dict[str, str] = {
     "src_plane_updates": _raw(f"SELECT {UPDATE} FROM raw WHERE kind = 'PLANE'"),
     "src_train_updates": _raw(f"SELECT {UPDATE} FROM raw WHERE kind = 'TRAIN'"),
@@ -176,7 +150,7 @@ ORACLES: dict[str, str] = {
     "src_departures": _raw(f"""SELECT id, travel_id, {ROUTE}, departure_time AS effective_departure_time,
         arrival_time AS expected_arrival_time, seq, ts FROM raw WHERE kind = 'DEPARTURE'"""),
     "src_event_log": _raw(f"SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq, departure_location FROM raw"),
-    "src_from_latest": _raw(
+    "src_from_time": _raw(
         f"SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq FROM raw WHERE ts >= TIMESTAMP '{AS_OF}'"),
     "decode_events": _raw(f"SELECT {EVENT} FROM raw"),
     "decode_rejects": """
@@ -184,12 +158,6 @@ ORACLES: dict[str, str] = {
           CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 3
             WHEN 0 THEN 'no value' WHEN 1 THEN 'not JSON' ELSE 'incomplete' END AS problem
         FROM events WHERE event_type = 'error'""",
-    "gen_updates": _generated_updates("TRAIN", _draw(3, 24)) + " UNION ALL " + _generated_updates("PLANE", "9"),
-    "gen_requests": _generated(f"'R' || event_id AS id, {ROUTE}, event_id AS seq, ts", "0"),
-    "gen_departures": _generated(
-        "'D' || event_id AS id, departure_location || '#' || arrival_location || '#' || slot || '_' || "
-        f"CASE WHEN {_draw(7, 2)} = 0 THEN 'TRAIN' ELSE 'PLANE' END AS travel_id, {ROUTE}, "
-        "departs AS effective_departure_time, arrives AS expected_arrival_time, event_id AS seq, ts", _draw(3, 24)),
     "encode_alerts": _alerts(f"""SELECT id AS key, seq, alert_ts, id, travel_id, last_travel_id, update_id, travel_type,
         {ROUTE}, departure_time, arrival_time, reason FROM alerts"""),
     "event_keys": _raw(f"""SELECT seq, kind, {_KEY} AS key,
@@ -215,7 +183,7 @@ ORACLES: dict[str, str] = {
         FROM raw WHERE kind <> 'REQUEST' GROUP BY 1"""),
     "state_keys": _best("""SELECT seq, b_travel || '#' || id AS active_key,
         departure_location || '#' || arrival_location || '#' || id AS early_key
-        FROM seen WHERE kind = 'REQUEST' AND b_seq IS NOT NULL"""),
+        FROM seen WHERE kind = 'REQUEST'"""),
     "lead_time_filter": _raw(f"SELECT {EVENT} FROM ev"),
     "lead_time_dropped": _raw(f"""SELECT {EVENT} FROM raw
         WHERE kind IN ('TRAIN', 'PLANE') AND epoch_us(departure_time) - epoch_us(ts) <= 300000000"""),
@@ -239,12 +207,12 @@ ORACLES: dict[str, str] = {
     "route_prefix_scan": _timetable("""SELECT route_key, requests, travel_id, id AS update_id, seq
         FROM (SELECT departure_location || '#' || arrival_location AS route_key, count(*) AS requests
               FROM ev WHERE kind = 'REQUEST' GROUP BY 1) r
-        JOIN latest l ON starts_with(l.travel_id, r.route_key || '#')"""),
+        JOIN (SELECT * FROM entries WHERE valid_to IS NULL) l ON starts_with(l.travel_id, r.route_key || '#')"""),
     "best_per_route": _timetable(f"""SELECT {ROUTE}, arrival_time, travel_id, kind AS travel_type, departure_time
         FROM entries WHERE valid_to IS NULL
         QUALIFY row_number() OVER (PARTITION BY {ROUTE} ORDER BY arrival_time, travel_id) = 1"""),
     "best_tie_break": _timetable(f"""SELECT {ROUTE}, arrival_time, min(travel_id) AS travel_id, count(*) AS entries
-        FROM (SELECT *, rank() OVER (PARTITION BY {ROUTE} ORDER BY arrival_time) AS place FROM latest)
+        FROM (SELECT *, rank() OVER (PARTITION BY {ROUTE} ORDER BY arrival_time) AS place FROM entries WHERE valid_to IS NULL)
         WHERE place = 1 GROUP BY {ROUTE}, arrival_time"""),
     "timetable_latest": _timetable(f"""SELECT {ROUTE}, travel_id, id AS update_id, kind AS travel_type,
         departure_time, arrival_time, seq FROM latest"""),
@@ -294,4 +262,23 @@ ORACLES: dict[str, str] = {
         SELECT 'early', {ROUTE}, id, NULL FROM started WHERE started_at IS NULL AND replaced_at IS NULL
         """, routes="daily", where=f"ts <= TIMESTAMP '{AS_OF}'"),
     "stream_alerts": _alerts(),
+    "stream_alert_sink": _alerts(f"""SELECT id AS key, seq, alert_ts, id, travel_id, last_travel_id, update_id, travel_type,
+        {ROUTE}, departure_time, arrival_time, reason FROM alerts"""),
+    "stream_timetable_state": _timetable(f"""SELECT {ROUTE}, travel_id, kind AS travel_type, departure_time, arrival_time
+        FROM entries WHERE valid_to IS NULL"""),
+    "stream_active_state": _alerts(f"""SELECT id, {ROUTE}, travel_id, travel_type, departure_time, arrival_time,
+        last_travel_id FROM alerts
+        WHERE r_seq IN (SELECT seq FROM lives WHERE replaced_at IS NULL AND closed_at IS NULL)
+        QUALIFY row_number() OVER (PARTITION BY r_seq ORDER BY seq DESC) = 1"""),
+    "stream_early_state": _alerts(f"""SELECT id, {ROUTE}, seq FROM started
+        WHERE started_at IS NULL AND replaced_at IS NULL""", routes="daily"),
+    "timetable_map": _timetable(f"""SELECT {ROUTE}, row_number() OVER (PARTITION BY {ROUTE} ORDER BY travel_id) AS place,
+        travel_id, id AS update_id, kind AS travel_type, departure_time, arrival_time
+        FROM entries WHERE valid_to IS NULL"""),
+    "early_request_list": _alerts(f"""SELECT {ROUTE}, row_number() OVER (PARTITION BY {ROUTE} ORDER BY seq) AS place,
+        seq, id FROM started WHERE started_at IS NULL AND replaced_at IS NULL""", routes="daily"),
+    "alert_map": _alerts(f"""SELECT row_number() OVER (PARTITION BY travel_id ORDER BY id, seq, {ROUTE}) AS place, * FROM (
+          SELECT {ALERT} FROM alerts
+          WHERE r_seq IN (SELECT seq FROM lives WHERE replaced_at IS NULL AND closed_at IS NULL)
+          QUALIFY row_number() OVER (PARTITION BY r_seq ORDER BY seq DESC) = 1)"""),
 }

@@ -16,9 +16,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from waycast import schemas as S
 from waycast.operators.streams import apply_lead_time, is_complete
-from waycast.streaming.rules import Entry, Route, apply
+from waycast.streaming.rules import Entry, Route, apply, least
 
 TEXT_KEY = T.StructType([T.StructField("key", T.StringType())])
+ALERT = Row(*S.ALERT_COLUMNS)
 COUNTER = T.StructType([T.StructField("n", T.LongType())])
 ROUTE_SCHEMA = T.StructType(
     S.ENTRY_SCHEMA.fields
@@ -39,6 +40,9 @@ class _MapView:
         if self._state.containsKey((key,)):
             self._state.removeKey((key,))
 
+    def __contains__(self, key):
+        return self._state.containsKey((key,))
+
     def items(self):
         # lazily, a busy shard may hold many rows; no rule changes the mapping it walks
         return ((key[0], self._unpack(value)) for key, value in self._state.iterator())
@@ -52,12 +56,12 @@ class MatchRequests(StatefulProcessor):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        expiry = () if self._ttl_ms is None else (self._ttl_ms,)
+
         def map_of(name, schema):
-            if self._ttl_ms is None:
-                return handle.getMapState(name, TEXT_KEY, schema)
-            return handle.getMapState(name, TEXT_KEY, schema, self._ttl_ms)
+            return handle.getMapState(name, TEXT_KEY, schema, *expiry)
 
-        self._stored_route = handle.getValueState("route", ROUTE_SCHEMA)
+        self._stored_route = handle.getValueState("route", ROUTE_SCHEMA, *expiry)
         self.timetable = _MapView(map_of("timetable", S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v))
         self.active = _MapView(map_of("active", COUNTER), lambda n: (n,), lambda v: v[0])
         self.early = _MapView(map_of("early", COUNTER), lambda n: (n,), lambda v: v[0])
@@ -69,6 +73,8 @@ class MatchRequests(StatefulProcessor):
                 self._cached = Route()
             else:
                 best = Entry(*stored[:4]) if stored[0] is not None else None
+                if best and self._ttl_ms is not None and best.travel_id not in self.timetable:
+                    best = least(self)  # the entry has expired since
                 self._cached = Route(best, stored[4], stored[5])
         return self._cached
 
@@ -80,7 +86,7 @@ class MatchRequests(StatefulProcessor):
         self._cached, self._changed = None, False
         for event in sorted(rows, key=lambda row: row.seq):
             for alert in apply(event, self):
-                yield Row(**dict(zip(S.ALERT_COLUMNS, alert)))
+                yield ALERT(*alert)
         if self._changed:
             best = self._cached.best or (None, None, None, None)
             self._stored_route.update((*best, self._cached.updates, self._cached.moved_from))
@@ -98,10 +104,13 @@ def shard_events(events: DataFrame, shards: int) -> DataFrame:
     return events.withColumn("shard", F.explode(F.when(F.col("kind") == S.REQUEST, own).otherwise(everywhere)))
 
 
-def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, shards: int = 4,
+def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, *, shards: int,
                  ttl_ms: int | None = None) -> DataFrame:
     """Alerts of a streaming event frame.  Filters run before the state's shuffle.
 
+    ``shards`` is the number of tasks a single route can use; it is part of the state's
+    key, so a checkpoint keeps the number it was started with.
+
     ``ttl_ms`` lets state expire.  Spark then runs batches for ever to look for
     expired state, so such a query needs a periodic trigger, not ``availableNow``.
     """

@@ -61,7 +61,7 @@ def on_update(event, state) -> Iterator[tuple]:
     if best is None or entry.rank <= best.rank:
         best = entry
     elif entry.travel_id == best.travel_id:  # the best travel got later
-        best = _least(state)
+        best = least(state)
     moved_from = route.best.travel_id if route.best else None
     updates = route.updates + 1
     state.set_route(Route(best, updates, moved_from))
@@ -83,10 +83,10 @@ def on_departure(event, state) -> Iterator[tuple]:
         last_travel = route.moved_from if updates < route.updates else None
         yield _alert(event, request_id, route.best, last_travel, event.id, S.DEPARTED)
     state.active.clear()
-    state.set_route(Route(_least(state), route.updates, route.moved_from))
+    state.set_route(Route(least(state), route.updates, route.moved_from))
 
 
-def _least(state) -> Entry | None:
+def least(state) -> Entry | None:
     return min((entry for _, entry in state.timetable.items()), key=lambda e: e.rank, default=None)
 
 

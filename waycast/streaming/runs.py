@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waycast import schemas as S
 from waycast.functions import codec
+from waycast.operators import streams
 from waycast.session import work_dir
-from waycast.sources.tables import project_events
+from waycast.sources import logs
+from waycast.sources.tables import project_events, read_table
 from waycast.streaming.matcher import match_stream
 
 STATE_SETTINGS = {
@@ -71,25 +73,70 @@ def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, key_by: str =
         )
 
 
-def stream_events(spark: SparkSession, sf_dir: str, routes: str = "shared", repeat_ids: bool = False,
-                  files_per_trigger: int = 1000) -> DataFrame:
-    """The event table as a stream of files."""
-    # a pattern, because the file source takes one file only as the match of a pattern
-    path = f"{sf_dir}/events.parque[t]"
-    raw = (
-        spark.readStream.schema(spark.read.parquet(path).schema)
-        .option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def start_job(log: DataFrame, alerts_path: str, rejects_path: str, checkpoint: str, shards: int,
+              min_lead: int | None = S.MIN_LEAD_MINUTES, as_of: Column | None = None, live: bool = True,
+              trigger: dict | None = None, partitions: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """The whole job on a log of JSON records, from files or a broker: alerts to a log, rejects to files.
+
+    The lead time is measured from now, or from the event's own time if ``live`` is
+    false, which makes replays repeatable.  Returns both running queries.
+    """
+    decoded = codec.decode_events(log)
+    now = streams.utc_now() if as_of is None and live else as_of
+    alerts = match_stream(codec.accepted(decoded), min_lead, now, shards=shards)
+    rejects = (
+        codec.rejected(decoded).writeStream.format("parquet").outputMode("append")
+        .option("path", rejects_path).option("checkpointLocation", f"{checkpoint}/rejects")
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
-    return project_events(raw, routes, repeat_ids)
+    return start_alert_log(alerts, alerts_path, f"{checkpoint}/alerts", trigger=trigger, partitions=partitions), rejects
+
+
+def start_broker_alerts(alerts: DataFrame, servers: str, checkpoint: str, key_by: str = "request",
+                        trigger: dict | None = None, partitions: int | None = None, **options: str) -> StreamingQuery:
+    """Alerts to the broker's topic, with the state settings that the operator needs."""
+    with state_settings(alerts.sparkSession, partitions):
+        writer = logs.write_broker(codec.encode_alerts(alerts, key_by), servers, checkpoint, **options)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def in_parts(rows: DataFrame, order: str, parts: int = 4) -> list[DataFrame]:
+    """The rows cut into ``parts`` of about equal size by ``order``."""
+    borders = sorted(set(rows.approxQuantile(order, [i / parts for i in range(1, parts)], 0.01)))
+    ends = [None, *borders, None]
+    column = F.col(order)
+    return [
+        rows.filter((F.lit(True) if a is None else column > a) & (F.lit(True) if b is None else column <= b))
+        for a, b in zip(ends, ends[1:], strict=False)
+    ]
 
 
 def run_to_end(spark: SparkSession, events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES,
-               shards: int = 4) -> tuple[DataFrame, str]:
+               shards: int | None = None) -> tuple[DataFrame, str]:
     """Process everything there is; returns the alerts and the checkpoint folder."""
     out, checkpoint = work_dir(spark, "alerts"), work_dir(spark, "state")
-    query = start_alert_files(match_stream(events, min_lead, shards=shards), out, checkpoint,
-                              partitions=spark.sparkContext.defaultParallelism)
-    query.awaitTermination()
+    _run(spark, events, out, checkpoint, min_lead, shards)
+    return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
+
+
+def _run(spark: SparkSession, events: DataFrame, out: str, checkpoint: str, min_lead: int | None, shards: int | None) -> None:
+    cores = spark.sparkContext.defaultParallelism
+    alerts = match_stream(events, min_lead, shards=shards or cores)
+    start_alert_files(alerts, out, checkpoint, partitions=cores).awaitTermination()
+
+
+def replay_table(spark: SparkSession, sf_dir: str, routes: str = "shared", repeat_ids: bool = False,
+                 parts: int = 4) -> tuple[DataFrame, str]:
+    """The event table as a stream that arrives in ``parts``: one restarted run and micro-batch after the other.
+
+    Returns the alerts of all runs and their common checkpoint.
+    """
+    source, out, checkpoint = (work_dir(spark, n) for n in ("events", "alerts", "state"))
+    raw = read_table(spark, sf_dir, "events")
+    for part in in_parts(raw, "event_id", parts):
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(raw.schema).parquet(source)
+        _run(spark, project_events(arriving, routes, repeat_ids), out, checkpoint, S.MIN_LEAD_MINUTES, None)
     return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
 
 
