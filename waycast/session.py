@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +26,19 @@ def build_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
+@cache
+def _local_root() -> tempfile.TemporaryDirectory:
+    """The folder of a local session; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="waycast-", ignore_cleanup_errors=True)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a local session that names none; a
-    cluster without the setting is an error, since executors could not see it.
+    All folders of an application lie in one that bears its id; whoever runs the
+    application removes it afterwards.  A machine-local folder is used only by a local
+    session that names none, and is removed at its end; a cluster without the setting
+    is an error, since executors could not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -37,8 +46,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="waycast-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = _local_root().name
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
 def staged(frame: DataFrame, purpose: str) -> DataFrame:
