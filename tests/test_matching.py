@@ -116,6 +116,14 @@ def test_one_event_per_epoch_joins_give_the_same(spark):
             assert bag(matching.later_alerts(history, wanted, one_each=True)) == bag(matching.later_alerts(history, wanted))
 
 
+@pytest.mark.parametrize("rows", [250_000, 30])
+def test_counts_without_alerts_equal_the_alerts(spark, rows):
+    history = matching.trace(frame(spark, random_events(15)), rows)
+    counted = {r.seq: r.active for r in matching.active_at_events(history).collect() if r.active}
+    sent = Counter(r.seq for r in matching.later_alerts(history).select("seq").collect())
+    assert counted == dict(sent)
+
+
 def test_timeline_streams_over_batches(spark):
     """Chunks that run over many Arrow batches keep what is open between them."""
     events = random_events(13, routes=3, length=200)

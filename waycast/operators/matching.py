@@ -180,3 +180,32 @@ def later_alerts(history: History, wanted: Column | None = None, one_each: bool
 
 def all_alerts(history: History) -> DataFrame:
     return immediate_alerts(history).unionByName(later_alerts(history))
+
+
+def active_at_events(history: History) -> DataFrame:
+    """Per update and closing departure: ``e_kind``, ``opens`` and ``active``, the number of requests it alerts.
+
+    A running count over requests that start and end, so no alert is built.  Within
+    a cut route the count runs per chunk, on top of what earlier chunks of the same
+    epoch leave.
+    """
+    place = [*EPOCH, "chunk", "seq"]
+    starts = history.requests.select(*place, F.lit(1).cast("bigint").alias("change"))
+    ended = history.requests.filter(F.col("replaced_at").isNotNull()).select(*EPOCH, F.col("replaced_at").alias("seq"))
+    if history.cut.is_cut:  # seq is unique, so this join cannot skew
+        ended = ended.join(history.requests.select(*S.ROUTE, "seq", "chunk"), [*S.ROUTE, "seq"])
+    else:
+        ended = ended.withColumn("chunk", F.lit(0).cast("bigint"))
+    ends = ended.select(*place, F.lit(-1).cast("bigint").alias("change"))
+    events = history.timeline.filter(is_update() | is_closing()).select(
+        *place, F.lit(0).cast("bigint").alias("change"), F.col("kind").alias("e_kind"), F.col("before").isNull().alias("opens")
+    )
+    rows = starts.unionByName(ends).unionByName(events, allowMissingColumns=True)
+    earlier = Window.partitionBy(*EPOCH, "chunk").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("active", F.coalesce(F.sum("change").over(earlier), F.lit(0))).filter(F.col("e_kind").isNotNull())
+    if history.cut.is_cut:
+        chunks = Window.partitionBy(*EPOCH).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+        left = rows.groupBy(*EPOCH, "chunk").agg(F.sum("change").alias("change")).select(
+            *EPOCH, "chunk", F.coalesce(F.sum("change").over(chunks), F.lit(0)).alias("carried"))
+        counted = counted.join(left, [*EPOCH, "chunk"]).withColumn("active", F.col("active") + F.col("carried"))
+    return counted.select(*EPOCH, "seq", "e_kind", "opens", "active")

@@ -93,6 +93,9 @@ def src_from_time(spark, sf_dir):
     return logs.from_position(log, from_time=AS_OF).select("topic", "key", "ts", "seq")
 
 
+CATALOG["src_from_latest"] = src_from_time  # its former name
+
+
 @query
 def decode_events(spark, sf_dir):
     log = codec.encode_events(tables.read_events(spark, sf_dir))
@@ -387,13 +390,15 @@ def alerts_replay_single_route(spark, sf_dir):
 
 @query
 def alert_scenario_counts(spark, sf_dir):
-    scenario = (
-        F.when(F.col("reason").isNotNull(), "departed")
-        .when(F.col("trigger_kind") == S.REQUEST, "immediate")
-        .when(F.col("last_travel_id").isNull(), "deferred")
-        .otherwise("re-optimised")
+    """How many alerts of each kind there are, counted without building them."""
+    history = _history(spark, sf_dir)
+    later = (
+        F.when(F.col("e_kind") == S.DEPARTURE, "departed").when(F.col("opens"), "deferred").otherwise("re-optimised")
     )
-    return _alerts(spark, sf_dir).groupBy(scenario.alias("scenario")).agg(F.count("*").alias("alerts"))
+    first = history.requests.filter(F.col("best").isNotNull()).select(
+        F.lit("immediate").alias("scenario"), F.lit(1).cast("bigint").alias("n"))
+    counts = matching.active_at_events(history).select(later.alias("scenario"), F.col("active").alias("n"))
+    return first.unionByName(counts).groupBy("scenario").agg(F.sum("n").alias("alerts")).filter("alerts > 0")
 
 
 @query

@@ -282,3 +282,4 @@ ORACLES: dict[str, str] = {
           WHERE r_seq IN (SELECT seq FROM lives WHERE replaced_at IS NULL AND closed_at IS NULL)
           QUALIFY row_number() OVER (PARTITION BY r_seq ORDER BY seq DESC) = 1)"""),
 }
+ORACLES["src_from_latest"] = ORACLES["src_from_time"]
