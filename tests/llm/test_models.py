@@ -40,7 +40,7 @@ def test_nearest_examples_are_exact(spark):
     model = toxicity.fit(read(spark, BIG, "documents").select("doc_id", "text"), read(spark, BIG, "labels"))
     dense = np.zeros((len(model.ids), len(model.terms)))
     for i in range(len(model.terms)):
-        own = slice(model.starts[i], model.starts[i + 1])
+        own = slice(model.pointers[i, 0], model.pointers[i, -1])
         dense[model.places[own], i] = model.weights[own]
     assert np.allclose(np.linalg.norm(dense, axis=1), 1)
     some = 0

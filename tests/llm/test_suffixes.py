@@ -40,6 +40,7 @@ def cases():
     rows += [(10 + i, text(rng.randint(0, 700)) + passage[i * 13 : 900 - i * 17] + text(rng.randint(0, 700))) for i in range(25)]
     rows += [(50 + i, text(60) + edge + text(60)) for i in range(3)] + [(60 + i, text(200) + short + text(200)) for i in range(30)]
     rows += [(100, text(300) + edge[:399] + "!"), (101, passage + text(50) + passage), (102, "ab" * 600), (103, text(30000))]
+    rows += [(300 + i, text(100 + i) + "xyz pq " * (50 + 4 * i) + text(150)) for i in range(8)] + [(320, "yz pq x" * 70), (321, text(450) + "r" * 390)]
     words = text(5000)
     for i in range(20):
         at = rng.randrange(4000)

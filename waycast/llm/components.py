@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from waycast.llm.common import staged
 
+SALTS = 16
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -26,7 +28,10 @@ def _round(edges: DataFrame) -> DataFrame:
     """``edges``: distinct pairs with a > b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    # the centre of a star may have very many neighbours: they are dealt out over SALTS tasks
+    salted = both.where("b > a").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    copies = least.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    large = salted.join(copies, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
     lower = large.groupBy("a").agg(F.min("b").alias("m"))
     small = large.join(lower, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct()

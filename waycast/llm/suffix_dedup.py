@@ -11,10 +11,11 @@ Over all documents the suffixes are never sorted as a whole:
 
 1. Anchors.  Of each window of ``LENGTH`` bytes the string of ``GRAM`` bytes with
    the smallest hash is the anchor; equal windows have equal anchors.  An anchor
-   stands for the run of windows it is chosen by, some hundred bytes on average.
-   Runs are dealt by the anchor's hash and sorted; a run whose anchor is found
-   nowhere else has no repeated window, one whose bytes are found elsewhere has
-   only repeated ones.  Neighbours in the sorted order tell.
+   stands for the run of windows it is chosen by, some hundred bytes on average; a
+   periodic stretch, where it comes again and again, is one run.  Runs are dealt by
+   the anchor's hash and sorted; a run whose anchor is found nowhere else, nor twice
+   in it, has no repeated window, one whose bytes are found elsewhere has only
+   repeated ones.  Neighbours in the sorted order tell.
 2. The rest (equal anchors, different bytes around them) gets its bytes and is
    dealt by the anchor again; ``factors`` decides each window.  Anchors come in
    bunches of ``BATCH`` bytes.  The windows of an anchor with more than that (a
@@ -83,19 +84,23 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Text number, hash, place, first and last window of each anchor of texts laid end to end in ``raw``."""
+    """Text number, anchor's hash, first and last window of each run, and whether the anchor moves within it.
+
+    The texts lie end to end in ``raw``.
+    """
     whole = np.flatnonzero(lengths >= LENGTH)
     if not len(whole):
-        return (np.empty(0, np.int64),) * 5
+        return (*(np.empty(0, np.int64),) * 4, np.empty(0, bool))
     h = _grams(raw, GRAM)
     keyed = h >> np.uint64(32) << np.uint64(32) | np.arange(len(h), dtype=np.uint64)  # ties go to the left
     place = (_least(keyed, LENGTH - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     window = ragged(starts[whole], lengths[whole] - LENGTH + 1)
     at = place[window]
-    change = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)])
-    last = np.r_[change[1:], len(window)] - 1
-    first = window[change]
-    return np.searchsorted(starts, first, "right") - 1, h[at[change]].view(np.int64), at[change], first, window[last]
+    own = h[at]
+    begin = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (window[1:] != window[:-1] + 1)])
+    end = np.r_[begin[1:], len(window)] - 1
+    first = window[begin]
+    return np.searchsorted(starts, first, "right") - 1, own[begin].view(np.int64), first, window[end], at[begin] != at[end]
 
 
 def factors(raw: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,9 +133,9 @@ def _laid(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-#: A run of windows as one number: its first window, then the distances of the anchor and of the last window.
-def _run(first: np.ndarray, at: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return first << 20 | (at - first) << 10 | (last - first)
+#: A run of windows as one number: its first window, and in the lower bits the distance of its last.
+BITS = 31
+REST = (1 << BITS) - 1
 
 
 def _distinct(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[tuple[bytes, bytes]]]:
@@ -149,21 +154,23 @@ def _distinct(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[t
 
 
 def _runs(docs: DataFrame, text: str) -> DataFrame:
-    """(h, around, key, run): every run of windows, with its anchor's hash and a digest of all its bytes."""
+    """(h, around, key, run, moves): every run of windows, with its anchor's hash and a digest of all its bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in _distinct(batches, "_text"):
             raw, starts, lengths = _laid([t for _, t in own])
-            text_no, h, at, first, last = anchors(raw, starts, lengths)
+            text_no, h, first, last, moves = anchors(raw, starts, lengths)
             whole = memoryview(raw)
-            parts = zip(first.tolist(), (last + LENGTH).tolist(), (at - first).tolist(), strict=True)
-            around = np.array([xxhash.xxh3_64_intdigest(whole[a:b], d) for a, b, d in parts], np.uint64).view(np.int64)
-            offset = starts[text_no]
+            parts = zip(first.tolist(), (last + LENGTH).tolist(), strict=True)
+            around = np.array([xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in parts], np.uint64).view(np.int64)
             keys = pa.array([k for k, _ in own], pa.binary()).take(pa.array(text_no))
-            run = _run(first - offset, at - offset, last - offset)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(around), keys, pa.array(run)], names=["h", "around", "key", "run"])
+            run = first - starts[text_no] << BITS | last - first
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(around), keys, pa.array(run), pa.array(moves.astype(np.int64))],
+                names=["h", "around", "key", "run", "moves"],
+            )
 
-    return docs.select(F.col(text).alias("_text")).mapInArrow(work, "h long, around long, key binary, run long")
+    return docs.select(F.col(text).alias("_text")).mapInArrow(work, "h long, around long, key binary, run long, moves long")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], columns: list[str], same: list[int]) -> Iterator[tuple]:
@@ -218,7 +225,7 @@ def _key_column(words: np.ndarray) -> pa.Array:
 
 
 def _judged(runs: DataFrame) -> DataFrame:
-    """(h, key, run, whole, send) of runs whose anchor is found elsewhere.
+    """(h, key, run, whole, send) of runs whose anchor is found elsewhere, or twice in the run.
 
     ``whole``: all windows are repeated; ``send``: the bytes are needed to decide
     the windows of this or of another run.
@@ -227,10 +234,12 @@ def _judged(runs: DataFrame) -> DataFrame:
     dealt = runs.repartition(n, "h").sortWithinPartitions("h", "around", "key", "run")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (h, _, key, run), ((h_before, h_after), (before, after)) in _neighbours(batches, ["h", "around", "key", "run"], [1, 2]):
+        columns = ["h", "around", "key", "run", "moves"]
+        for (h, _, key, run, moves), ((h_before, h_after), (before, after)) in _neighbours(batches, columns, [1, 2]):
             whole = before | after
-            send = (h_before & ~before) | (h_after & ~after)  # a neighbour has the anchor but other bytes
-            at = np.flatnonzero(h_before | h_after)
+            other = (h_before & ~before) | (h_after & ~after)  # a neighbour has the anchor but other bytes
+            send = other | (moves > 0) & ~whole
+            at = np.flatnonzero(whole | send)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[at]), _key_column(key[at]), pa.array(run[at]), pa.array(whole[at]), pa.array(send[at])],
                 names=["h", "key", "run", "whole", "send"],
@@ -251,11 +260,11 @@ def _sent(docs: DataFrame, judged: DataFrame, text: str) -> DataFrame:
             h, key, run, data = [], [], [], []
             for k, t, asked in zip(*(batch.column(c).to_pylist() for c in ("key", "data", "asked")), strict=True):
                 for a in asked:
-                    first = a["run"] >> 20
+                    first = a["run"] >> BITS
                     h.append(a["h"])
                     key.append(k)
                     run.append(a["run"])
-                    data.append(t[first : first + (a["run"] & 1023) + LENGTH])
+                    data.append(t[first : first + (a["run"] & REST) + LENGTH])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h, pa.int64()), pa.array(key, pa.binary()), pa.array(run, pa.int64()), pa.array(data, pa.binary())],
                 names=["h", "key", "run", "data"],
@@ -280,7 +289,7 @@ def _decided(sent: DataFrame) -> DataFrame:
         return raw, ragged(starts, counts), np.repeat(np.arange(len(rows)), counts)
 
     def decide(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if len(rows) < 2:
+        if not rows:
             return
         raw, windows, row = laid(rows)
         earlier, later = factors(raw, windows)
@@ -292,7 +301,7 @@ def _decided(sent: DataFrame) -> DataFrame:
         end = np.r_[begin[1:], len(at)] - 1
         starts = np.cumsum([0, *(len(r[3]) for r in rows)])[:-1]
         own = row[at[begin]]
-        shift = np.array([r[2] >> 20 for r in rows], np.int64)[own] - starts[own]
+        shift = np.array([r[2] >> BITS for r in rows], np.int64)[own] - starts[own]
         none = pa.nulls(len(begin), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array([rows[i][1] for i in own.tolist()], pa.binary()), pa.array(windows[at[begin]] + shift), pa.array(windows[at[end]] + shift), none, none],
@@ -303,7 +312,7 @@ def _decided(sent: DataFrame) -> DataFrame:
         for i in range(0, len(rows), 1000):
             part = rows[i : i + 1000]
             raw, windows, row = laid(part)
-            first = windows - np.cumsum([0, *(len(r[3]) for r in part)])[:-1][row] + np.array([r[2] >> 20 for r in part], np.int64)[row]
+            first = windows - np.cumsum([0, *(len(r[3]) for r in part)])[:-1][row] + np.array([r[2] >> BITS for r in part], np.int64)[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[1] for r in part], pa.binary()).take(pa.array(row)), pa.array(first), pa.array(first), *(pa.array(_grams(raw, LENGTH, k)[windows].view(np.int64)) for k in (0, 1))],
                 names=["key", "first", "last", "one", "two"],
@@ -361,8 +370,8 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     """(key, runs): for the MD5 of a text the repeated windows, as an array of (first, last); first -1 for a text that occurs twice."""
     judged = staged(_judged(_runs(docs, text)), "runs")
     decided = staged(_decided(_sent(docs, judged, text)), "windows")
-    first = F.shiftright("run", 20)
-    whole = judged.where("whole").select("key", first.alias("first"), (first + F.col("run").bitwiseAND(1023)).alias("last"))
+    first = F.shiftright("run", BITS)
+    whole = judged.where("whole").select("key", first.alias("first"), (first + F.col("run").bitwiseAND(F.lit(REST).cast("long"))).alias("last"))
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     twice = docs.where(F.octet_length(data) >= LENGTH).select(F.unhex(F.md5(data)).alias("key")).groupBy("key").count().where("count > 1")
     found = whole.unionByName(decided.where("one is null").select("key", "first", "last"))

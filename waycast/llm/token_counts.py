@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from waycast.llm.common import pieces, slices, texts
 
 CALL_BYTES = 1 << 20
-KEPT_PIECES = 400_000
+KEPT_PIECES = 200_000
 
 
 def encoder(file: str):

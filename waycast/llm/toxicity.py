@@ -44,17 +44,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waycast.llm.common import slices, staged, texts
+from waycast.llm.common import ragged, slices, staged, texts
 
 LEAST_DOCS, BLOCK, NEAREST = 3, 64, 15
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters; whatever is not ASCII counts as a letter, which is fast to test.
+_WORD = re.compile("[a-z\u00aa-\U0010ffff]+")
 
 
-def terms_of(text: str) -> list[str]:
-    """Lower-case words, and the first four and five letters of those that have them, marked by a star."""
-    words = _WORD.findall(text.lower())
-    return words + [w[:4] + "*" for w in words if len(w) > 3] + [w[:5] + "*" for w in words if len(w) > 4]
+def _terms_of_word(word: str) -> list[str]:
+    """A lower-case word, and its first four and five letters if it has them, marked by a star."""
+    return [word, *([word[:4] + "*"] if len(word) > 3 else []), *([word[:5] + "*"] if len(word) > 4 else [])]
+
+
+def terms_of(text: str) -> Counter:
+    found: Counter = Counter()
+    for word, n in Counter(_WORD.findall(text.lower())).items():
+        for term in _terms_of_word(word):
+            found[term] += n
+    return found
+
+
+class WordTerms(dict):
+    """Numbers of a word's terms; most words have none."""
+
+    def __init__(self, terms: dict[str, int]):
+        self.terms = terms
+        self.heads = {t.rstrip("*")[:4] for t in terms}  # what a word with a term begins with
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > 100_000:
+            self.clear()
+        self[word] = own = tuple(i for i in map(self.terms.get, _terms_of_word(word)) if i is not None)
+        return own
+
+    def counts(self, text: str) -> dict[int, int]:
+        words = _WORD.findall(text.lower())
+        known = {w for w in set(words) if w[:4] in self.heads}
+        found: dict[int, int] = {}
+        for word, n in Counter(filter(known.__contains__, words)).items() if known else ():
+            for i in self[word]:
+                found[i] = found.get(i, 0) + n
+        return found
 
 
 @dataclass
@@ -63,44 +94,43 @@ class Model:
     idf: np.ndarray
     ids: np.ndarray  # of examples, by position
     toxic: np.ndarray
-    starts: np.ndarray  # of each term's postings
+    pointers: np.ndarray  # terms x blocks + 1: where each term's postings of a block start
     places: np.ndarray  # positions of the examples
     weights: np.ndarray
     block_max: np.ndarray  # terms x blocks
     vote: tuple[float, float]  # slope and offset of the calibration
     alone: float  # score without neighbours
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, text: str, known: WordTerms | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and unit weights of a text."""
-        found = Counter(i for i in map(self.terms.get, terms_of(text)) if i is not None)
-        return _weigh(found, self.idf)
+        return _weigh((known or WordTerms(self.terms)).counts(text), self.idf)
+
+    def _cosines(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the examples of some blocks and their cosines: only the postings of these blocks are read."""
+        first = self.pointers[at[:, None], blocks[None, :]].ravel()
+        length = self.pointers[at[:, None], blocks[None, :] + 1].ravel() - first
+        read = ragged(first, length)
+        weight = self.weights[read] * np.repeat(np.repeat(w, len(blocks)), length)
+        sums = np.bincount(self.places[read], weight, (int(blocks.max()) + 1) * BLOCK)
+        found = np.flatnonzero(sums > 0)
+        return found, sums[found]
 
     def nearest(self, at: np.ndarray, w: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the ``NEAREST`` examples with a positive cosine, nearest first."""
+        found, cos = np.empty(0, np.int64), np.empty(0)
         if not len(at) or not len(self.ids):
-            return np.empty(0, np.int64), np.empty(0)
+            return found, cos
         bounds = w @ self.block_max[at]
-        found, cos = np.empty(0, np.int64), np.empty(0)
-        own = [(self.places[a:b], self.weights[a:b]) for a, b in zip(self.starts[at].tolist(), self.starts[at + 1].tolist(), strict=True)]
-        order = np.argsort(-bounds, kind="stable")
-        least, i, step = 0.0, 0, 2
-        while i < len(order) and bounds[order[i]] > 0 and bounds[order[i]] >= least - 1e-9:
-            blocks = order[i : i + step]
-            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least - 1e-9)]
-            i, step = i + step, step * 2
-            sums = np.zeros(len(blocks) * BLOCK)
-            for j, block in enumerate(blocks.tolist()):
-                low, part = block * BLOCK, sums[j * BLOCK : (j + 1) * BLOCK]
-                for x, (places, weights) in zip(w.tolist(), own, strict=True):
-                    a, b = np.searchsorted(places, (low, low + BLOCK))
-                    if b > a:
-                        part[places[a:b] - low] += x * weights[a:b]
-            place = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            good = (sums > 0) & (place != but)
-            found, cos = np.r_[found, place[good]], np.r_[cos, sums[good]]
+        left, step = np.argsort(-bounds, kind="stable")[: int((bounds > 0).sum())], 4
+        while len(left):
+            own, near = self._cosines(at, w, left[:step])
+            keep = own != but
+            found, cos = np.r_[found, own[keep]], np.r_[cos, near[keep]]
             best = np.lexsort((self.ids[found], -cos.round(12)))[:NEAREST]
             found, cos = found[best], cos[best]
-            least = cos[-1] if len(cos) == NEAREST else 0.0
+            least = cos[-1] - 1e-9 if len(cos) == NEAREST else 0.0
+            left, step = left[step:], 4 * step
+            left = left[bounds[left] >= least]  # no other block can hold a nearer example
         return found, cos
 
     def votes(self, found: np.ndarray, cos: np.ndarray) -> float:
@@ -108,8 +138,8 @@ class Model:
         close = 1 / (1.05 - np.minimum(cos, 1.0)) - 1 / 1.05
         return float(close @ self.toxic[found] / (close.sum() + 0.1))
 
-    def of(self, text: str) -> tuple[float, list[int]]:
-        found, cos = self.nearest(*self.vector(text))
+    def of(self, text: str, known: WordTerms) -> tuple[float, list[int]]:
+        found, cos = self.nearest(*self.vector(text, known))
         if not len(found):
             return self.alone, []
         a, b = self.vote
@@ -135,27 +165,28 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFra
     return found.select("doc_id", "text", F.col("_label").cast("int").alias("label"))
 
 
-def _sampled_terms(rows: DataFrame) -> list[tuple[int, int, dict[str, int]]]:
-    """Term counts of the sampled texts, counted on the executors."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            counts = [Counter(terms_of(t)) for t in texts(batch.column("text"))]
-            found = pa.array([list(c.items()) for c in counts], pa.map_(pa.string(), pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), found], names=["doc_id", "label", "found"])
-
-    return rows.mapInArrow(work, "doc_id long, label int, found map<string,int>")
-
-
-def _chosen_terms(counted: DataFrame, most_terms: int) -> list[str]:
+def _chosen_terms(rows: DataFrame, most_terms: int) -> list[str]:
     """The terms most related to the label, by the likelihood ratio over the sampled documents."""
-    total = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t")).first()
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t")).first()
     n, toxic = total["n"], total["t"] or 0
     if not 0 < toxic < n:
         return []
-    with_term = counted.select("label", F.explode(F.map_keys("found")).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("label").alias("tf")
-    ).where(F.col("df") >= max(LEAST_DOCS, n // 1000))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, tf = Counter(), Counter()  # a share of a bounded sample
+        for batch in slices(batches, "text"):
+            for t, label in zip(texts(batch.column("text")), batch.column("label").to_pylist(), strict=True):
+                own = terms_of(t).keys()
+                df.update(own)
+                if label:
+                    tf.update(own)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(df.keys(), pa.string()), pa.array(df.values(), pa.int64()), pa.array(map(tf.__getitem__, df), pa.int64())],
+            names=["term", "df", "tf"],
+        )
+
+    counted = rows.mapInArrow(work, "term string, df long, tf long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    with_term = counted.where(F.col("df") >= max(LEAST_DOCS, n // 1000))
     with_term = staged(with_term, "terms")
     df, tf = F.col("df"), F.col("tf")
 
@@ -176,12 +207,11 @@ def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray,
     number = {t: i for i, t in enumerate(terms)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(len(number), np.int64), 0
+        df, n, known = np.zeros(len(number), np.int64), 0, WordTerms(number)
         for batch in slices(batches, "text"):
             for t in texts(batch.column("text")):
                 n += 1
-                own = {i for i in map(number.get, terms_of(t)) if i is not None}
-                df[list(own)] += 1
+                df[list(known.counts(t))] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[n, df[at]])], names=["term", "n"])
 
@@ -190,23 +220,25 @@ def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray,
     return np.array([counts.get(i, 0) for i in range(len(terms))], float), counts.get(-1, 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labels: int = 20_000, most_terms: int = 4096, most_examples: int = 8192) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labels: int = 10_000, most_terms: int = 2048, most_examples: int = 4096) -> Model:
     """``labels``: (doc_id, ``label``), the rows to learn from.  The three bounds limit what the driver and the index hold."""
-    counted = staged(_sampled_terms(sample(docs, labels, label, most_labels)), "labelled")
-    terms = _chosen_terms(counted, most_terms)
+    rows = staged(sample(docs, labels, label, most_labels), "labelled")
+    terms = _chosen_terms(rows, most_terms)
     df, total = document_frequencies(docs, terms)
     number = {t: i for i, t in enumerate(terms)}
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [[(number[t], c) for t, c in found if t in number] for found in batch.column("found").to_pylist()]
+        own = WordTerms(number)
+        for batch in slices(batches, "text"):
+            found = [list(own.counts(t).items()) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(own, pa.map_(pa.int32(), pa.int32()))],
+                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.map_(pa.int32(), pa.int32()))],
                 names=["doc_id", "label", "found"],
             )
 
-    rows = counted.mapInArrow(known, "doc_id long, label int, found map<int,int>").collect() if terms else []
-    return _indexed(number, np.log((1 + total) / (1 + df)) + 1, sorted(((r.doc_id, r.label, r.found) for r in rows), key=lambda r: r[:2]), most_examples)
+    found = rows.mapInArrow(known, "doc_id long, label int, found map<int,int>").collect() if terms else []
+    examples = sorted(((r.doc_id, r.label, r.found) for r in found), key=lambda r: r[:2])
+    return _indexed(number, np.log((1 + total) / (1 + df)) + 1, examples, most_examples)
 
 
 def _indexed(number: dict[str, int], idf: np.ndarray, rows: list, most: int) -> Model:
@@ -224,9 +256,15 @@ def _indexed(number: dict[str, int], idf: np.ndarray, rows: list, most: int) ->
         for i, x in zip(at.tolist(), w.tolist(), strict=True):
             posted[i].append((place, x))
     flat = [p for own in posted for p in own]
+    sizes = np.zeros((len(number), blocks + 1), np.int64)
+    for i, own in enumerate(posted):
+        for p, _ in own:
+            sizes[i, p // BLOCK + 1] += 1
+    ends = np.cumsum([len(own) for own in posted], dtype=np.int64)
+    pointers = np.cumsum(sizes, 1) + (ends - sizes.sum(1))[:, None]
     model = Model(
         number, idf, np.array([r[0] for r in chosen], np.int64), np.array([r[1] for r in chosen], float),
-        np.r_[0, np.cumsum([len(p) for p in posted], dtype=np.int64)], np.array([p for p, _ in flat], np.int64),
+        pointers, np.array([p for p, _ in flat], np.int64),
         np.array([x for _, x in flat], float), block_max, (1.0, 0.0), (sum(bare) + 0.0) / (len(bare) + 1.0),
     )
     if n:
@@ -262,8 +300,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordTerms(held.value.terms)
         for batch in slices(batches, "text"):
-            found = [held.value.of(t) for t in texts(batch.column("text"))]
+            found = [held.value.of(t, known) for t in texts(batch.column("text"))]
             new = [
                 pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
                 pa.array([e for _, e in found], pa.list_(pa.int64())),
