@@ -34,6 +34,7 @@ the best match counts; extra columns are not read; empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -211,7 +212,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
             own = [words_of(t) for t in texts(batch.column("text"))]
             lengths = np.array([len(w) for w in own], np.int64)
             ends = np.cumsum(lengths)
-            hashes = np.fromiter((known_words[w] for d in own for w in d), np.uint64, int(ends[-1]))
+            hashes = np.fromiter(map(known_words.__getitem__, chain.from_iterable(own)), np.uint64, int(ends[-1]))
             hits = np.flatnonzero(_has(gate_bits, _rows(hashes, plan.row)))
             if len(hits) < plan.rows:
                 continue
