@@ -135,6 +135,8 @@ def fit(docs: DataFrame, most: int = 20_000, text: str = "text") -> Model:
                 if len(kept[0]) > 2 * most:
                     cut(kept[0])
                     limit = max(kept[0].values())
+                if len(kept[1]) > 2 * most:
+                    cut(kept[1])
         for own in kept:
             cut(own)
         rows = [(k == 1, s, h) for k, own in enumerate(kept) for s, h in own.items()]
