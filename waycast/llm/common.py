@@ -75,3 +75,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20)
         for a, b in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # the worker lives on and takes other tasks
