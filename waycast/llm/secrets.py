@@ -129,8 +129,9 @@ def fit(docs: DataFrame, most: int = 20_000, text: str = "text") -> Model:
             for t in texts(batch.column(text)):
                 base = base_spans(t)
                 kept[1].update((v, _hash(v)) for _, _, _, v in base)
-                for s in {s for _, _, s in _outside(_TOKEN, t, base)} - kept[0].keys():
-                    if (h := _hash(s)) < limit:
+                tokens = [s for _, _, s in _outside(_TOKEN, t, base)] if base else _TOKEN.findall(t)
+                for s in set(tokens):
+                    if s not in kept[0] and (h := _hash(s)) < limit:
                         kept[0][s] = h
                 if len(kept[0]) > 2 * most:
                     cut(kept[0])
