@@ -5,7 +5,7 @@ vectors keeps one array per direction, sorted by projection.  A query looks at a
 window around its own projection in each array; a vector collides as often as it
 is in a window.  Vectors with at least ``COLLISIONS`` of the windows are verified
 by their exact inner product in double precision.  While fewer than ``SHARE`` of
-the shard (and the number wanted) are verified, all windows are widened by
+the shard (and ``EACH`` for each neighbour wanted) are verified, all windows are widened by
 ``WIDEN``: virtual rehashing, since a window of any width is a range of the sorted
 array and nothing is hashed again.
 
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from waycast.llm.common import partitions
 
 PROJECTIONS, COLLISIONS, SHARE, WIDEN, SHARD_ROWS, SEED = 64, 0.7, 0.25, 1.08, 4096, 7
+EACH = 15  # vectors verified for each neighbour wanted, at least
 
 
 def usable(embedding: Column) -> Column:
@@ -62,7 +63,7 @@ class Shard:
         self.kind = np.uint16 if n < 65_000 else np.uint32
         self.rank = np.empty((PROJECTIONS, n), self.kind)
         np.put_along_axis(self.rank, places.T, np.broadcast_to(np.arange(n, dtype=self.kind), (PROJECTIONS, n)), 1)
-        self.wanted, self.least = min(n, int(k + 1 + SHARE * n)), int(COLLISIONS * PROJECTIONS)
+        self.wanted, self.least = min(n, k + 1 + max(int(SHARE * n), EACH * k)), int(COLLISIONS * PROJECTIONS)
         self.start = self._start(at[:32])
 
     def _start(self, at: np.ndarray) -> float:

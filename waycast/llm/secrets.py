@@ -114,7 +114,7 @@ def train(secret: list[str], ordinary: list[str]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, most: int = 20_000, text: str = "text") -> Model:
+def fit(docs: DataFrame, most: int = 4_000, text: str = "text") -> Model:
     """The models from samples of at most ``most`` strings of either kind over all documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
