@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from near_pairs import KINDS, pairs
 
 from waycast.llm import components, line_dedup, simhash
 from waycast.llm.catalog import CATALOG
@@ -106,6 +107,15 @@ def test_duplicates_by_shingles(spark, sf_dir):
     assert caught >= 0.9 * len(planted) and sum(d < 10_000 for d in left) >= 0.9 * start
 
 
+@pytest.mark.parametrize("kind", KINDS)
+def test_near_pairs_of_any_edit_share_a_part(spark, kind):
+    texts = [r.text for r in read(spark, "/root/testdata/sf0.1", "documents").limit(2000).collect() if r.text and 150 <= len(r.text.split()) <= 800]
+    parts = lambda t: simhash._parts(simhash._shingle_hashes(simhash.words_of(t)))
+    for low, high in ((0.80, 0.83), (0.83, 0.87), (0.87, 0.92)):
+        met = [(parts(a) == parts(b)).any() for a, b in pairs(texts, kind, low, high, 150)]
+        assert np.mean(met) >= 0.97, (low, np.mean(met))
+
+
 def plain_lines(rows, min_docs=3, min_chars=20):
     strip = " \t\n\r\x0b\x0c"
     key = lambda x: "".join(c.lower() if c.isascii() else c for c in x.strip(strip))

@@ -10,10 +10,12 @@ filed together are grouped in one sorted pass: each is compared with those not y
 reached, and one link per reached fingerprint comes out, never all pairs.
 
 ``duplicates`` serves filtering: documents whose five-word shingles have a
-similarity of 0.8 or more.  Such pairs differ in too many bits of a 64-bit
-fingerprint to share a part, so it files them under the 24 parts of a 672-bit
-fingerprint of the distinct words, where few bits differ, and verifies the Hamming
-distance of 512-bit fingerprints of the five-word shingles.
+similarity of 0.8 or more.  Such pairs differ in too many bits of a fingerprint of
+bits to share a part, wherever they were edited, so it files them under ``PARTS``
+parts of a fingerprint of minima: each part holds the least of ``PART_MINIMA`` hashes
+of the distinct shingles, equal in both with a chance of the similarity, so a pair at
+0.8 shares a part with a chance of 0.998 whatever the edit.  Verified is the Hamming
+distance of 512-bit fingerprints of the shingles.
 
 Defined cases: a null or empty text, or one of white space, has no words and
 fingerprint zero, linked like any other; a text shorter than a shingle is one
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from waycast.llm.common import partitions, slices, staged, texts
 from waycast.llm.components import components
 
-#: Parts of the word fingerprint in ``duplicates`` and the bits of each.
-PARTS, PART_BITS = 24, 28
+#: Parts of the fingerprint of minima in ``duplicates`` and the minima of each: 1 - (1 - 0.8^6)^20 = 0.998.
+PARTS, PART_MINIMA = 20, 6
 #: Expected share of differing bits at similarity 0.8 is 0.151; one standard deviation of 512 bits is 0.016.
 VERIFY_BITS, VERIFY_MOST = 512, 84
 
@@ -209,20 +211,50 @@ def _named(rows: DataFrame, roots: DataFrame, also: list[Column] | None = None)
     return rows.join(table, "node")
 
 
-def _wide(text: str) -> tuple[bytes, bytes]:
-    """Bits of the distinct words, and of the five-word shingles."""
-    words = words_of(text)
-    odd = np.arange(1, 33, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
-
-    def spread(parts: list[bytes], bits: int) -> bytes:
-        h = _hashes(parts)[:, None] * odd[None, : -(-bits // 64)]
+_ODD = np.arange(1, 33, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+_FACTORS = np.random.default_rng(42).integers(0, 1 << 31, (PARTS * PART_MINIMA, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def _shingle_hashes(words: list[bytes], k: int = 5) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of ``k`` words; fewer words are one shingle."""
+    own = _hashes(words)
+    if not len(own):
+        return own
+    k, mix = min(k, len(own)), np.uint64(0xD6E8FEB86659FD93)
+    h = np.full(len(own) - k + 1, k, np.uint64)
+    for i in range(k):
+        h = (h ^ own[i : len(own) - k + 1 + i]) * mix
+        h ^= h >> np.uint64(32)
+    h.sort()
+    return h[np.r_[True, h[1:] != h[:-1]]]
+
+
+def _parts(hashes: np.ndarray) -> np.ndarray:
+    """``PARTS`` hashes of ``PART_MINIMA`` minima each; none without shingles."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    low, least = (hashes >> np.uint64(16)).astype(np.uint32), np.full(len(_FACTORS), 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(low), 1024):
+        h = low[i : i + 1024] * _FACTORS
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x2C1B3C6D)
+        np.minimum(least, h.min(1), out=least)
+    return np.array([xxhash.xxh64_intdigest(m, i) for i, m in enumerate(map(np.ndarray.tobytes, least.reshape(PARTS, -1)))], np.uint64).view(np.int64)
+
+
+def _bits(hashes: np.ndarray) -> bytes:
+    """The 512-bit fingerprint of the shingles."""
+    total = np.zeros(VERIFY_BITS, np.int64)
+    for i in range(0, len(hashes), 4096):
+        h = hashes[i : i + 4096, None] * _ODD[None, : VERIFY_BITS // 64]
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return _majority(h ^ (h >> np.uint64(29)), bits)
-
-    return spread(list(dict.fromkeys(words)), PARTS * PART_BITS), spread(list(dict.fromkeys(shingles(words, 5))), VERIFY_BITS)
+        h ^= h >> np.uint64(29)
+        total += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.int32)
+    return np.packbits(total * 2 > len(hashes)).tobytes()
 
 
-_SHIFTS = (1 << np.arange(PART_BITS)[::-1]).astype(np.int64)
+def _node(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words), 42) - (1 << 63)
 
 
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,28 +262,16 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            both = [_wide(t) for t in texts(batch.column("text"))]
-            node = [xxhash.xxh64_intdigest(a + b) - (1 << 63) for a, b in both]
-            columns = [batch.column("doc_id"), pa.array(node, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*both, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "parts", "bits"])
+            words = [words_of(t) for t in texts(batch.column("text"))]
+            hashes = list(map(_shingle_hashes, words))
+            columns = [pa.array(map(_node, words), pa.int64()), pa.array([_parts(h) for h in hashes], pa.list_(pa.int64())), pa.array(map(_bits, hashes), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "node", "parts", "bits"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    prints = staged(rows.mapInArrow(work, "doc_id long, node long, parts binary, bits binary"), "fingerprints")
-
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            raw = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint8).reshape(n, -1)
-            values = np.unpackbits(raw, axis=1).reshape(n * PARTS, PART_BITS).astype(np.int64) @ _SHIFTS
-            again = pa.array(np.repeat(np.arange(n), PARTS))
-            place = pa.array(np.tile(np.arange(PARTS, dtype=np.int32), n))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(again), place, pa.array(values), batch.column("bits").take(again)],
-                names=["node", "place", "part", "bits"],
-            )
+    prints = staged(rows.mapInArrow(work, "doc_id long, node long, parts array<long>, bits binary"), "fingerprints")
 
     own = prints.groupBy("node").agg(F.first("parts").alias("parts"), F.first("bits").alias("bits"))
-    filed = own.mapInArrow(file, "node long, place int, part long, bits binary")
+    filed = own.select("node", F.posexplode("parts").alias("place", "part"), "bits")
 
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         a, b = np.ascontiguousarray(x).view(np.uint64), np.ascontiguousarray(y).view(np.uint64)
