@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
-from near_pairs import KINDS, pairs
+from near_pairs import KINDS, pairs, similarity
 
 from waycast.llm import components, line_dedup, simhash
 from waycast.llm.catalog import CATALOG
@@ -116,6 +116,31 @@ def test_near_pairs_of_any_edit_share_a_part(spark, kind):
         assert np.mean(met) >= 0.97, (low, np.mean(met))
 
 
+def test_duplicates_are_decided_by_exact_similarity(spark, monkeypatch):
+    texts = [r.text for r in read(spark, "/root/testdata/sf0.1", "documents").limit(2000).collect() if r.text and 150 <= len(r.text.split()) <= 300]
+    rows, want = [], []
+    for kind in KINDS:
+        for low, high in ((0.70, 0.75), (0.75, 0.80), (0.80, 0.85)):
+            for a, b in pairs(texts, kind, low, high, 12, seed=len(rows)):
+                n = len(rows)
+                # words of their own, so that pairs of one text do not meet
+                rows += [(n, " ".join(f"{w}{n}" for w in a.split())), (n + 1, " ".join(f"{w}{n}" for w in b.split()))]
+                want.append((n, similarity(rows[n][1], rows[n + 1][1]) >= 0.8))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.least for r in simhash.duplicates(docs).collect()}
+    assert all(got[n] == n for n, _ in want)
+    assert not any(got[n + 1] == n for n, near in want if not near)
+    assert np.mean([got[n + 1] == n for n, near in want if near]) >= 0.97
+
+    words = [f"w{i}" for i in range(300)]
+    chain = [(i, " ".join(words[5 * i : 5 * i + 200])) for i in range(20)] + [(100 + i, " ".join(words[5 * i : 5 * i + 200]) + " more") for i in range(20)]
+    chain = spark.createDataFrame(chain, "doc_id long, text string")
+    whole = sorted(map(tuple, simhash.duplicates(chain).collect()))
+    assert {least for _, least in whole} == {0}
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", 8_000)
+    assert sorted(map(tuple, simhash.duplicates(chain).collect())) == whole
+
+
 def plain_lines(rows, min_docs=3, min_chars=20):
     strip = " \t\n\r\x0b\x0c"
     key = lambda x: "".join(c.lower() if c.isascii() else c for c in x.strip(strip))

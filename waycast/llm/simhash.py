@@ -14,8 +14,11 @@ similarity of 0.8 or more.  Such pairs differ in too many bits of a fingerprint
 bits to share a part, wherever they were edited, so it files them under ``PARTS``
 parts of a fingerprint of minima: each part holds the least of ``PART_MINIMA`` hashes
 of the distinct shingles, equal in both with a chance of the similarity, so a pair at
-0.8 shares a part with a chance of 0.998 whatever the edit.  Verified is the Hamming
-distance of 512-bit fingerprints of the shingles.
+0.8 shares a part with a chance of 0.998 whatever the edit.  A limit on the Hamming
+distance of 512-bit fingerprints of the shingles, wide enough for every such pair, only
+leaves out what is far apart.  The sets of shingle hashes of the documents left are then
+fetched, once each, and the exact similarity of the sets decides every pair before
+chains are followed; groups of more than ``BLOCK_BYTES`` are compared in pairs of blocks.
 
 Defined cases: a null or empty text, or one of white space, has no words and
 fingerprint zero, linked like any other; a text shorter than a shingle is one
@@ -40,8 +43,10 @@ from waycast.llm.components import components
 
 #: Parts of the fingerprint of minima in ``duplicates`` and the minima of each: 1 - (1 - 0.8^6)^20 = 0.998.
 PARTS, PART_MINIMA = 20, 6
-#: Expected share of differing bits at similarity 0.8 is 0.151; one standard deviation of 512 bits is 0.016.
-VERIFY_BITS, VERIFY_MOST = 512, 84
+#: Expected share of differing bits at similarity 0.8 is 0.151, and one standard deviation 0.016: four of them are left as room.
+VERIFY_BITS, VERIFY_MOST = 512, 110
+#: Bytes of shingle hashes in a block of a crowded group; bits of the map of the nodes whose sets are fetched.
+BLOCK_BYTES, MAP_BITS = 64 << 20, 1 << 25
 
 
 def words_of(text: str) -> list[bytes]:
@@ -277,8 +282,91 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         a, b = np.ascontiguousarray(x).view(np.uint64), np.ascontiguousarray(y).view(np.uint64)
         return sum(np.bitwise_count(a[:, None, i] ^ b[None, :, i]).astype(np.int16) for i in range(a.shape[1])) <= VERIFY_MOST
 
-    roots = components(_linked(filed, ["place", "part"], ["node", "bits"], near))
-    return _named(prints.select("doc_id", "node"), roots).select("doc_id", "least")
+    close = staged(components(_linked(filed, ["place", "part"], ["node", "bits"], near)), "close")
+    return _named(prints.select("doc_id", "node"), components(_exact_links(rows, close))).select("doc_id", "least")
+
+
+def _exact_near(sets: list[np.ndarray], bits: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """For ``reach`` over places in ``sets``: a similarity of 0.8 or more.  A column that has a hit is not compared again."""
+    size = np.array(list(map(len, sets)))
+
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out, free = np.zeros((len(x), len(y)), bool), np.ones(len(y), bool)
+        for i, a in enumerate(x.tolist()):
+            at = np.flatnonzero(free)
+            at = at[np.bitwise_count(bits[a] ^ bits[y[at]]).sum(1) <= VERIFY_MOST]
+            chunks = np.cumsum(size[y[at]]) >> 20
+            for part in np.split(at, np.flatnonzero(np.diff(chunks)) + 1) if len(at) else ():
+                n = size[y[part]]
+                both = np.concatenate([sets[j] for j in y[part].tolist()])
+                place = np.minimum(np.searchsorted(sets[a], both), size[a] - 1)
+                common = np.add.reduceat(sets[a][place] == both, np.cumsum(n) - n, dtype=np.int64)
+                out[i, part] = 9 * common >= 4 * (size[a] + n)  # common >= 0.8 of the union
+            free &= ~out[i]
+        return out
+
+    return near
+
+
+def _exact_links(rows: DataFrame, close: DataFrame) -> DataFrame:
+    """Links within the groups of ``close`` (node, root) that connect all nodes of a similarity of 0.8 or more."""
+    spark = rows.sparkSession
+    at = F.col("node").bitwiseAND(F.lit(MAP_BITS - 1))
+    words = close.select(F.shiftright(at, 6).alias("word"), F.expr("shiftleft(1L, cast(node & 63 as int))").alias("bit"))
+    held = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    filled = np.zeros(MAP_BITS // 64, np.int64)
+    filled[np.asarray(held["word"])] = np.asarray(held["bit"])
+    known = spark.sparkContext.broadcast(filled)
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            node, hashes = [], []
+            for t in texts(batch.column("text")):
+                w = words_of(t)
+                x = _node(w)
+                i = x & (MAP_BITS - 1)
+                if int(known.value[i >> 6]) >> (i & 63) & 1 and x not in seen:
+                    node.append(x)
+                    hashes.append(_shingle_hashes(w))
+                    seen.add(x)
+            if len(seen) > 100_000:
+                seen.clear()
+            if node:
+                columns = [pa.array(node, pa.int64()), pa.array([h.tobytes() for h in hashes], pa.binary()), pa.array(map(_bits, hashes), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes", "bits"])
+
+    sets = rows.mapInArrow(fetch, "node long, hashes binary, bits binary").join(close, "node").dropDuplicates(["node"])
+    sets = staged(sets, "sets")
+    crowded = sets.groupBy("root").agg(F.ceil(F.sum(F.length("hashes")) / BLOCK_BYTES).cast("int").alias("k")).where("k > 1")
+    dealt = sets.join(F.broadcast(crowded), "root", "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).where("k = 1 or own != other")
+    keys = ["root", "i", "j"]
+    dealt = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "hashes", "bits")
+    dealt = dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
+
+    def linked(node: list[int], hashes: list[bytes], bits: list[bytes]) -> pa.RecordBatch:
+        node = np.array(node)
+        near = _exact_near([np.frombuffer(h, np.uint64) for h in hashes], np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1))
+        root = reach(np.arange(len(node)), near)
+        tied = np.flatnonzero(root != np.arange(len(root)))
+        return _batches([node[tied]], [node[root[tied]]])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, run = None, ([], [], [])
+        for batch in batches:
+            for *key, x, h, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != last:
+                    if run[0]:
+                        yield linked(*run)
+                    last, run = key, ([], [], [])
+                for own, value in zip(run, (x, h, b), strict=True):
+                    own.append(value)
+        if run[0]:
+            yield linked(*run)
+
+    return dealt.mapInArrow(work, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
