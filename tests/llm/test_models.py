@@ -102,6 +102,30 @@ def test_nearest_query(spark, sf_dir):
         assert [r["rank"] for r in own] == list(range(1, 21)) and own == sorted(own, key=lambda r: (-r.score, r.vec_id))
 
 
+@pytest.mark.parametrize("kind", ["sf0.1", "unit", "lognormal", "outlier"])
+def test_nearest_recall(spark, kind):
+    if kind == "sf0.1":
+        found = read(spark, BIG, "embeddings").orderBy("vec_id").collect()
+        ids, rows = np.array([r.vec_id for r in found]), np.array([r.embedding for r in found])
+        asked = np.flatnonzero(ids % 20 == 0)
+    else:
+        rng = np.random.default_rng(1)
+        rows = rng.normal(size=(12_000, 64))
+        rows /= np.linalg.norm(rows, axis=1)[:, None]
+        if kind != "unit":
+            rows *= rng.lognormal(0, 0.5, (len(rows), 1))
+        if kind == "outlier":
+            rows[5] *= 1000
+        ids, asked = np.arange(len(rows)), np.arange(0, len(rows), 120)
+    score = rows[asked] @ rows.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = {(int(ids[q]), int(j)) for q, own in zip(asked, ids[np.argsort(-score, axis=1)[:, :20]], strict=True) for j in own}
+    vectors = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, rows, strict=True)], "vec_id long, embedding array<double>")
+    queries = vectors.where(F.col("vec_id").isin(ids[asked].tolist()))
+    got = {(r.query_id, r.vec_id) for r in nearest.search(queries, vectors, k=20).collect()}
+    assert len(got & want) / len(want) >= 0.9
+
+
 def test_nearest_of_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [float("inf"), 0.0]), (9, [3.0, -1.0]), (None, [1.0, 1.0]), (10, [1.0, 2.0, 3.0]), (11, [])]
     vectors = spark.createDataFrame([(i, e, 0) for i, e in rows], "vec_id long, embedding array<float>, rank int")
