@@ -174,6 +174,26 @@ def test_models_tell_random_from_ordinary(spark, sf_dir):
     assert sum(s == "random:4:44" for s in spans) > 0.95 * len(spans)
 
 
+def test_secret_models_cover_all_strings(spark):
+    rng = np.random.default_rng(9)
+    symbols = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    draw = lambda n: "".join(rng.choice(symbols, n))
+    parts = ["user", "account", "settings", "garden", "river", "station", "number", "window", "letter", "market"]
+    name = lambda n: "_".join(rng.choice(parts, n)) + f"_{rng.integers(100)}"
+    rows = [f"{name(2)} {name(4)} secret={draw(40)}" for _ in range(9000)]
+    free = [draw(40) for _ in range(5)]
+    rows += [f"{name(3)} then {x} and {name(2)}" for x in free]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    model = secrets.fit(docs)
+    strings = {(v, True) for t in rows for _, _, _, v in secrets.base_spans(t)}
+    strings |= {(s, False) for t in rows for _, _, s in secrets._outside(secrets._TOKEN, t, secrets.base_spans(t))}
+    whole = secrets.train(*([s for s, own in strings if own is kind] for kind in (True, False)))
+    assert np.allclose(model.ratio, whole.ratio) and model.threshold == whole.threshold
+    # secrets that no pattern covers are among the ordinary strings, and are found all the same
+    assert (model.ratios([*free, *(draw(40) for _ in range(300))]) > model.threshold).mean() >= 0.9
+    assert not (model.ratios([s for s, own in strings if not own and "_" in s]) > model.threshold).any()
+
+
 def test_secret_query(spark, sf_dir):
     larger = "/root/testdata/sf0.01"
     got = CATALOG["op8_secrets"](spark, larger).collect()

@@ -4,13 +4,17 @@ Patterns give the base spans (``assign``, ``access``, ``hex``).  Strings that no
 pattern covers are judged by character Markov models of first order: one of random
 strings, trained on the values that the patterns find, and one of ordinary
 identifiers, trained on other strings of the same documents.  The labels are those
-of the patterns; each sample has at most ``most`` distinct strings (those with the
-smallest hashes).  A string of at least ``LEAST`` characters becomes a span of kind
-``random`` if its log-likelihood ratio is above a threshold: the larger of
-``MARGIN`` per character and what all but a ten-thousandth of the ordinary sample
-stays below.  Base spans are never changed.
-
-The models are two tables of fixed size; documents are scanned where they are read.
+of the patterns; every distinct string of all documents counts once.  A string of at
+least ``LEAST`` characters becomes a span of kind ``random`` if its log-likelihood
+ratio is above a threshold: what all but a ten-thousandth of the ordinary strings of
+that length stay below, at least ``MARGIN`` per character.  As secrets that no pattern
+covers are among the ordinary strings, the threshold is never so high that more than
+a twentieth of the patterns' values of that length would be missed, unless that is
+below ``MARGIN``.  Base spans are never changed.
+
+The models are two tables of fixed size, summed over tasks from their step counts; the
+threshold comes from a histogram of ratios, summed likewise.  Strings are shuffled once
+to be distinct; documents are scanned where they are read.
 
 Defined cases: null and empty texts have no spans; offsets are code points, the
 end exclusive; spans come by start, then by kind in the order above, ``random``
@@ -21,20 +25,22 @@ are scanned each; columns of the names of results are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waycast.llm.common import slices, texts
+from waycast.llm.common import slices, staged, texts
 
 KINDS = ["assign", "access", "hex", "random"]
 LEAST, MARGIN = 20, 0.5
+#: Ratios of the histogram go from -BINS / FINE to BINS / FINE.
+BINS, FINE = 32_000, 1000
 
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # shorter runs hold no other start of 20 characters
@@ -98,58 +104,94 @@ def _means(table: np.ndarray, strings: list[str]) -> np.ndarray:
     return np.add.reduceat(value, starts) / np.array([len(s) for s in strings])
 
 
-def _log_chances(strings: list[str]) -> np.ndarray:
+def _counts(strings: list[str]) -> np.ndarray:
+    """How often each symbol follows each."""
+    n = len(_SYMBOLS)
+    if not strings:
+        return np.zeros(n * n, np.int64)
     raw, inner, _ = _steps(strings)
-    at, n = np.flatnonzero(inner), len(_SYMBOLS)
-    counts = np.bincount(raw[at - 1] * n + raw[at], minlength=n * n).reshape(n, n) + 0.5
+    at = np.flatnonzero(inner)
+    return np.bincount(raw[at - 1] * n + raw[at], minlength=n * n)
+
+
+def _log_chances(counts: np.ndarray) -> np.ndarray:
+    counts = counts.reshape(len(_SYMBOLS), -1) + 0.5
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
+def _histogram(ratio: np.ndarray, strings: list[str]) -> np.ndarray:
+    """How many strings of ``LEAST`` characters or more have a ratio in each bin."""
+    bins = np.floor(_means(ratio, [s for s in strings if len(s) >= LEAST]) * FINE).astype(np.int64) + BINS
+    return np.bincount(bins.clip(0, 2 * BINS - 1), minlength=2 * BINS)
+
+
+def _threshold(secret: np.ndarray, ordinary: np.ndarray) -> float:
+    """From the histograms: the upper end of the ordinary quantile's bin, or the lower end of the secret one's."""
+
+    def place(counts: np.ndarray, share: float) -> int:
+        return int(np.searchsorted(np.cumsum(counts), max(1, np.ceil(share * counts.sum()))))
+
+    if not ordinary.any():
+        return MARGIN
+    least = (place(ordinary, 1 - 1e-4) + 1 - BINS) / FINE
+    return max(MARGIN, min(least, (place(secret, 0.05) - BINS) / FINE) if secret.any() else least)
+
+
 def train(secret: list[str], ordinary: list[str]) -> Model:
     if not secret or not ordinary:
         return Model(None)
-    model = Model(_log_chances(secret) - _log_chances(ordinary))
-    long = [s for s in ordinary if len(s) >= LEAST]
-    model.threshold = max(MARGIN, float(np.quantile(model.ratios(long), 1 - 1e-4)) if long else MARGIN)
-    return model
+    ratio = _log_chances(_counts(secret)) - _log_chances(_counts(ordinary))
+    return Model(ratio, _threshold(_histogram(ratio, secret), _histogram(ratio, ordinary)))
 
 
-def fit(docs: DataFrame, most: int = 4_000, text: str = "text") -> Model:
-    """The models from samples of at most ``most`` strings of either kind over all documents."""
+def _strings(docs: DataFrame, text: str) -> DataFrame:
+    """(``secret``, ``s``): the distinct strings of both kinds."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[dict, dict] = ({}, {})
-        limit = 1 << 63
-
-        def cut(own: dict) -> None:
-            for s in sorted(own, key=own.get)[most:]:
-                del own[s]
-
+        seen: tuple[set, set] = (set(), set())  # spares the shuffle most repetitions
         for batch in slices(batches, text):
+            new: tuple[set, set] = (set(), set())
             for t in texts(batch.column(text)):
                 base = base_spans(t)
-                kept[1].update((v, _hash(v)) for _, _, _, v in base)
-                tokens = [s for _, _, s in _outside(_TOKEN, t, base)] if base else _TOKEN.findall(t)
-                for s in set(tokens):
-                    if s not in kept[0] and (h := _hash(s)) < limit:
-                        kept[0][s] = h
-                if len(kept[0]) > 2 * most:
-                    cut(kept[0])
-                    limit = max(kept[0].values())
-                if len(kept[1]) > 2 * most:
-                    cut(kept[1])
-        for own in kept:
-            cut(own)
-        rows = [(k == 1, s, h) for k, own in enumerate(kept) for s, h in own.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.bool_(), pa.string(), pa.int64()))], names=["secret", "s", "h"])
-
-    rows = docs.select(text).mapInArrow(work, "secret boolean, s string, h long")
-    sides = [rows.where(F.col("secret") == kind).select("s", "h").distinct().orderBy("h", "s").limit(most).collect() for kind in (True, False)]
-    return train(*([r.s for r in side] for side in sides))
-
-
-def _hash(s: str) -> int:
-    return xxhash.xxh64_intdigest(s, 11) >> 1
+                new[1].update(v for _, _, _, v in base)
+                new[0].update([s for _, _, s in _outside(_TOKEN, t, base)] if base else _TOKEN.findall(t))
+            for own, known in zip(new, seen, strict=True):
+                own -= known
+                known |= {s for s in own if len(s) < 200}
+                if len(known) > 200_000:
+                    known.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([False] * len(new[0]) + [True] * len(new[1])), pa.array([*new[0], *new[1]], pa.string())], names=["secret", "s"])
+
+    return staged(docs.select(text).mapInArrow(work, "secret boolean, s string").distinct(), "strings")
+
+
+def _sums(strings: DataFrame, of: Callable[[list[str]], np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``of`` the ordinary and of the secret strings, a table of ``size`` counts, summed over all tasks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, size), np.int64)
+        for batch in slices(batches, "s"):
+            for kind in (0, 1):
+                total[kind] += of(batch.filter(pc.equal(batch.column("secret"), bool(kind))).column("s").to_pylist())
+        kind, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(at), pa.array(total[kind, at])], names=["kind", "at", "n"])
+
+    out = np.zeros((2, size), np.int64)
+    for r in strings.mapInArrow(work, "kind long, at long, n long").groupBy("kind", "at").agg(F.sum("n").alias("n")).collect():
+        out[r.kind, r.at] = r.n
+    return out[0], out[1]
+
+
+def fit(docs: DataFrame, text: str = "text") -> Model:
+    """The models from the distinct strings of all documents."""
+    strings = _strings(docs, text)
+    ordinary, secret = _sums(strings, _counts, len(_SYMBOLS) ** 2)
+    if not ordinary.any() or not secret.any():
+        return Model(None)
+    ratio = _log_chances(secret) - _log_chances(ordinary)
+    long = strings.where(F.length("s") >= LEAST)
+    ordinary, secret = _sums(long, lambda own: _histogram(ratio, own), 2 * BINS)
+    return Model(ratio, _threshold(secret, ordinary))
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
