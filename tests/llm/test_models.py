@@ -55,6 +55,16 @@ def test_nearest_examples_are_exact(spark):
     assert some > 100
 
 
+def test_all_sampled_examples_are_indexed(spark):
+    toxic = [(i, f"you stupid idiot {i % 7}", 1) for i in range(600)]
+    clean = [(600 + i, f"{('the rain fell softly', 'a gentle walk in the garden')[i >= 3200]} {i % 7}", 0) for i in range(6400)]
+    docs = spark.createDataFrame([r[:2] for r in toxic + clean], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in toxic + clean], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert sorted(model.ids) == [r[0] for r in toxic + clean]
+    assert dict(zip(model.ids, model.toxic, strict=True)) == {r[0]: r[2] for r in toxic + clean}
+
+
 def test_toxicity_of_odd_documents(spark):
     docs, labels = _labelled(spark)
     odd = spark.createDataFrame([(None, None, 1), (50, "", 2), (51, "IDIOT", 3), (51, "IDIOT", 3), (52, "softly " * 20000, 4)], "doc_id long, text string, evidence int")

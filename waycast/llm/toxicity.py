@@ -8,7 +8,7 @@
   to the label beyond what chance gives among so many terms (likelihood ratio above
   twice the logarithm of their number); the ``most_terms`` strongest;
 * document frequencies of these terms over all documents, counted in Spark;
-* the inverted index: the examples with any term, sorted so that similar ones lie
+* the inverted index: all sampled examples with any term, sorted so that similar ones lie
   together, in blocks of ``BLOCK``; for every term the weights of its examples, and
   for every term and block the largest weight;
 * calibration: a logistic curve from the vote to the label, fitted to the votes of
@@ -220,8 +220,8 @@ def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray,
     return np.array([counts.get(i, 0) for i in range(len(terms))], float), counts.get(-1, 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labels: int = 10_000, most_terms: int = 2048, most_examples: int = 4096) -> Model:
-    """``labels``: (doc_id, ``label``), the rows to learn from.  The three bounds limit what the driver and the index hold."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labels: int = 10_000, most_terms: int = 2048) -> Model:
+    """``labels``: (doc_id, ``label``), the rows to learn from.  The two bounds limit what the driver and the index hold."""
     rows = staged(sample(docs, labels, label, most_labels), "labelled")
     terms = _chosen_terms(rows, most_terms)
     df, total = document_frequencies(docs, terms)
@@ -238,15 +238,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_labels: i
 
     found = rows.mapInArrow(known, "doc_id long, label int, found map<int,int>").collect() if terms else []
     examples = sorted(((r.doc_id, r.label, r.found) for r in found), key=lambda r: r[:2])
-    return _indexed(number, np.log((1 + total) / (1 + df)) + 1, examples, most_examples)
+    return _indexed(number, np.log((1 + total) / (1 + df)) + 1, examples)
 
 
-def _indexed(number: dict[str, int], idf: np.ndarray, rows: list, most: int) -> Model:
+def _indexed(number: dict[str, int], idf: np.ndarray, rows: list) -> Model:
     bare = [label for _, label, found in rows if not found]
-    have = {kind: [r for r in rows if r[2] and r[1] == kind] for kind in (0, 1)}
-    room = {1: min(len(have[1]), most - min(len(have[0]), most // 2))}
-    room[0] = min(len(have[0]), most - room[1])
-    chosen = [(i, kind, *_weigh(found, idf)) for kind in (0, 1) for i, _, found in have[kind][: room[kind]]]
+    chosen = [(i, kind, *_weigh(found, idf)) for i, kind, found in rows if found]
     chosen.sort(key=lambda r: (int(r[2][np.argmax(r[3])]), r[1], r[0]))
     n, blocks = len(chosen), -(-len(chosen) // BLOCK)
     block_max = np.zeros((len(number), blocks))
@@ -269,18 +266,17 @@ def _indexed(number: dict[str, int], idf: np.ndarray, rows: list, most: int) ->
     )
     if n:
         votes = np.array([model.votes(*model.nearest(at, w, but=p)) for p, (_, _, at, w) in enumerate(chosen)])
-        weight = np.where(model.toxic > 0, len(have[1]) / max(1, room[1]), len(have[0]) / max(1, room[0]))
-        model.vote = _curve(votes, model.toxic, weight)
+        model.vote = _curve(votes, model.toxic)
     return model
 
 
-def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve, by Newton's method with a weak penalty on the slope."""
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-(a * x + b)))
-        s = np.maximum(weight * p * (1 - p), 1e-9)
-        g = np.array([(weight * (p - y) * x).sum() + 1e-2 * a, (weight * (p - y)).sum() + 1e-3 * b])
+        s = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([((p - y) * x).sum() + 1e-2 * a, (p - y).sum() + 1e-3 * b])
         h = np.array([[(s * x * x).sum() + 1e-2, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-3]])
         step = np.clip(np.linalg.solve(h, g), -5, 5)
         a, b = a - step[0], b - step[1]
