@@ -8,7 +8,7 @@
 3. Join back.  Every block gets the ids of its words by position, joins the ids of
    each distinct word with the id-to-piece table, and puts its documents together.
    The piece table has one row per entry of the vocabulary file, so its size is
-   fixed by the file and the join is a broadcast join.
+   fixed by the file; it is broadcast as a list and looked up by id (``decode`` joins).
 
 A frequent word is one entry per block, never one row per occurrence, so no word
 can be a hot key.  A block holds ``BLOCK_BYTES`` of text or one document.
