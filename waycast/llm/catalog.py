@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, quality, secrets, simhash, suffix_dedup, token_counts, toxicity
+from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, oracles, quality, secrets, simhash, spelling, suffix_dedup, token_counts, toxicity
 from waycast.llm.common import label_fold, read
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
+@query("op13_spelling", oracles.SPELLING)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(read(spark, sf_dir, "documents").select("doc_id", "text"), slip=199))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
