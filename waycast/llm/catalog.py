@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, oracles, quality, secrets, simhash, spelling, suffix_dedup, token_counts, toxicity
-from waycast.llm.common import label_fold, read
+from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, oracles, quality, secrets, simhash, spelling, suffix_dedup, token_counts, toxicity, warc
+from waycast.llm.common import label_fold, read, work_dir
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
+@query("op12_warc", oracles.ARCHIVED)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op13_spelling", oracles.SPELLING)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.counted(read(spark, sf_dir, "documents").select("doc_id", "text"), slip=199))

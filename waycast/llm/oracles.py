@@ -41,3 +41,12 @@ chain AS (
 roots AS (SELECT word, arg_max(root, i) AS root FROM chain GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
+
+ARCHIVED = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE size >= 100 GROUP BY digest)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)
+"""
