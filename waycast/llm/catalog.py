@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, oracles, quality, secrets, simhash, spelling, suffix_dedup, token_counts, toxicity, warc
+from waycast.llm import bpe_codec, decontaminate, line_dedup, nearest, oracles, phrases, quality, secrets, simhash, spelling, suffix_dedup, token_counts, toxicity, warc
 from waycast.llm.common import label_fold, read, work_dir
 
 CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
 
+@query("op11_phrases", oracles.PHRASES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(phrases.count(read(spark, sf_dir, "documents").select("text", "lang")))
+
+
 @query("op12_warc", oracles.ARCHIVED)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")

@@ -50,3 +50,29 @@ SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (digest)
 """
+
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, g, len(g) AS d, array_to_string(g, ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, unnest(flatten(list_transform(range(1, len(w) + 1), lambda i: list_transform(range(i, least(i + 4, len(w)) + 1), lambda j: w[i:j])))) AS g FROM pieces)
+  GROUP BY lang, g HAVING count(*) >= 100
+),
+cuts AS (SELECT lang, g, a, k, g[:k] AS lg, g[k + 1:] AS rg FROM (SELECT *, unnest(range(1, d)) AS k FROM f WHERE d > 1)),
+scored AS (
+  SELECT c.lang, c.g, c.k, x.a AS l, y.a AS r, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.lg JOIN f y ON y.lang = c.lang AND y.g = c.rg JOIN totals t ON t.lang = c.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, a, unnest(flatten(list_transform(range(2, d), lambda e: list_transform(range(1, d - e + 2), lambda i: g[i:i + e - 1])))) AS g FROM f WHERE d > 2),
+gone AS (SELECT DISTINCT f.lang, f.g FROM f JOIN inner_ i ON f.lang = i.lang AND f.g = i.g AND 100 * i.a >= 100 * f.a),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+  FROM best b JOIN f USING (lang, g) JOIN totals USING (lang) ANTI JOIN gone USING (lang, g)
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
