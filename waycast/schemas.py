@@ -15,6 +15,7 @@ PLANE = "PLANE"
 REQUEST = "REQUEST"
 DEPARTURE = "DEPARTURE"
 DEPARTED = "DEPARTED"
+EXPIRED = "EXPIRED"
 TOPICS = {
     "REQUEST": "customerTravelRequested",
     "PLANE": "planeTimeUpdated",

@@ -1,22 +1,35 @@
-"""The rules as a stateful Structured Streaming operator, keyed by route.
+"""The rules as chained stateful Structured Streaming operators.
 
-A route may hold a third of the traffic.  Requests of a route never affect each
-other, so ``shards`` splits them by their id: every shard of a route follows the
-whole (small) timetable and looks after its own requests.
+1. ``HoldBack`` (only if ``disorder`` is given) keeps every event until the watermark
+   has passed it.  A batch then lets out exactly the events up to its watermark, so
+   sorting within a batch sorts the whole stream, whatever batch a record arrived in.
+   Its key is a hash of the event, so no route can crowd it.
+2. ``FollowTimetable``, per route, holds the timetable, once, and turns updates and
+   departures into changes of the best travel.
+3. ``MatchRequests``, per route and shard, holds requests and turns them and the changes
+   into alerts.  A route may hold a third of the traffic; requests of a route never
+   affect each other, so ``shards`` splits them by their id, and every shard gets the
+   (few) changes of its route.
+
+With ``expire``, an entry also leaves the timetable when its departure time has come: at
+the latest when the watermark passes it, by a timer, and before any later event is
+looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from waycast import schemas as S
+from waycast.functions import times
 from waycast.operators.streams import apply_lead_time, is_complete
-from waycast.streaming.rules import Entry, Route, apply, least
+from waycast.streaming.rules import Change, Entry, Route, expire, follow, on_change, on_request
 
 TEXT_KEY = T.StructType([T.StructField("key", T.StringType())])
 ALERT = Row(*S.ALERT_COLUMNS)
@@ -25,6 +38,29 @@ ROUTE_SCHEMA = T.StructType(
     S.ENTRY_SCHEMA.fields
     + [T.StructField("updates", T.LongType()), T.StructField("moved_from", T.StringType())]
 )
+#: When a message takes effect, for the watermark; ``ts`` has no zone.
+TIME = "_time"
+EVENT_FIELDS = S.EVENT_SCHEMA.fields
+HELD_SCHEMA = T.StructType([*EVENT_FIELDS, T.StructField(TIME, T.TimestampType())])
+#: Requests and changes on their way to the request shards.
+MESSAGE_SCHEMA = T.StructType([
+    *[f for f in EVENT_FIELDS if f.name in ("kind", "seq", "ts", "id", *S.ROUTE)],
+    *[T.StructField(f"{role}_{f.name}", f.dataType) for role in ("told", "best") for f in S.ENTRY_SCHEMA.fields],
+    T.StructField("moved_from", T.StringType()),
+])
+MESSAGE = Row(*MESSAGE_SCHEMA.fieldNames())
+NO_ENTRY = (None,) * len(S.ENTRY_SCHEMA.fields)
+EPOCH = datetime(1970, 1, 1)
+BUCKETS = 16
+
+
+def _millis(time: datetime) -> int:
+    """The millisecond by which a time without zone, in UTC, has passed."""
+    return -((EPOCH - time) // timedelta(milliseconds=1))
+
+
+def _entry(values) -> Entry | None:
+    return Entry(*values) if values[0] is not None else None
 
 
 class _MapView:
@@ -40,9 +76,6 @@ class _MapView:
         if self._state.containsKey((key,)):
             self._state.removeKey((key,))
 
-    def __contains__(self, key):
-        return self._state.containsKey((key,))
-
     def items(self):
         # lazily, a busy shard may hold many rows; no rule changes the mapping it walks
         return ((key[0], self._unpack(value)) for key, value in self._state.iterator())
@@ -51,70 +84,208 @@ class _MapView:
         self._state.clear()
 
 
-class MatchRequests(StatefulProcessor):
-    def __init__(self, ttl_ms: int | None = None):
-        self._ttl_ms = ttl_ms
+class HoldBack(StatefulProcessor):
+    """Keeps events in a list until the watermark has passed them; one timer per key, for the earliest."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._held = handle.getListState("held", HELD_SCHEMA)
+        self._due = handle.getValueState("due", COUNTER)
+
+    def _hold(self, events: list[tuple]) -> None:
+        if events:
+            self._held.appendList(events)
+            self._set_timer(min(_millis(e[2]) for e in events))
+
+    def _set_timer(self, at: int) -> None:
+        due = self._due.get()[0] if self._due.exists() else None
+        if due is not None and due <= at:
+            return
+        if due is not None:
+            self._handle.deleteTimer(due)
+        self._handle.registerTimer(at)
+        self._due.update((at,))
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._hold([tuple(initialState[f] for f in HELD_SCHEMA.fieldNames())])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        self._hold([tuple(row[f] for f in HELD_SCHEMA.fieldNames()) for row in rows if row.complete])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(e) for e in self._held.get()]
+        stay = [e for e in held if _millis(e[2]) > passed]
+        self._held.clear()
+        self._due.clear()
+        self._hold(stay)
+        for event in held:
+            if _millis(event[2]) <= passed:
+                yield Row(*HELD_SCHEMA.fieldNames())(*event)
+
+
+class FollowTimetable(StatefulProcessor):
+    """The timetable of a route; ``expiring`` entries leave at their departure time."""
+
+    def __init__(self, expiring: bool = False):
+        self._expiring = expiring
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        expiry = () if self._ttl_ms is None else (self._ttl_ms,)
+        self._handle = handle
+        self._best_state = handle.getValueState("best", S.ENTRY_SCHEMA)
+        self._due = handle.getValueState("due", COUNTER)  # no entry departs before this millisecond
+        self.timetable = _MapView(handle.getMapState("timetable", TEXT_KEY, S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v))
+
+    def best(self) -> Entry | None:
+        return _entry(self._best_state.get()) if self._best_state.exists() else None
+
+    def set_best(self, best: Entry | None) -> None:
+        self._best_state.clear() if best is None else self._best_state.update(tuple(best))
+
+    def _until_departure(self, entry: Entry) -> None:
+        if self._expiring:
+            at = _millis(entry.departure_time)
+            self._handle.registerTimer(at)
+            if not self._due.exists() or at < self._due.get()[0]:
+                self._due.update((at,))
+
+    def _expire(self, now: datetime, key) -> Iterator[Row]:
+        if not self._due.exists() or _millis(now) < self._due.get()[0]:
+            return
+        yield from map(self._message, expire(now, key, self))
+        due = min((_millis(e.departure_time) for _, e in self.timetable.items()), default=None)
+        self._due.clear() if due is None else self._due.update((due,))
 
-        def map_of(name, schema):
-            return handle.getMapState(name, TEXT_KEY, schema, *expiry)
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        entry = Entry(*(initialState[f] for f in S.ENTRY_SCHEMA.fieldNames()))
+        self.timetable.put(entry.travel_id, entry)
+        best = self.best()
+        if best is None or entry.rank < best.rank:
+            self.set_best(entry)
+        self._until_departure(entry)
 
-        self._stored_route = handle.getValueState("route", ROUTE_SCHEMA, *expiry)
-        self.timetable = _MapView(map_of("timetable", S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v))
-        self.active = _MapView(map_of("active", COUNTER), lambda n: (n,), lambda v: v[0])
-        self.early = _MapView(map_of("early", COUNTER), lambda n: (n,), lambda v: v[0])
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        """One route's updates and departures of a micro-batch, whose size the source options bound."""
+        for event in sorted(rows, key=lambda row: row.seq):
+            if self._expiring:
+                yield from self._expire(event.ts, key)
+            change = follow(event, self)
+            if event.kind != S.DEPARTURE:
+                self._until_departure(Entry(event.travel_id, event.kind, event.departure_time, event.arrival_time))
+            if change is not None:
+                yield self._message(change)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._expire(EPOCH + timedelta(milliseconds=expiredTimerInfo.getExpiryTimeInMs()), key)
+
+    @staticmethod
+    def _message(change: Change) -> Row:
+        told, best = (e or NO_ENTRY for e in (change.told, change.best))
+        return MESSAGE(*change[:6], *told, *best, change.moved_from)
+
+
+class MatchRequests(StatefulProcessor):
+    """The requests of a shard; messages in order of time where entries expire, else of ``seq``."""
+
+    def __init__(self, by_time: bool = False):
+        self._by_time = by_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._stored_route = handle.getValueState("route", ROUTE_SCHEMA)
+        self.active = _MapView(handle.getMapState("active", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
+        self.early = _MapView(handle.getMapState("early", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
 
     def route(self) -> Route:
         if self._cached is None:
             stored = self._stored_route.get() if self._stored_route.exists() else None
-            if stored is None:
-                self._cached = Route()
-            else:
-                best = Entry(*stored[:4]) if stored[0] is not None else None
-                if best and self._ttl_ms is not None and best.travel_id not in self.timetable:
-                    best = least(self)  # the entry has expired since
-                self._cached = Route(best, stored[4], stored[5])
+            self._cached = Route() if stored is None else Route(_entry(stored[:4]), stored[4], stored[5])
         return self._cached
 
     def set_route(self, route: Route) -> None:
         self._cached, self._changed = route, True
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        if initialState.id is None:
+            self._stored_route.update(tuple(initialState[f] for f in ROUTE_SCHEMA.fieldNames()))
+        else:
+            (self.active if initialState.is_active else self.early).put(initialState.id, initialState.n)
+
+    def _order(self, row: Row):
+        # an expiry has no seq and comes before events of its moment
+        return (row.ts, -1 if row.seq is None else row.seq) if self._by_time else row.seq
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        """One key's share of a micro-batch, whose size the source options bound."""
         self._cached, self._changed = None, False
-        for event in sorted(rows, key=lambda row: row.seq):
-            for alert in apply(event, self):
+        for row in sorted(rows, key=self._order):
+            if row.kind == S.REQUEST:
+                alerts = on_request(row, self)
+            else:
+                told, best = (_entry([row[f"{role}_{f}"] for f in S.ENTRY_SCHEMA.fieldNames()]) for role in ("told", "best"))
+                alerts = on_change(Change(row.kind, row.seq, row.ts, row.id, *key[:2], told, best, row.moved_from), self)
+            for alert in alerts:
                 yield ALERT(*alert)
         if self._changed:
-            best = self._cached.best or (None, None, None, None)
-            self._stored_route.update((*best, self._cached.updates, self._cached.moved_from))
+            self._stored_route.update((*(self._cached.best or NO_ENTRY), self._cached.updates, self._cached.moved_from))
 
-    def close(self) -> None:
-        pass
 
+def hold_back(events: DataFrame, disorder: str, buckets: int = BUCKETS, held: DataFrame | None = None) -> DataFrame:
+    """Complete events, let out when the stream is ``disorder`` (an interval) past them.
 
-def shard_events(events: DataFrame, shards: int) -> DataFrame:
-    """Requests go to one shard of their route, timetable events to all of them."""
-    if shards == 1:
-        return events.withColumn("shard", F.lit(0))
-    own = F.array(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    everywhere = F.sequence(F.lit(0), F.lit(shards - 1))
-    return events.withColumn("shard", F.explode(F.when(F.col("kind") == S.REQUEST, own).otherwise(everywhere)))
+    Rows that are not complete move the clock as well, if they have a time: a clock
+    record is one with nothing else.  Events that arrive after their time has passed are
+    left out; Spark counts them in ``numRowsDroppedByWatermark``.
+    """
+    timed = events.withColumn(TIME, F.timestamp_micros((times.epoch_seconds(F.col("ts")) * 1000000).cast("bigint")))
+    # a filter would be pushed below the clock, so the operator leaves out what is incomplete
+    ready = timed.withWatermark(TIME, disorder).withColumn("complete", is_complete())
+    bucket = F.pmod(F.xxhash64("seq"), F.lit(buckets)).cast("int").alias("bucket")
+    initial = None if held is None else held.select("*", bucket).groupBy("bucket")
+    return ready.select("*", bucket).groupBy("bucket").transformWithState(
+        HoldBack(), HELD_SCHEMA, "Append", "EventTime", initialState=initial, eventTimeColumnName=TIME
+    )
+
+
+def _shard(shards: int):
+    return F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
 
 
 def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, *, shards: int,
-                 ttl_ms: int | None = None) -> DataFrame:
+                 disorder: str | None = None, expiring: bool = False, state: dict[str, DataFrame] | None = None) -> DataFrame:
     """Alerts of a streaming event frame.  Filters run before the state's shuffle.
 
-    ``shards`` is the number of tasks a single route can use; it is part of the state's
-    key, so a checkpoint keeps the number it was started with.
+    ``shards`` is the number of tasks the requests of a single route can use.  It is part
+    of the state's key: a checkpoint keeps it, and a new one can start from the
+    ``state`` of an old one (``runs.saved_state``) with another.
 
-    ``ttl_ms`` lets state expire.  Spark then runs batches for ever to look for
-    expired state, so such a query needs a periodic trigger, not ``availableNow``.
+    ``disorder`` is how late records may arrive, in event time, and still be taken in
+    their place; without it, arrival order decides across batches.  ``expiring`` needs
+    it.
     """
-    ready = shard_events(apply_lead_time(events.filter(is_complete()), min_lead, as_of), shards)
-    return ready.groupBy(*S.ROUTE, "shard").transformWithState(
-        MatchRequests(ttl_ms), S.ALERT_SCHEMA, "Append", "None" if ttl_ms is None else "ProcessingTime"
+    if expiring and disorder is None:
+        raise ValueError("expiring entries need an event-time clock: give disorder")
+    state = state or {}
+    is_request = F.col("kind") == S.REQUEST
+
+    def of(kind: Column) -> DataFrame:
+        """Both branches read the source; filters reach it."""
+        if disorder is None:
+            return events.filter(is_complete() & kind)
+        held = state["held"].filter(kind) if "held" in state else None
+        return hold_back(events.filter(F.coalesce(kind, F.lit(True))), disorder, held=held)
+
+    requests = of(is_request).select("kind", "seq", "ts", "id", *S.ROUTE, _shard(shards))
+    timetable = state.get("timetable")
+    changes = apply_lead_time(of(~is_request), min_lead, as_of).groupBy(*S.ROUTE).transformWithState(
+        FollowTimetable(expiring), MESSAGE_SCHEMA, "Append", "EventTime" if expiring else "None",
+        initialState=None if timetable is None else timetable.groupBy(*S.ROUTE),
+    )
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    messages = requests.unionByName(changes.select("*", everywhere), allowMissingColumns=True)
+    initial = None
+    if "requests" in state:
+        of = state["requests"].withColumn("shard", F.when(F.col("id").isNotNull(), F.array(_shard(shards))).otherwise(F.sequence(F.lit(0), F.lit(shards - 1))))
+        initial = of.withColumn("shard", F.explode("shard")).groupBy(*S.ROUTE, "shard")
+    return messages.groupBy(*S.ROUTE, "shard").transformWithState(
+        MatchRequests(expiring), S.ALERT_SCHEMA, "Append", "None", initialState=initial
     )

@@ -1,14 +1,21 @@
-"""What one event does to the state of its route.
-
-The three kinds of state are the timetable, the active requests and the early
-(waiting) ones.  All active alerts of a route name the best travel, so what
-they have in common is kept once per route: the best entry, the number of
-updates so far and the travel the last update moved everyone from.  An active
-request only remembers how many updates there were when it got its first alert;
-an update therefore rewrites one row and not one per request.
-
-``state`` offers ``route()``/``set_route()`` and three mappings with ``put``,
-``remove``, ``items`` and ``clear``; see :class:`DictState` for the plain form.
+"""What one event does to the state of its route, in two halves.
+
+The timetable half follows updates and departures and tells what changed
+(:class:`Change`): the best entry after the event, the travel everyone is moved from,
+and what is said.  The request half keeps the active and the early (waiting) requests
+and turns requests and changes into alerts.  It never sees the timetable, so the
+requests of a busy route can be spread over any number of places that all get the same
+changes.
+
+All active alerts of a route name the best travel, so what they have in common is kept
+once: the best entry, the number of updates so far and the travel the last update moved
+everyone from.  An active request only remembers how many updates there were when it
+got its first alert; an update rewrites one row and not one per request.
+
+The timetable half works on ``best``/``set_best`` and the mapping ``timetable``, the
+request half on ``route``/``set_route`` and the mappings ``active`` and ``early``.
+Mappings have ``put``, ``remove``, ``items`` and ``clear``; :class:`DictState` is the
+plain form of both.
 """
 
 from __future__ import annotations
@@ -30,16 +37,85 @@ class Entry(NamedTuple):
         return self.arrival_time, self.travel_id
 
 
+class Change(NamedTuple):
+    """``told``: the entry alerts show; ``best``: the best entry from now on."""
+
+    kind: str
+    seq: int | None
+    ts: Any
+    id: str | None
+    departure_location: str
+    arrival_location: str
+    told: Entry | None
+    best: Entry | None
+    moved_from: str | None
+
+
 class Route(NamedTuple):
     best: Entry | None = None
     updates: int = 0
     moved_from: str | None = None
 
 
-def _alert(event, request_id: str, entry: Entry, last_travel: str | None, update_id: str | None, reason: str | None = None):
+# The timetable half
+
+def least(state) -> Entry | None:
+    return min((entry for _, entry in state.timetable.items()), key=lambda e: e.rank, default=None)
+
+
+def _change(event, told: Entry | None, best: Entry | None, moved_from: str | None) -> Change:
+    return Change(event.kind, event.seq, event.ts, event.id, event.departure_location, event.arrival_location, told, best, moved_from)
+
+
+def on_update(event, state) -> Change:
+    before = state.best()
+    entry = Entry(event.travel_id, event.kind, event.departure_time, event.arrival_time)
+    state.timetable.put(event.travel_id, entry)
+    best = before
+    if best is None or entry.rank <= best.rank:
+        best = entry
+    elif entry.travel_id == best.travel_id:  # the best travel got later
+        best = least(state)
+    state.set_best(best)
+    return _change(event, best, best, before.travel_id if before else None)
+
+
+def on_departure(event, state) -> Change | None:
+    """Nothing if the travel was not the best one."""
+    before = state.best()
+    state.timetable.remove(event.travel_id)
+    if before is None or before.travel_id != event.travel_id:
+        return None
+    best = least(state)
+    state.set_best(best)
+    return _change(event, before, best, None)
+
+
+def expire(now, route: tuple[str, str], state) -> Iterator[Change]:
+    """Entries whose departure time has come leave the timetable, the earliest first.
+
+    Nobody is alerted: requests that were told of the travel stay active and hear of the
+    next update.
+    """
+    gone = sorted((e for _, e in state.timetable.items() if e.departure_time <= now), key=lambda e: (e.departure_time, e.travel_id))
+    for entry in gone:
+        state.timetable.remove(entry.travel_id)
+        best = state.best()
+        if best and best.travel_id == entry.travel_id:
+            state.set_best(least(state))
+            yield Change(S.EXPIRED, None, entry.departure_time, None, *route, None, state.best(), None)
+
+
+def follow(event, state) -> Change | None:
+    return on_departure(event, state) if event.kind == S.DEPARTURE else on_update(event, state)
+
+
+# The request half
+
+def _alert(cause, request_id: str, entry: Entry, last_travel: str | None, update_id: str | None, reason: str | None = None):
     return (
-        event.seq, event.ts, event.kind, request_id, entry.travel_id, last_travel, update_id,
-        entry.travel_type, event.departure_location, event.arrival_location,
+        cause.seq, cause.ts, cause.kind, request_id, entry.travel_id, last_travel, update_id,
+        entry.travel_type, cause.departure_location, cause.arrival_location,
         entry.departure_time, entry.arrival_time, reason,
     )
 
@@ -53,50 +129,34 @@ def on_request(event, state) -> Iterator[tuple]:
     yield _alert(event, event.id, route.best, None, None)
 
 
-def on_update(event, state) -> Iterator[tuple]:
-    route = state.route()
-    entry = Entry(event.travel_id, event.kind, event.departure_time, event.arrival_time)
-    state.timetable.put(event.travel_id, entry)
-    best = route.best
-    if best is None or entry.rank <= best.rank:
-        best = entry
-    elif entry.travel_id == best.travel_id:  # the best travel got later
-        best = least(state)
-    moved_from = route.best.travel_id if route.best else None
-    updates = route.updates + 1
-    state.set_route(Route(best, updates, moved_from))
-    for request_id, _ in state.active.items():
-        yield _alert(event, request_id, best, moved_from, event.id)
-    if route.best is None:  # only an empty timetable leaves requests waiting
-        for request_id, _ in state.early.items():
-            state.active.put(request_id, updates)
-            yield _alert(event, request_id, best, None, event.id)
-        state.early.clear()
-
-
-def on_departure(event, state) -> Iterator[tuple]:
+def on_change(change: Change, state) -> Iterator[tuple]:
     route = state.route()
-    state.timetable.remove(event.travel_id)
-    if route.best is None or route.best.travel_id != event.travel_id:
-        return
-    for request_id, updates in state.active.items():
-        last_travel = route.moved_from if updates < route.updates else None
-        yield _alert(event, request_id, route.best, last_travel, event.id, S.DEPARTED)
-    state.active.clear()
-    state.set_route(Route(least(state), route.updates, route.moved_from))
-
-
-def least(state) -> Entry | None:
-    return min((entry for _, entry in state.timetable.items()), key=lambda e: e.rank, default=None)
+    if change.kind == S.EXPIRED:
+        state.set_route(route._replace(best=change.best))
+    elif change.kind == S.DEPARTURE:
+        for request_id, updates in state.active.items():
+            last_travel = route.moved_from if updates < route.updates else None
+            yield _alert(change, request_id, change.told, last_travel, change.id, S.DEPARTED)
+        state.active.clear()
+        state.set_route(route._replace(best=change.best))
+    else:
+        updates = route.updates + 1
+        state.set_route(Route(change.best, updates, change.moved_from))
+        for request_id, _ in state.active.items():
+            yield _alert(change, request_id, change.told, change.moved_from, change.id)
+        if route.best is None:  # only an empty timetable leaves requests waiting
+            for request_id, _ in state.early.items():
+                state.active.put(request_id, updates)
+                yield _alert(change, request_id, change.told, None, change.id)
+            state.early.clear()
 
 
 def apply(event, state) -> Iterator[tuple]:
-    """Alerts of one event, as tuples in the order of the alert columns."""
+    """Alerts of one event on a state with both halves, as tuples in the order of the alert columns."""
     if event.kind == S.REQUEST:
         return on_request(event, state)
-    if event.kind == S.DEPARTURE:
-        return on_departure(event, state)
-    return on_update(event, state)
+    change = follow(event, state)
+    return iter(()) if change is None else on_change(change, state)
 
 
 class DictMap(dict):
@@ -110,9 +170,15 @@ class DictState:
     """State of one route in memory."""
 
     def __init__(self):
-        self._route = Route()
+        self._route, self._best = Route(), None
         self.timetable, self.active, self.early = DictMap(), DictMap(), DictMap()
 
+    def best(self) -> Entry | None:
+        return self._best
+
+    def set_best(self, best: Entry | None) -> None:
+        self._best = best
+
     def route(self) -> Route:
         return self._route
 

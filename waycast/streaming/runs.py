@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waycast import schemas as S
-from waycast.functions import codec
+from waycast.functions import codec, times
 from waycast.operators import streams
-from waycast.session import work_dir
+from waycast.session import staged, work_dir
 from waycast.sources import logs
 from waycast.sources.tables import project_events, read_table
-from waycast.streaming.matcher import match_stream
+from waycast.streaming.matcher import ROUTE_SCHEMA, match_stream
 
 STATE_SETTINGS = {
     # map state needs the RocksDB provider; changelogs keep its checkpoints small
@@ -56,15 +59,36 @@ def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, trigger: di
         )
 
 
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, folder): the manifest of an alert log."""
+    return spark.read.schema("batch long, folder string").parquet(f"{path}/batches")
+
+
+def _commit(spark: SparkSession, path: str, batch_id: int, folder: str) -> None:
+    """One file with one row, so the batch is in the manifest or not."""
+    spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").parquet(f"{path}/batches")
+
+
 def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, key_by: str = "request",
                     trigger: dict | None = None, partitions: int | None = None) -> StreamingQuery:
-    """Alerts as JSON log records, one folder per batch.
+    """Alerts as JSON log records, every alert once for readers that obey the manifest (:func:`read_alert_log`).
 
-    A batch that is run again after a failure overwrites its own folder, so the
-    log holds every alert once.
+    Each attempt at a batch writes a folder of its own and only then enters it in the
+    manifest.  An attempt that fails before is never read; a batch that is run again
+    although it is in the manifest only brings the state up to date.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        codec.encode_alerts(batch, key_by).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        try:
+            if not _committed(spark, path).filter(F.col("batch") == batch_id).isEmpty():
+                batch.write.format("noop").mode("overwrite").save()  # the state moves on
+                return
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        folder = f"data/batch-{batch_id}-{uuid.uuid4().hex}"
+        codec.encode_alerts(batch, key_by).write.parquet(f"{path}/{folder}")
+        _commit(spark, path, batch_id, folder)
 
     with state_settings(alerts.sparkSession, partitions):
         return (
@@ -73,6 +97,13 @@ def start_alert_log(alerts: DataFrame, path: str, checkpoint: str, key_by: str =
         )
 
 
+def read_alert_log(spark: SparkSession, path: str, after_batch: int = -1) -> DataFrame:
+    """The records of all batches in the manifest, or of those behind ``after_batch``."""
+    folders = [r.folder for r in _committed(spark, path).filter(F.col("batch") > after_batch).collect()]
+    log = spark.read.schema(S.LOG_SCHEMA)
+    return log.parquet(*(f"{path}/{f}" for f in folders)) if folders else spark.createDataFrame([], S.LOG_SCHEMA)
+
+
 def start_job(log: DataFrame, alerts_path: str, rejects_path: str, checkpoint: str, shards: int,
               min_lead: int | None = S.MIN_LEAD_MINUTES, as_of: Column | None = None, live: bool = True,
               trigger: dict | None = None, partitions: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
@@ -119,9 +150,10 @@ def run_to_end(spark: SparkSession, events: DataFrame, min_lead: int | None = S.
     return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
 
 
-def _run(spark: SparkSession, events: DataFrame, out: str, checkpoint: str, min_lead: int | None, shards: int | None) -> None:
+def _run(spark: SparkSession, events: DataFrame, out: str, checkpoint: str, min_lead: int | None = S.MIN_LEAD_MINUTES,
+         shards: int | None = None, **options) -> None:
     cores = spark.sparkContext.defaultParallelism
-    alerts = match_stream(events, min_lead, shards=shards or cores)
+    alerts = match_stream(events, min_lead, shards=shards or cores, **options)
     start_alert_files(alerts, out, checkpoint, partitions=cores).awaitTermination()
 
 
@@ -136,18 +168,64 @@ def replay_table(spark: SparkSession, sf_dir: str, routes: str = "shared", repea
     for part in in_parts(raw, "event_id", parts):
         part.write.mode("append").parquet(source)
         arriving = spark.readStream.schema(raw.schema).parquet(source)
-        _run(spark, project_events(arriving, routes, repeat_ids), out, checkpoint, S.MIN_LEAD_MINUTES, None)
+        _run(spark, project_events(arriving, routes, repeat_ids), out, checkpoint)
     return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
 
 
+def clock(spark: SparkSession, time: str) -> DataFrame:
+    """An event record that only tells the time."""
+    return spark.range(1).select(*[
+        (F.lit(time if f.name == "ts" else None)).cast(f.dataType).alias(f.name) for f in S.EVENT_SCHEMA.fields
+    ])
+
+
+def replay_on_a_clock(spark: SparkSession, sf_dir: str, late_hours: int = 0, parts: int = 3, expiring: bool = False) -> tuple[DataFrame, str]:
+    """The event table by event time, in ``parts`` whose records come up to ``late_hours`` too late, and without order.
+
+    A restarted run per part, and a last one with a record that tells a time after all
+    events.  Returns the alerts of all runs and their common checkpoint.
+    """
+    source, out, checkpoint = (work_dir(spark, n) for n in ("events", "alerts", "state"))
+    micros = 3_600_000_000 * late_hours
+    events = project_events(read_table(spark, sf_dir, "events"))
+    delay = F.pmod(F.xxhash64("seq"), F.lit(micros)) if micros else F.lit(0)
+    events = events.withColumn("_arrives", (times.epoch_seconds(F.col("ts")) * 1000000).cast("bigint") + delay)
+    rest = [p.drop("_arrives").orderBy(F.xxhash64("seq", F.lit(1))) for p in in_parts(events, "_arrives", parts)]
+    for part in [*rest, clock(spark, "9999-01-01 00:00:00")]:
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(S.EVENT_SCHEMA).parquet(source)
+        _run(spark, arriving, out, checkpoint, disorder=f"{late_hours} hours", expiring=expiring)
+    return spark.read.schema(S.ALERT_SCHEMA).parquet(out), checkpoint
+
+
+def replay_rescaled(spark: SparkSession, sf_dir: str, shards: tuple[int, int] = (2, 5)) -> DataFrame:
+    """The event table in two halves, the second under a new checkpoint that starts from the state of the first, with other shards."""
+    raw = read_table(spark, sf_dir, "events")
+    alerts, state = [], None
+    for part, number in zip(in_parts(raw, "event_id", 2), shards, strict=False):
+        source, out, checkpoint = (work_dir(spark, n) for n in ("events", "alerts", "state"))
+        part.write.parquet(source)
+        arriving = project_events(spark.readStream.schema(raw.schema).parquet(source))
+        _run(spark, arriving, out, checkpoint, shards=number, state=state)
+        state = saved_state(spark, checkpoint)
+        alerts.append(spark.read.schema(S.ALERT_SCHEMA).parquet(out))
+    return reduce(DataFrame.unionByName, alerts)
+
+
 def read_state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
-    """One state variable of a stopped query as a table: ``timetable``, ``active``, ``early`` or ``route``."""
-    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+    """One state variable of a stopped query as a table: ``held``, ``timetable``, ``active``, ``early`` or ``route``.
+
+    Records are held back by two operators, one for requests and one for the rest.
+    """
+    known = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorProperties").distinct().collect()
+    numbers = sorted(r[0] for r in known if f'"stateName":"{name}"' in r[1].replace(" ", ""))
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name)
+    tables = [reader.option("operatorId", n).load() for n in numbers]
+    return reduce(DataFrame.unionByName, tables)
 
 
 def read_timetable(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Entries per route.  Every shard holds them, so the first one is enough."""
-    return read_state(spark, checkpoint, "timetable").filter("key.shard = 0").select(
+    return read_state(spark, checkpoint, "timetable").select(
         *[F.col(f"key.{c}").alias(c) for c in S.ROUTE], "user_map_value.*"
     )
 
@@ -169,3 +247,24 @@ def read_early(spark: SparkSession, checkpoint: str) -> DataFrame:
         F.col("user_map_key.key").alias("id"), *[F.col(f"key.{c}").alias(c) for c in S.ROUTE],
         F.col("user_map_value.n").alias("seq"),
     )
+
+
+def saved_state(spark: SparkSession, checkpoint: str, disorder: bool = False) -> dict[str, DataFrame]:
+    """All state of a stopped query, for ``match_stream(state=...)`` under a new checkpoint and any number of shards.
+
+    Written to the shared folder, since a state reader's batch is that of the moment.  A
+    route's common state is the same in all of its shards.
+    """
+    route = [F.col(f"key.{c}").alias(c) for c in S.ROUTE]
+    common = [f.name for f in ROUTE_SCHEMA.fields]
+    kept = [
+        read_state(spark, checkpoint, name).select(
+            *route, F.col("user_map_key.key").alias("id"), F.col("user_map_value.n").alias("n"), F.lit(name == "active").alias("is_active"))
+        for name in ("active", "early")
+    ]
+    routes = read_state(spark, checkpoint, "route").select(*route, "value").groupBy(*S.ROUTE).agg(F.max_by("value", "value.updates").alias("v"))
+    requests = kept[0].unionByName(kept[1]).unionByName(routes.select(*S.ROUTE, *[F.col(f"v.{c}").alias(c) for c in common]), allowMissingColumns=True)
+    state = {"timetable": staged(read_timetable(spark, checkpoint), "saved-timetable"), "requests": staged(requests, "saved-requests")}
+    if disorder:
+        state["held"] = staged(read_state(spark, checkpoint, "held").select("list_element.*"), "saved-events")
+    return state
