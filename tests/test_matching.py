@@ -208,3 +208,26 @@ def test_items_have_their_places(spark):
     got = timetable.as_items(df, S.ROUTE, "travel_id", ["seq"]).collect()
     assert sorted((r.departure_location, r.place, r.seq) for r in got) == sorted(
         [("A", i + 1, i) for i in range(250)] + [("C", 1, 1)])
+
+
+def test_places_in_a_crowded_map(spark):
+    """A key with most rows lies in several ranges, and no window is over the key alone."""
+    rows = [("hot", f"{i:04d}", i) for i in range(3000)] + [(f"k{i % 40}", f"{i:04d}", i) for i in range(400)] + [(None, "x", 1)]
+    items = spark.createDataFrame(rows, "k string, o string, v int").repartition(5)
+    made = timetable.as_items(items, ["k"], "o", ["v"])
+    places, expected = {}, set()
+    for k, o, v in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        places[k] = places.get(k, 0) + 1
+        expected.add((k, places[k], o, v))
+    assert {tuple(r) for r in made.collect()} == expected
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and all("_range" in line for line in plan.splitlines() if "Window [" in line)
+
+
+def test_events_are_parsed_once(spark, sf_dir):
+    from waycast.plans.catalog import CATALOG
+
+    for name in ("best_per_route", "timetable_latest", "timetable_intervals", "alerts_replay"):
+        plan = CATALOG[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        scans = plan.count("Relation [")
+        assert plan.count("get_json_object") == scans, name

@@ -54,9 +54,9 @@ def cut_into_chunks(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK,
                     count_from: DataFrame | None = None) -> ChunkedEvents:
     """Number the chunks.
 
-    Runs at once: a count of the events (of ``count_from``, the same events before a
-    costly filter, if given) and, if they fill more than one range, the write that
-    deals them out.
+    Runs at once: a count of the events (of ``count_from`` if given, a frame that is
+    cheap to count and has at least as many rows) and, if they fill more than one range,
+    the write that deals them out.
     """
     events = events.filter(is_complete())
     total = (events if count_from is None else count_from).count()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waycast import schemas as S
 from waycast.operators.chunks import GROUP, ChunkedEvents, first_row_of_next_chunk
 from waycast.operators.streams import is_complete, is_update
+from waycast.session import staged
 
 TRAVEL = [*S.ROUTE, "travel_id"]
 TIMES = ["departure_time", "arrival_time"]
@@ -94,8 +95,20 @@ def unmatched_departures(events: DataFrame, valid: DataFrame) -> DataFrame:
 def as_items(frame: DataFrame, keys: list[str], order: str, value: list[str]) -> DataFrame:
     """A map or list per key in rows: the key's columns, the item's place in it (by ``order``), ``order`` and ``value``.
 
-    A key may have any number of items, so they never become one value; the place is
-    counted in a sorted pass, which spills.
+    A key may have any number of items, so they never become one value, nor are they
+    counted in one task.  Rows are dealt into ranges of key and order; the place is that
+    within the range behind the number of the key's rows in earlier ranges.
     """
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint").alias("place")
-    return frame.select(*keys, place, order, *value)
+    rows = staged(frame.select(*keys, order, *value), "items")
+    dealt = staged(rows.repartitionByRange(*keys, order).withColumn("_range", F.spark_partition_id()), "item-ranges")
+    counts = dealt.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("n"))
+    ranges = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_range", "n"))).alias("ranges"))
+    before = F.transform("ranges", lambda r, i: F.struct(
+        r["_range"].alias("_range"),
+        F.aggregate(F.slice("ranges", 1, i), F.lit(0).cast("bigint"), lambda sum_, x: sum_ + x["n"]).alias("before"),
+    ))
+    at = [*keys, "_range"]
+    offsets = ranges.select(*keys, F.inline(before)).withColumnsRenamed({c: f"_of_{c}" for c in at})
+    within = F.row_number().over(Window.partitionBy(*at).orderBy(order))
+    joined = dealt.withColumn("_within", within).join(offsets, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in at])
+    return joined.select(*keys, (F.col("_within") + F.col("before")).alias("place"), order, *value)

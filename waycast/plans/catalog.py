@@ -32,13 +32,17 @@ def query(function: Query) -> Query:
 
 
 def _events(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """Complete events after the lead-time filter."""
-    return streams.apply_lead_time(tables.read_events(spark, sf_dir, **options)).filter(streams.is_complete())
+    """Events after the lead-time filter."""
+    return streams.apply_lead_time(tables.read_events(spark, sf_dir, parse_once=True, **options))
+
+
+def _bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table, counted from the footers of its files: no query has more events."""
+    return tables.read_table(spark, sf_dir, "events")
 
 
 def _history(spark: SparkSession, sf_dir: str, **options) -> matching.History:
-    raw = tables.read_events(spark, sf_dir, **options)
-    return matching.trace(streams.apply_lead_time(raw), count_from=raw)
+    return matching.trace(_events(spark, sf_dir, **options), count_from=_bound(spark, sf_dir))
 
 
 def _alerts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -245,7 +249,7 @@ def early_request_match(spark, sf_dir):
 
 @query
 def timetable_intervals(spark, sf_dir):
-    return timetable.intervals(cut_into_chunks(_events(spark, sf_dir)))
+    return timetable.intervals(cut_into_chunks(_events(spark, sf_dir), count_from=_bound(spark, sf_dir)))
 
 
 @query
@@ -261,7 +265,7 @@ def departed_alerts(spark, sf_dir):
 @query
 def departures_without_travel(spark, sf_dir):
     events = _events(spark, sf_dir)
-    return timetable.unmatched_departures(events, timetable.intervals(cut_into_chunks(events)))
+    return timetable.unmatched_departures(events, timetable.intervals(cut_into_chunks(events, count_from=_bound(spark, sf_dir))))
 
 
 @query
@@ -418,7 +422,7 @@ def alerts_changed_only(spark, sf_dir):
 def state_as_of(spark, sf_dir):
     """Timetable, active and early requests at a point in time."""
     events = _events(spark, sf_dir, routes="daily").filter(F.col("ts") <= F.lit(AS_OF).cast("timestamp_ntz"))
-    history = matching.trace(events)
+    history = matching.trace(events, count_from=_bound(spark, sf_dir))
     parts = [
         ("timetable", timetable.live(events).select(*S.ROUTE, F.col("update_id").alias("item"), "travel_id")),
         ("active", snapshots.active_alerts(history).select(*S.ROUTE, F.col("id").alias("item"), "travel_id")),
@@ -446,7 +450,26 @@ def stream_alert_sink(spark, sf_dir):
         logs.write_log(part, source)
         for run in runs.start_job(logs.stream_log(spark, source), path, rejects, checkpoint, cores, live=False, partitions=cores):
             run.awaitTermination()
-    return codec.decode_alerts(spark.read.parquet(path).drop("batch"))
+    return codec.decode_alerts(runs.read_alert_log(spark, path))
+
+
+@query
+def stream_alerts_unordered(spark, sf_dir):
+    """The replay's alerts, from records that come up to six hours late and in no order."""
+    return runs.replay_on_a_clock(spark, sf_dir, late_hours=6)[0]
+
+
+@query
+def stream_alerts_rescaled(spark, sf_dir):
+    """The replay's alerts, the first half matched by two shards a route and the second by five."""
+    return runs.replay_rescaled(spark, sf_dir)
+
+
+@query
+def stream_expired(spark, sf_dir):
+    """First matches if travels leave the timetable when their departure time has come."""
+    alerts, _ = runs.replay_on_a_clock(spark, sf_dir, parts=2, expiring=True)
+    return alerts.filter(F.col("trigger_kind") == S.REQUEST).select("seq", "id", *S.ROUTE, *S.ENTRY_SCHEMA.fieldNames())
 
 
 @query

@@ -262,6 +262,14 @@ ORACLES: dict[str, str] = {
         SELECT 'early', {ROUTE}, id, NULL FROM started WHERE started_at IS NULL AND replaced_at IS NULL
         """, routes="daily", where=f"ts <= TIMESTAMP '{AS_OF}'"),
     "stream_alerts": _alerts(),
+    "stream_alerts_unordered": _alerts(),
+    "stream_alerts_rescaled": _alerts(),
+    "stream_expired": _timetable(f"""SELECT r.seq, r.id, r.departure_location, r.arrival_location,
+        t.travel_id, t.kind AS travel_type, t.departure_time, t.arrival_time
+        FROM ev r JOIN entries t ON t.departure_location = r.departure_location AND t.arrival_location = r.arrival_location
+          AND t.seq < r.seq AND (t.valid_to IS NULL OR t.valid_to > r.seq) AND t.departure_time > r.ts
+        WHERE r.kind = 'REQUEST'
+        QUALIFY row_number() OVER (PARTITION BY r.seq ORDER BY t.arrival_time, t.travel_id) = 1"""),
     "stream_alert_sink": _alerts(f"""SELECT id AS key, seq, alert_ts, id, travel_id, last_travel_id, update_id, travel_type,
         {ROUTE}, departure_time, arrival_time, reason FROM alerts"""),
     "stream_timetable_state": _timetable(f"""SELECT {ROUTE}, travel_id, kind AS travel_type, departure_time, arrival_time
