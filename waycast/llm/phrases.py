@@ -10,11 +10,12 @@ never built whole, but in groups, by vertical partitioning:
    ``WORD_BITS`` and ``PAIR_BITS`` bits, whatever the input; a bit that two hashes share
    costs work and no result.  A suffix is cut before the first pair that is not frequent,
    since no frequent phrase goes on there; one that is cut to a word was counted as such.
-2. Groups.  Further scans count suffixes by slots.  The slot of a suffix is the hash of
-   its first word; where that slot exceeds ``budget`` suffixes, of the first two words,
-   and so on.  Slots are packed into groups of at most ``budget`` suffixes, first-fit by
-   falling size; a slot of one long prefix may exceed it.  The driver holds ``SLOTS``
-   numbers for each length of prefix.
+2. Groups.  A third scan counts suffixes by slots: by the hash of the first word, of the
+   first two words, and so on.  A suffix belongs to its first slot of no more than
+   ``budget`` suffixes, so the prefixes are as short as the budget allows.  Slots are
+   packed into groups of at most ``budget`` suffixes, first-fit by falling size; a slot
+   of one long prefix may exceed it.  A task and the driver hold ``SLOTS`` numbers for
+   each length of prefix.
 3. Trees.  The last scan sends each suffix, combined with its equals in the same part of
    a batch, to its group, where they are sorted and the subtree is read off them in one
    pass: a node is a run of equal beginnings, its total comes from the leaves of the run.
@@ -47,10 +48,10 @@ from pyspark.sql import functions as F
 from waycast.llm.common import partitions, ragged, slices, staged
 
 WORD_BITS, PAIR_BITS = 1 << 23, 1 << 26
-SLOTS = 1 << 16
-BUDGET = 1 << 21
+SLOTS = 1 << 12
+BUDGET = 1 << 16
 #: Texts are cut into parts of about this many bytes, between pieces.
-PART = 2 << 20
+PART = 1 << 20
 #: Windows of a language's best phrases before the last one.
 SPREAD = 64
 
@@ -226,23 +227,31 @@ def _suffixes(words: _Words, word_bits: _Bits, pair_bits: _Bits, depth: int) ->
     return at, long[at]
 
 
-def _slots(words: _Words, at: np.ndarray, long: np.ndarray, crowded: list[np.ndarray]) -> np.ndarray:
-    """Slot of each suffix, by one word more as long as its slot is in ``crowded``, the numbers of such slots by length of prefix."""
+def _by_length(words: _Words, at: np.ndarray, long: np.ndarray, depth: int) -> Iterator[np.ndarray]:
+    """Slot of each suffix by its first word, its first two words and so on; one that ends keeps its hash."""
     h = words.hashes[at]
-    slot = (h >> np.uint64(20) & np.uint64(SLOTS - 1)).astype(np.int64)
-    inside = np.arange(len(at))
-    for r, full in enumerate(crowded, 1):
-        inside = inside[np.isin(slot[inside], full)]
-        further = inside[long[inside] > r]  # others end here and keep their hash
-        h[further] = _followed(h[further], words.hashes[at[further] + r])
-        slot[inside] = r * SLOTS + (h[inside] >> np.uint64(20) & np.uint64(SLOTS - 1)).astype(np.int64)
+    for r in range(depth):
+        if r:
+            further = np.flatnonzero(long > r)
+            h[further] = _followed(h[further], words.hashes[at[further] + r])
+        yield r * SLOTS + (h >> np.uint64(20) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _slots(words: _Words, at: np.ndarray, long: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+    """The first slot of each suffix that is not ``crowded``, else the last."""
+    depth = len(crowded) // SLOTS
+    slot = np.full(len(at), -1)
+    for r, own in enumerate(_by_length(words, at, long, depth)):
+        settled = (slot < 0) & (~crowded[own] | (r == depth - 1))
+        slot[settled] = own[settled]
     return slot
 
 
-def _packed(sizes: list[tuple[int, int]], budget: int) -> np.ndarray:
+def _packed(sizes: np.ndarray, budget: int) -> np.ndarray:
     """Group of each slot, first-fit by falling size among the last few groups."""
-    group, room = np.zeros(SLOTS * (max((s for s, _ in sizes), default=0) // SLOTS + 1), np.int64), []
-    for slot, n in sorted(sizes, key=lambda x: (-x[1], x[0])):
+    group, room = np.zeros(len(sizes), np.int64), []
+    for slot in np.argsort(-sizes, kind="stable").tolist():
+        n = int(sizes[slot])
         g = next((g for g in range(max(0, len(room) - 16), len(room)) if room[g] >= n), len(room))
         if g == len(room):
             room.append(budget)
@@ -251,32 +260,28 @@ def _packed(sizes: list[tuple[int, int]], budget: int) -> np.ndarray:
     return group
 
 
-def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, budget: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The crowded slots by length of prefix, and the group of each slot."""
+def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a slot is crowded, and the group of each slot."""
     known = rows.sparkSession.sparkContext.broadcast([b.words for b in bits])
-    crowded: list[np.ndarray] = []
-    sizes: dict[int, int] = {}
-    while True:
-
-        def work(batches: Iterator[pa.RecordBatch], crowded: list[np.ndarray] = list(crowded)) -> Iterator[pa.RecordBatch]:
-            of = [_Bits(b) for b in known.value]
-            for words in map(_words, _parts(batches)):
-                if words is not None:
-                    values, n = np.unique(_slots(words, *_suffixes(words, *of, depth), crowded), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["slot", "n"])
-
-        counted = rows.mapInArrow(work, "slot long, n long").where(F.col("slot") >= len(crowded) * SLOTS)
-        fresh = {r["slot"]: r["n"] for r in counted.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
-        sizes.update(fresh)
-        full = [s for s, n in fresh.items() if n > budget]
-        if not full or len(crowded) == depth - 1:
-            return crowded, _packed(list(sizes.items()), budget)
-        crowded.append(np.array(sorted(full)))
-        for s in full:
-            del sizes[s]
-
-
-def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: list[np.ndarray], groups: np.ndarray) -> DataFrame:
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = [_Bits(b) for b in known.value]
+        sizes = np.zeros(depth * SLOTS, np.int64)
+        for words in map(_words, _parts(batches)):
+            if words is not None:
+                for slot in _by_length(words, *_suffixes(words, *of, depth), depth):
+                    sizes += np.bincount(slot, minlength=len(sizes))
+        used = np.flatnonzero(sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sizes[used])], names=["slot", "n"])
+
+    counted = rows.mapInArrow(work, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    sizes = np.zeros(depth * SLOTS, np.int64)
+    sizes[np.asarray(counted.column("slot"))] = np.asarray(counted.column("n"))
+    crowded = sizes > budget
+    return crowded, _packed(np.where(crowded & (np.arange(len(sizes)) < (depth - 1) * SLOTS), 0, sizes), budget)
+
+
+def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: np.ndarray, groups: np.ndarray) -> DataFrame:
     """(group, shared, lang, key, n): suffixes, and the words that their beginnings may share with other groups."""
     known = rows.sparkSession.sparkContext.broadcast(([b.words for b in bits], crowded, groups))
 
