@@ -1,11 +1,17 @@
 """Decontamination against brute force, and the pipeline stage by stage."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -88,6 +94,62 @@ def test_planted_leaks(spark, sf_dir):
     assert left == {d for d, _ in docs} - {d for d, _ in got}
 
 
+@pytest.mark.parametrize("m", [1, 3, 15, 60, 250, 500, 1000])
+def test_recall_at_the_limit(m):
+    """Of items with as many mixed edits as the limit allows, keys find 95 of 100 or more, whatever their length."""
+    rng, n = random.Random(m), 60
+    vocabulary, weights = [rng.getrandbits(64) for _ in range(5000)], [1 / (i + 3) for i in range(5000)]
+    plan, met = decontaminate.Plan(1, 1000), 0
+    c = plan.class_of(m)
+    for _ in range(n):
+        item = rng.choices(vocabulary, weights, k=m)
+        around = rng.choices(vocabulary, k=40 + m)
+        run = [w if isinstance(w, int) else rng.getrandbits(64) for w in edited(rng, item, m // 5)]
+        text = np.array(around[:20] + run + around[20:], np.uint64)
+        own = plan.keys(np.array(item, np.uint64), np.zeros(1, np.int64), c)
+        met += bool(np.isin(plan.keys(text, np.arange(10, 32), c), own).any())
+    assert met >= 0.95 * n
+
+
+def test_words_are_those_of_split():
+    texts = [None, "", " a\tB\nc\x0bd\x0ce\rf  ", "Ünï\x00x \x1cy\u2003z", "A" * 300]
+    made = decontaminate.Words(pa.array(texts))
+    own = [decontaminate.words_of(t or "") for t in texts]
+    flat = [w for ws in own for w in ws]
+    assert made.hashes.tolist() == [decontaminate.word_hash(w) for w in flat]
+    assert made.ends.tolist() == np.cumsum([len(ws) for ws in own]).tolist()
+    assert made.run(0, len(flat)) == b" ".join(flat)
+
+
+def test_functions_travel_to_workers_without_the_package(tmp_path, sf_dir):
+    """A session whose workers start elsewhere and have no path to the package."""
+    root = Path(__file__).resolve().parents[2]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from waycast.session import build_session
+spark = build_session(cores=2, shuffle_partitions=2)
+sys.path.remove({str(root)!r})
+from pyspark.sql.functions import udf
+import __main__
+def there(_):
+    try:
+        import waycast.session
+        return 1
+    except ImportError:
+        return 0
+sys.path.insert(0, {str(root)!r})
+assert spark.range(1).select(udf(there, "int")("id")).first()[0] == 0
+from waycast.llm.catalog import CATALOG
+for name in ("op2_decontaminate", "op3_toxicity", "op11_phrases", "op12_warc"):
+    CATALOG[name](spark, {sf_dir!r}).collect()
+print("all ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
 def test_empty_tables(spark, sf_dir):
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), items).count() == 0

@@ -33,6 +33,7 @@ results.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -40,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -289,16 +291,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with ``score``, ``predicted`` (1 from a score of 0.5) and ``evidence``."""
     results = ["score", "predicted", "evidence"]
     rows = docs.select(*[c for c in docs.columns if c not in results])
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # pickled with its classes, which workers need not have
+    held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     schema = T.StructType([
         *rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
         T.StructField("evidence", T.ArrayType(T.LongType())),
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordTerms(held.value.terms)
+        own = pickle.loads(held.value)
+        known = WordTerms(own.terms)
         for batch in slices(batches, "text"):
-            found = [held.value.of(t, known) for t in texts(batch.column("text"))]
+            found = [own.of(t, known) for t in texts(batch.column("text"))]
             new = [
                 pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
                 pa.array([e for _, e in found], pa.list_(pa.int64())),
