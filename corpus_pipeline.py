@@ -73,9 +73,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
 
     def work(rows: DataFrame) -> DataFrame:
-        done = bpe_codec.encode(rows, file)
         others = [c for c in rows.columns if c != "text"]
-        return done.select(*others, "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+        return bpe_codec.encode(rows, file, digest=True).select(*others, "n_tokens", "ids", "decoded_sha256")
 
     others = [c for c in docs.columns if c not in ("n_tokens", "ids", "decoded_sha256")]
     return _apart(docs.select(*(f"`{c}`" for c in others)), work)

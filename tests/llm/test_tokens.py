@@ -70,6 +70,9 @@ def test_codec_query(spark, sf_dir, tokenizer):
     docs = read(spark, sf_dir, "documents").collect()
     assert len(got) == len(docs)
     for r in docs:
+        ids = tokenizer.encode(r.text, add_special_tokens=False).ids
+        assert got[r.doc_id].n_tokens == len(ids)
+        assert got[r.doc_id].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waycast.llm.common import arrow, partitions, pieces, slices, texts
+from waycast.llm.common import arrow, give_back, partitions, pieces, slices, texts
 from waycast.llm.token_counts import _byte_level, _calls, encoder
 
 BLOCK_BYTES = 8 << 20
@@ -168,11 +168,12 @@ def _words(blocks: DataFrame, shards: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                words = _unpack_words(pickle.loads(body)[0])
+            for block, body in zip(batch.column("block").to_pylist(), batch.column("body"), strict=True):
+                words = _unpack_words(pickle.loads(body.as_buffer())[0])
                 for shard, at in _homes(words, shards):
                     own = _pack_words([words[i] for i in at.tolist()])
                     yield arrow(_WORDS, shard=[shard], block=[block], words=[own])
+        give_back()
 
     return blocks.mapInArrow(work, "shard int, block string, words binary")
 
@@ -193,6 +194,7 @@ def _codes(words: DataFrame, file: str) -> DataFrame:
                 flat = np.array([i for ids in coded for i in ids], np.uint32)
                 body = shard, _planes(np.array(list(map(len, coded)), np.uint32)), _planes(flat)
                 yield arrow(_CODES, block=[block], codes=[_pack(body)])
+        give_back()
 
     return words.mapInArrow(work, "block string, codes binary")
 
@@ -217,18 +219,20 @@ def _encoded(docs: DataFrame, file: str, text: str, results: list, finish) -> Da
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body, parts in zip(batch.column("body").to_pylist(), batch.column("codes").to_pylist(), strict=True):
-                words, rest = pickle.loads(body)
+            for body, parts in zip(batch.column("body"), batch.column("codes"), strict=True):
+                words, rest = pickle.loads(body.as_buffer())
                 lengths, planes, kept = _unpack(rest)
-                ids, back = _by_place(_unpack_words(words), shards, parts or [], held.value)
-                ends = np.cumsum(lengths).tolist()
-                at = _numbers(planes).tolist()
-                rows = [finish(b"".join(ids[i] for i in at[e - k : e]), b"".join(back[i] for i in at[e - k : e])) for e, k in zip(ends, lengths, strict=True)]
+                ids, back = _by_place(_unpack_words(words), shards, parts.as_py() or [], held.value)
+                places, rows = _numbers(planes), []
+                for e, k in zip(np.cumsum(lengths).tolist(), lengths, strict=True):
+                    at = places[e - k : e].tolist()
+                    rows.append(finish(b"".join(map(ids.__getitem__, at)), b"".join(map(back.__getitem__, at))))
                 with pa.ipc.open_stream(kept) as reader:
                     old = reader.read_all().combine_chunks()
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 done = pa.Table.from_arrays([*old.columns, *columns], names=[*old.column_names, *names]) if others else pa.table(columns, names=names)
                 yield from done.to_batches()
+        give_back()
 
     names, kinds = [name for name, _ in results], [_ARROW[kind] for _, kind in results]
     return whole.mapInArrow(work, schema)
@@ -254,13 +258,20 @@ def _by_place(words: list[str], shards: int, parts: list[bytes], pieces_of: list
     return ids, back
 
 
-def encode(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
+def _shown_digest(back: bytes) -> str:
+    """Digest of the decoded text; what is no UTF-8 becomes the replacement character, as in the library."""
+    return hashlib.sha256(back.decode("utf-8", "replace").encode()).hexdigest()
+
+
+def encode(docs: DataFrame, file: str, text: str = "text", digest: bool = False) -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_tokens``, ``ids`` (little-endian u32) and ``decoded`` (bytes).
 
+    With ``digest`` the decoded text comes as ``decoded_sha256``, made where it is decoded.
     ``file`` must be a byte-level BPE of the tokenizers library without prefix space.
     """
-    results = [("n_tokens", T.LongType()), ("ids", T.BinaryType()), ("decoded", T.BinaryType())]
-    return _encoded(docs, file, text, results, lambda ids, back: (len(ids) // 4, ids, back))
+    last = ("decoded_sha256", T.StringType()) if digest else ("decoded", T.BinaryType())
+    results = [("n_tokens", T.LongType()), ("ids", T.BinaryType()), last]
+    return _encoded(docs, file, text, results, lambda ids, back: (len(ids) // 4, ids, _shown_digest(back) if digest else back))
 
 
 def encode_digests(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
@@ -268,8 +279,6 @@ def encode_digests(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
     results = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
 
     def finish(ids: bytes, back: bytes) -> tuple:
-        # what is no UTF-8 decodes to the replacement character, as in the library
-        shown = back.decode("utf-8", "replace").encode()
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown).hexdigest()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), _shown_digest(back)
 
     return _encoded(docs, file, text, results, finish)

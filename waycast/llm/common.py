@@ -7,6 +7,7 @@ folder of one machine.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -64,6 +65,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Memory a task no longer needs goes back to the machine: the worker lives on and takes other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose ``column`` holds about ``limit`` bytes at most, one row at least."""
     import pyarrow.compute as pc
@@ -75,4 +84,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20)
         for a, b in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()  # the worker lives on and takes other tasks
+    give_back()
