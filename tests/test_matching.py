@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from by_hand import as_rows, incomplete_events, random_events, replay
+from by_hand import DAY, as_rows, event, incomplete_events, random_events, replay
 from pyspark.sql import functions as F
 from scenarios import SCENARIOS, events_of, everything
 
@@ -210,6 +210,23 @@ def test_items_have_their_places(spark):
         [("A", i + 1, i) for i in range(250)] + [("C", 1, 1)])
 
 
+def test_requests_visit_only_chunks_with_wanted_events(spark):
+    """A cut route whose travel changes once: requests are not copied to the chunks that hold nothing of interest."""
+    events = [event("TRAIN", 0, "u0", travel="t1", departs=DAY, arrives=DAY)]
+    events += [event("REQUEST", i, f"r{i}") if i % 2 else event("TRAIN", i, f"u{i}", travel="t1", departs=DAY, arrives=DAY) for i in range(1, 200)]
+    events.append(event("TRAIN", 200, "u200", travel="t0", departs=DAY, arrives=DAY))
+    history = matching.trace(frame(spark, events), rows_per_chunk=20)
+    assert history.cut.is_cut
+    changed = is_closing() | ~F.col("before.travel_id").eqNullSafe(F.col("after.travel_id"))
+    pairs = matching.request_event_pairs(history, changed)
+    assert pairs.count() == 100
+    sides = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "ends_in" not in sides
+    got = matching.immediate_alerts(history).unionByName(matching.later_alerts(history, changed))
+    wanted = [a for a in replay(events)[0] if a[5] is None or a[5] != a[4] or a[12]]
+    assert bag(got) == Counter(wanted)
+
+
 def test_places_in_a_crowded_map(spark):
     """A key with most rows lies in several ranges, and no window is over the key alone."""
     rows = [("hot", f"{i:04d}", i) for i in range(3000)] + [(f"k{i % 40}", f"{i:04d}", i) for i in range(400)] + [(None, "x", 1)]

@@ -110,8 +110,9 @@ def request_event_pairs(history: History, wanted: Column | None = None, one_each
 
     An equi-join on route and epoch, whose result is close to the alerts
     themselves.  An epoch that runs over several chunks is joined chunk by
-    chunk: a request visits the chunks its epoch still covers, an event the
-    chunks its epoch came from, so a join key holds the rows of two chunks.
+    chunk: a request visits the chunks its epoch still covers (of those, the chunks that
+    hold a ``wanted`` event), an event the chunks its epoch came from, so a join key holds
+    the rows of two chunks.
     """
     chosen = is_update() | is_closing()
     requests = history.requests.select(*EPOCH, "seq", "id", "replaced_at", "chunk")
@@ -127,15 +128,17 @@ def request_event_pairs(history: History, wanted: Column | None = None, one_each
     )
     keys = list(EPOCH)
     if history.cut.is_cut and not one_each:
-        last = F.when(F.col("epoch") == F.col("open_epoch"), F.col("ends_in"))
-        requests = (
-            requests.join(_chunk_ends(history), GROUP, "left")
-            .withColumn("event_chunk", F.explode(F.sequence("chunk", F.greatest("chunk", F.coalesce(last, "chunk")))))
-            .withColumnRenamed("chunk", "request_chunk").drop("open_epoch", "ends_in")
-        )
         events = events.withColumn("request_chunk", F.explode(F.sequence("epoch_chunk", "chunk")))
         events = events.withColumnRenamed("chunk", "event_chunk")
         keys += ["request_chunk", "event_chunk"]
+        requests = requests.withColumnRenamed("chunk", "request_chunk")
+        if wanted is None:  # nearly every chunk holds an event
+            last = F.when(F.col("epoch") == F.col("open_epoch"), F.col("ends_in"))
+            ends = _chunk_ends(history).withColumnRenamed("chunk", "request_chunk")
+            covered = F.sequence("request_chunk", F.greatest("request_chunk", F.coalesce(last, "request_chunk")))
+            requests = requests.join(ends, [*S.ROUTE, "request_chunk"], "left").withColumn("event_chunk", F.explode(covered)).drop("open_epoch", "ends_in")
+        else:
+            requests = requests.join(events.select(*keys).distinct(), [*EPOCH, "request_chunk"])
     else:
         requests, events = requests.drop("chunk"), events.drop("chunk")
     return requests.join(events, keys).filter(
