@@ -72,6 +72,7 @@ def test_collocations_equal_brute_force(spark, monkeypatch, least, share, budget
 
 def test_all_frequent_phrases_are_counted_once(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SLOTS", 4)
+    monkeypatch.setattr(phrases, "HELD", 50)
     monkeypatch.setattr(phrases, "WORD_BITS", 64)
     monkeypatch.setattr(phrases, "PAIR_BITS", 64)
     rows = texts(9)

@@ -16,8 +16,8 @@ never built whole, but in groups, by vertical partitioning:
    packed into groups of at most ``budget`` suffixes, first-fit by falling size; a slot
    of one long prefix may exceed it.  A task and the driver hold ``SLOTS`` numbers for
    each length of prefix.
-3. Trees.  The last scan sends each suffix, combined with its equals in the same part of
-   a batch, to its group, where they are sorted and the subtree is read off them in one
+3. Trees.  The last scan sends each suffix, combined with up to ``HELD`` others of its
+   task, to its group, where they are sorted and the subtree is read off them in one
    pass: a node is a run of equal beginnings, its total comes from the leaves of the run.
    The pass holds a single path, so the size of a group costs no memory.  A beginning
    shorter than the prefix of its slot also occurs in other groups; its totals are added.
@@ -52,6 +52,8 @@ SLOTS = 1 << 12
 BUDGET = 1 << 16
 #: Texts are cut into parts of about this many bytes, between pieces.
 PART = 1 << 20
+#: Suffixes a task combines before it sends them.
+HELD = 1_000_000
 #: Windows of a language's best phrases before the last one.
 SPREAD = 64
 
@@ -165,7 +167,7 @@ class _Bits:
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
-    """(lang, key, h, f) of all words; under the empty key the number of words of a language."""
+    """(lang, key, f) of all words; under the empty key the number of words of a language."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in map(_words, _parts(batches)):
@@ -174,18 +176,26 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             totals = np.bincount(words.lang, minlength=len(words.langs))
             first, key, n = _combined(words, np.arange(len(words.starts)), 1)
             lang = [*words.langs, *(words.langs[i] for i in words.lang[first].tolist())]
-            h = np.r_[np.zeros(len(totals), np.int64), words.hashes[first].view(np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.concat_arrays([pa.array([b""] * len(totals), pa.binary()), key]), pa.array(h), pa.array(np.r_[totals, n])],
-                names=["lang", "key", "h", "f"],
-            )
+            keys = pa.concat_arrays([pa.array([b""] * len(totals), pa.binary()), key])
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), keys, pa.array(np.r_[totals, n])], names=["lang", "key", "f"])
 
-    counted = rows.mapInArrow(work, "lang string, key binary, h long, f long")
-    return counted.groupBy("lang", "key").agg(F.max("h").alias("h"), F.sum("f").alias("f"))
+    return rows.mapInArrow(work, "lang string, key binary, f long").groupBy("lang", "key").agg(F.sum("f").alias("f"))
+
+
+def _with_hash(words: DataFrame) -> DataFrame:
+    """(h) of frequent words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array([xxhash.xxh3_64_intdigest(k + b"\0") for k in batch.column("key").to_pylist()], np.uint64)
+            of = np.array([xxhash.xxh3_64_intdigest(x) for x in batch.column("lang").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed(own * _MUL + of).view(np.int64))], names=["h"])
+
+    return words.select("lang", "key").mapInArrow(work, "h long")
 
 
 def _pairs(rows: DataFrame, word_bits: _Bits, min_count: int) -> DataFrame:
-    """(h) of the hashes of frequent pairs of words."""
+    """(h) of frequent pairs of words: the lower half of the hash, since pairs that share it only cost work."""
     known = rows.sparkSession.sparkContext.broadcast(word_bits.words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +204,7 @@ def _pairs(rows: DataFrame, word_bits: _Bits, min_count: int) -> DataFrame:
             if words is None:
                 continue
             at = _paired(words, bits)
-            values, n = np.unique(_followed(words.hashes[at], words.hashes[at + 1]), return_counts=True)
+            values, n = np.unique(_followed(words.hashes[at], words.hashes[at + 1]) & np.uint64(0xFFFFFFFF), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     return rows.mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h")
@@ -284,10 +294,17 @@ def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, budget:
 def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: np.ndarray, groups: np.ndarray) -> DataFrame:
     """(group, shared, lang, key, n): suffixes, and the words that their beginnings may share with other groups."""
     known = rows.sparkSession.sparkContext.broadcast(([b.words for b in bits], crowded, groups))
+    names = ["group", "shared", "lang", "key"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps, crowded, groups = known.value
         of = [_Bits(b) for b in maps]
+        held, size = [], 0
+
+        def together() -> Iterator[pa.RecordBatch]:
+            whole = pa.concat_tables(held).group_by(names, use_threads=False).aggregate([("n", "sum")])
+            yield from whole.select([*names, "n_sum"]).rename_columns([*names, "n"]).combine_chunks().to_batches()
+
         for words in map(_words, _parts(batches)):
             if words is None:
                 continue
@@ -295,7 +312,13 @@ def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: np.
             first, key, n = _combined(words, at, long)
             slot = _slots(words, at[first], long[first], crowded)
             lang = pa.array(words.langs, pa.string()).take(pa.array(words.lang[at[first]]))
-            yield pa.RecordBatch.from_arrays([pa.array(groups[slot]), pa.array((slot // SLOTS).astype(np.int32)), lang, key, pa.array(n)], names=["group", "shared", "lang", "key", "n"])
+            held.append(pa.table([pa.array(groups[slot]), pa.array((slot // SLOTS).astype(np.int32)), lang, key, pa.array(n)], names=[*names, "n"]))
+            size += len(first)
+            if size > HELD:
+                yield from together()
+                held, size = [], 0
+        if held:
+            yield from together()
 
     return rows.mapInArrow(work, "group long, shared int, lang string, key binary, n long")
 
@@ -363,7 +386,7 @@ def count(docs: DataFrame, depth: int = 5, min_count: int = 100, budget: int = B
     words = staged(_word_counts(rows).where((F.col("f") >= min_count) | (F.octet_length("key") == 0)), "phrase-words")
     empty = F.octet_length("key") == 0
     frequent = words.where(~empty)
-    word_bits = _Bits.of(frequent.select("h"), WORD_BITS)
+    word_bits = _Bits.of(_with_hash(frequent), WORD_BITS)
     bits = word_bits, _Bits.of(_pairs(rows, word_bits, min_count), PAIR_BITS)
     crowded, groups = _partitioned(rows, bits, depth, budget)
     nodes = staged(_nodes(_leaves(rows, bits, depth, crowded, groups), min_count), "phrase-nodes")
