@@ -1,5 +1,6 @@
 """Batch matching against literal scenarios and a sequential replay."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -248,3 +249,26 @@ def test_events_are_parsed_once(spark, sf_dir):
         plan = CATALOG[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         scans = plan.count("Relation [")
         assert plan.count("get_json_object") == scans, name
+
+
+@pytest.mark.parametrize("rows_per_chunk", [10_000, 15])
+def test_state_index_at_every_point(spark, tmp_path, rows_per_chunk):
+    from waycast.operators import index
+
+    events = random_events(51, routes=6, length=20)
+    path, every = str(tmp_path / "index"), 20
+    index.build(matching.trace(frame(spark, events), rows_per_chunk), path, every)
+    points = [0, *(e.seq for e in events), events[-1].seq + 5]
+    got = {}
+    for r in index.at(spark, path, points, every).collect():
+        got.setdefault(r.point, {}).setdefault(r.state, []).append((r.departure_location, r.arrival_location, r.item, r.travel_id))
+    for p in points:
+        left, now = replay([e for e in events if e.seq <= p])[1], got.get(p, {})
+        assert sorted((*r[:2], r[3]) for r in now.get("timetable", [])) == left["timetable"]
+        assert sorted(now.get("active", [])) == sorted(tuple(a[:4]) for a in left["active"])
+        assert sorted(r[:3] for r in now.get("early", [])) == left["early"]
+    one = index.at(spark, path, [points[len(points) // 2]], every)
+    assert re.search(r"PartitionFilters: \[[^\]]*block", one._jdf.queryExecution().executedPlan().toString())
+    rows = spark.read.schema(index.SCHEMA).parquet(path)
+    sizes = [r["count"] for r in rows.groupBy("block").count().collect()]
+    assert max(sizes) < 0.5 * sum(sizes)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waycast import schemas as S
 from waycast.functions import codec, keys
-from waycast.operators import matching, snapshots, streams, timetable
+from waycast.operators import index, matching, snapshots, streams, timetable
 from waycast.operators.chunks import cut_into_chunks
 from waycast.operators.timeline import is_closing, opens_timetable
 from waycast.session import work_dir
@@ -433,6 +433,16 @@ def state_as_of(spark, sf_dir):
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+@query
+def state_at_points(spark, sf_dir):
+    """Timetable, active and early requests at a hundred points, from a stored index."""
+    last = tables.read_table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    every = max(1, (last + 1) // 20)
+    path = work_dir(spark, "state-index")
+    index.build(_history(spark, sf_dir), path, every)
+    return index.at(spark, path, [(last + 1) * i // 100 for i in range(100)], every)
+
+
 # Streaming
 
 @query
@@ -488,3 +498,13 @@ def stream_active_state(spark, sf_dir):
 def stream_early_state(spark, sf_dir):
     _, checkpoint = runs.replay_table(spark, sf_dir, routes="daily")
     return runs.read_early(spark, checkpoint)
+
+
+@query
+def stream_timetable_feed(spark, sf_dir):
+    """Every put and delete of the timetable, from the state's change feed."""
+    _, checkpoint = runs.replay_table(spark, sf_dir)
+    return runs.read_changes(spark, checkpoint, "timetable").select(
+        "change_type", *[F.col(f"key.{c}").alias(c) for c in S.ROUTE], F.col("user_map_key.key").alias("travel_id"),
+        *[F.col(f"user_map_value.{c}").alias(c) for c in ("travel_type", "departure_time", "arrival_time")],
+    )

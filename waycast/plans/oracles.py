@@ -261,6 +261,24 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'early', {ROUTE}, id, NULL FROM started WHERE started_at IS NULL AND replaced_at IS NULL
         """, routes="daily", where=f"ts <= TIMESTAMP '{AS_OF}'"),
+    "state_at_points": _alerts(f"""
+        , points AS (SELECT (SELECT max(event_id) + 1 FROM events) * i // 100 AS point FROM range(100) r(i)),
+        held AS (SELECT point, e.* FROM points p JOIN entries e ON e.seq <= p.point AND (e.valid_to IS NULL OR e.valid_to > p.point)),
+        top AS (SELECT * FROM held QUALIFY row_number() OVER (PARTITION BY point, {ROUTE} ORDER BY arrival_time, travel_id) = 1)
+        SELECT point, 'timetable' AS state, {ROUTE}, id AS item, travel_id FROM held
+        UNION ALL
+        SELECT p.point, 'active', l.departure_location, l.arrival_location, l.id, t.travel_id
+        FROM points p JOIN lives l ON l.started_at <= p.point AND (l.closed_at IS NULL OR l.closed_at > p.point)
+          AND (l.replaced_at IS NULL OR l.replaced_at > p.point)
+        LEFT JOIN top t ON t.point = p.point AND t.departure_location = l.departure_location AND t.arrival_location = l.arrival_location
+        UNION ALL
+        SELECT p.point, 'early', s.departure_location, s.arrival_location, s.id, NULL
+        FROM points p JOIN started s ON s.seq <= p.point AND (s.started_at IS NULL OR s.started_at > p.point)
+          AND (s.replaced_at IS NULL OR s.replaced_at > p.point)"""),
+    "stream_timetable_feed": _timetable(f"""
+        SELECT 'update' AS change_type, {ROUTE}, travel_id, kind AS travel_type, departure_time, arrival_time FROM entries
+        UNION ALL
+        SELECT 'delete', {ROUTE}, travel_id, NULL, NULL, NULL FROM changes WHERE kind = 'DEPARTURE' AND previous_kind IN ('TRAIN', 'PLANE')"""),
     "stream_alerts": _alerts(),
     "stream_alerts_unordered": _alerts(),
     "stream_alerts_rescaled": _alerts(),

@@ -212,16 +212,28 @@ def replay_rescaled(spark: SparkSession, sf_dir: str, shards: tuple[int, int] =
     return reduce(DataFrame.unionByName, alerts)
 
 
+def _state_readers(spark: SparkSession, checkpoint: str, name: str) -> list:
+    """A reader per operator that keeps the state variable ``name``."""
+    known = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorProperties").distinct().collect()
+    numbers = sorted(r[0] for r in known if f'"stateName":"{name}"' in r[1].replace(" ", ""))
+    of = lambda n: spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).option("operatorId", n)
+    return [of(n) for n in numbers]
+
+
 def read_state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
     """One state variable of a stopped query as a table: ``held``, ``timetable``, ``active``, ``early`` or ``route``.
 
     Records are held back by two operators, one for requests and one for the rest.
     """
-    known = spark.read.format("state-metadata").load(checkpoint).select("operatorId", "operatorProperties").distinct().collect()
-    numbers = sorted(r[0] for r in known if f'"stateName":"{name}"' in r[1].replace(" ", ""))
-    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name)
-    tables = [reader.option("operatorId", n).load() for n in numbers]
-    return reduce(DataFrame.unionByName, tables)
+    return reduce(DataFrame.unionByName, [r.load() for r in _state_readers(spark, checkpoint, name)])
+
+
+def read_changes(spark: SparkSession, checkpoint: str, name: str, first_batch: int = 0, last_batch: int | None = None) -> DataFrame:
+    """Every put (``update``) and ``delete`` of a state variable by batch, as far back as the checkpoint keeps its changelogs."""
+    readers = [r.option("readChangeFeed", "true").option("changeStartBatchId", first_batch) for r in _state_readers(spark, checkpoint, name)]
+    if last_batch is not None:
+        readers = [r.option("changeEndBatchId", last_batch) for r in readers]
+    return reduce(DataFrame.unionByName, [r.load() for r in readers])
 
 
 def read_timetable(spark: SparkSession, checkpoint: str) -> DataFrame:
