@@ -13,7 +13,7 @@ from scenarios import everything
 from waycast import schemas as S
 from waycast.functions import codec
 from waycast.operators import matching, streams
-from waycast.sources import logs, tables
+from waycast.sources import logs, tables, topics
 from waycast.streaming import matcher, runs
 
 
@@ -222,3 +222,35 @@ def test_a_crash_around_the_commit_loses_and_repeats_nothing(spark, tmp_path, mo
     got = codec.decode_alerts(runs.read_alert_log(spark, out))
     wanted = Counter((a[0], a[3], a[4], a[5]) for a in replay(events)[0])
     assert Counter(tuple(r) for r in got.select("seq", "id", "travel_id", "last_travel_id").collect()) == wanted
+
+
+def records(spark, topic, seqs, path):
+    rows = [(topic, f"k{i}", "{}", DAY + timedelta(seconds=i), i) for i in seqs]
+    logs.write_log(spark.createDataFrame(rows, S.LOG_SCHEMA).coalesce(1), path)
+    time.sleep(0.05)  # positions go by time of writing
+
+
+@pytest.mark.parametrize("start", ["latest", "earliest", "2030-01-01T00:00:05", '{"a": "latest", "b": "2030-01-01 00:00:04"}'])
+def test_topics_start_at_their_positions(spark, tmp_path, start):
+    path, out, checkpoint = (str(tmp_path / n) for n in ("log", "out", "checkpoint"))
+    spark.dataSource.register(topics.TopicLog)
+
+    def run():
+        log = spark.readStream.format("topiclog").option("path", path).option("startingOffsets", start).load()
+        runs.start_files(log, out, checkpoint).awaitTermination()
+        return sorted(r.seq for r in spark.read.schema(S.LOG_SCHEMA).parquet(out).collect())
+
+    for topic, seqs in (("a", range(0, 8)), ("b", range(100, 104)), ("b", range(2, 7))):
+        records(spark, topic, seqs, path)
+    first = {
+        "latest": [], "earliest": [*range(8), *range(100, 104), *range(2, 7)],
+        "2030-01-01T00:00:05": [5, 6, 7, *range(100, 104), 5, 6],
+    }.get(start, [*range(100, 104), 4, 5, 6])
+    assert run() == sorted(first)
+    assert run() == sorted(first)  # nothing new
+    for topic, seqs in (("a", [1, 50]), ("c", [3, 60])):
+        records(spark, topic, seqs, path)
+    early = [i for i in (1, 3) if start != "2030-01-01T00:00:05"]
+    assert run() == sorted([*first, 50, 60, *early])
+    whole = spark.read.format("topiclog").option("path", path).option("topics", "a,c,none").load()
+    assert sorted((r.topic, r.seq) for r in whole.collect()) == [("a", i) for i in sorted([*range(8), 1, 50])] + [("c", 3), ("c", 60)]

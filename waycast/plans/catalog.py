@@ -5,6 +5,7 @@ Each takes ``(spark, sf_dir)`` and runs over its whole tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from waycast.operators import index, matching, snapshots, streams, timetable
 from waycast.operators.chunks import cut_into_chunks
 from waycast.operators.timeline import is_closing, opens_timetable
 from waycast.session import work_dir
-from waycast.sources import logs, tables
+from waycast.sources import logs, tables, topics
 from waycast.streaming import runs
 
 # Point in time for as-of questions: about half of the events lie before it.
@@ -100,6 +101,32 @@ def src_from_time(spark, sf_dir):
 CATALOG["src_from_latest"] = src_from_time  # its former name
 
 
+@query
+def src_topic_positions(spark, sf_dir):
+    """A log read from positions of its own for each topic: one from its end, one from a point in time, the others whole."""
+    path = logs.write_log(codec.encode_events(tables.read_events(spark, sf_dir)), work_dir(spark, "log"))
+    starts = json.dumps({S.TOPICS[S.TRAIN]: AS_OF, S.TOPICS[S.DEPARTURE]: "latest"})
+    spark.dataSource.register(topics.TopicLog)
+    log = spark.read.format("topiclog").option("path", path).option("startingOffsets", starts).load()
+    return log.select("topic", "key", "ts", "seq")
+
+
+@query
+def src_topic_stream(spark, sf_dir):
+    """A stream over the log that starts at the end of each topic, stops and starts again: the second half, once."""
+    path, out, checkpoint = (work_dir(spark, n) for n in ("log", "records", "state"))
+    spark.dataSource.register(topics.TopicLog)
+    log = codec.encode_events(tables.read_events(spark, sf_dir))
+    late = F.col("ts") >= F.lit(AS_OF).cast("timestamp_ntz")
+    logs.write_log(log.filter(~late), path)
+    for part in (None, late & (F.col("seq") % 2 == 0), late & (F.col("seq") % 2 == 1)):
+        if part is not None:
+            logs.write_log(log.filter(part), path)
+        arriving = spark.readStream.format("topiclog").option("path", path).option("startingOffsets", "latest").load()
+        runs.start_files(arriving, out, checkpoint).awaitTermination()
+    return spark.read.schema(S.LOG_SCHEMA).parquet(out).select("topic", "key", "ts", "seq")
+
+
 @query
 def decode_events(spark, sf_dir):
     log = codec.encode_events(tables.read_events(spark, sf_dir))

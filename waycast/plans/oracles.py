@@ -152,6 +152,10 @@ ORACLES: dict[str, str] = {
     "src_event_log": _raw(f"SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq, departure_location FROM raw"),
     "src_from_time": _raw(
         f"SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq FROM raw WHERE ts >= TIMESTAMP '{AS_OF}'"),
+    "src_topic_positions": _raw(f"""SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq FROM raw
+        WHERE kind <> 'DEPARTURE' AND (kind <> 'TRAIN' OR ts >= TIMESTAMP '{AS_OF}')"""),
+    "src_topic_stream": _raw(
+        f"SELECT {_TOPIC} AS topic, {_KEY} AS key, ts, seq FROM raw WHERE ts >= TIMESTAMP '{AS_OF}'"),
     "decode_events": _raw(f"SELECT {EVENT} FROM raw"),
     "decode_rejects": """
         SELECT event_id AS seq, 'planeTimeUpdated' AS topic,

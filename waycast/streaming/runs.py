@@ -48,15 +48,20 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def start_files(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Rows to parquet files; file sink and checkpoint make it exactly once."""
+    return (
+        rows.writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
 def start_alert_files(alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                       partitions: int | None = None) -> StreamingQuery:
-    """Alerts to parquet files; file sink and checkpoint make it exactly once."""
+    """Alerts to parquet files, with the state settings that the operators need."""
     with state_settings(alerts.sparkSession, partitions):
-        return (
-            alerts.writeStream.format("parquet").outputMode("append")
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start()
-        )
+        return start_files(alerts, path, checkpoint, trigger)
 
 
 def _committed(spark: SparkSession, path: str) -> DataFrame:
@@ -115,11 +120,7 @@ def start_job(log: DataFrame, alerts_path: str, rejects_path: str, checkpoint: s
     decoded = codec.decode_events(log)
     now = streams.utc_now() if as_of is None and live else as_of
     alerts = match_stream(codec.accepted(decoded), min_lead, now, shards=shards)
-    rejects = (
-        codec.rejected(decoded).writeStream.format("parquet").outputMode("append")
-        .option("path", rejects_path).option("checkpointLocation", f"{checkpoint}/rejects")
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+    rejects = start_files(codec.rejected(decoded), rejects_path, f"{checkpoint}/rejects", trigger)
     return start_alert_log(alerts, alerts_path, f"{checkpoint}/alerts", trigger=trigger, partitions=partitions), rejects
 
 
