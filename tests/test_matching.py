@@ -272,3 +272,13 @@ def test_state_index_at_every_point(spark, tmp_path, rows_per_chunk):
     rows = spark.read.schema(index.SCHEMA).parquet(path)
     sizes = [r["count"] for r in rows.groupBy("block").count().collect()]
     assert max(sizes) < 0.5 * sum(sizes)
+
+
+@pytest.mark.parametrize("rows_per_chunk", [10_000, 15, 1])
+def test_best_travel_in_built_in_functions(spark, rows_per_chunk):
+    events = random_events(52, routes=8, length=25) + incomplete_events(3)
+    one, other = (matching.trace(frame(spark, events), rows_per_chunk, builtin=b) for b in (True, False))
+    plan = one.timeline._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
+    columns = ["seq", "kind", "id", *S.ROUTE, "before", "after", "epoch", "updated_at", "updated_from"]
+    assert Counter(map(str, one.timeline.select(*columns).collect())) == Counter(map(str, other.timeline.select(*columns).collect()))

@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waycast.operators.streams import is_complete
@@ -99,3 +99,20 @@ def first_row_of_next_chunk(frame: DataFrame, keys: list[str], order: str) -> Da
         .filter(F.col(order).isNotNull())
         .drop("_first")
     )
+
+
+def aligned_blocks(begin: Column, end: Column, levels: Column) -> Column:
+    """An array of (level, block): the blocks of ``2 ** level`` numbers that make up ``begin`` to ``end``, without ``end``."""
+
+    def of(level: Column) -> Column:
+        size = F.pow(F.lit(2), level).cast("bigint")
+        first, last = F.ceil(begin / size), F.floor(end / size)
+        return F.filter(
+            F.array(
+                F.struct(level.alias("level"), F.when(first % 2 == 1, first).alias("block")),
+                F.struct(level.alias("level"), F.when(last % 2 == 1, last - 1).alias("block")),
+            ),
+            lambda b: b["block"].isNotNull() & (first < last),
+        )
+
+    return F.flatten(F.transform(levels, of))

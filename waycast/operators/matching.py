@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waycast import schemas as S
+from waycast.operators import blocks
 from waycast.operators.chunks import GROUP, ROWS_PER_CHUNK, ChunkedEvents, cut_into_chunks, first_row_of_next_chunk
 from waycast.operators.streams import is_update
 from waycast.operators.timeline import NO_EPOCH, best_timeline, chunk_openings, is_closing, with_openings
@@ -38,7 +39,7 @@ class History:
     openings: DataFrame | None = None
 
 
-def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: DataFrame | None = None) -> History:
+def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: DataFrame | None = None, builtin: bool = False) -> History:
     """Annotate events; incomplete ones (``streams.is_complete``) take no part.
 
     Timetable events are shuffled on ``(route, chunk)`` for their timeline, and
@@ -46,9 +47,11 @@ def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: D
     on the epoch.  With more events than one chunk holds, everything is shuffled and
     written once before (``chunks.cut_into_chunks``), and so is the timeline: then
     this call itself runs jobs, and so does every query built on it.
+
+    ``builtin`` finds the best travel without Python workers (:mod:`waycast.operators.blocks`).
     """
     cut = cut_into_chunks(events, rows_per_chunk, count_from)
-    local, openings = best_timeline(cut), None
+    local, openings = (blocks.best_timeline if builtin else best_timeline)(cut), None
     if cut.is_cut:
         # read several times below, and a small part of the data: requests are not in it
         local = staged(local, "timeline")

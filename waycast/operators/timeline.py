@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waycast import schemas as S
-from waycast.operators.chunks import GROUP, ChunkedEvents
+from waycast.operators.chunks import GROUP, ChunkedEvents, aligned_blocks
 from waycast.operators.streams import is_update
 
 PAYLOAD = ["seq", "ts", "kind", "id", "travel_id", "last_chunk"]
@@ -135,7 +135,7 @@ def best_timeline(cut: ChunkedEvents) -> DataFrame:
     """
     rows = timetable_events(cut.events)
     if cut.is_cut:
-        rows = rows.unionByName(_carried_entries(rows, cut))
+        rows = rows.unionByName(carried_entries(rows, cut))
     fields = {f.name: f.dataType for f in rows.schema.fields}
     kinds = [fields["entry"], fields["entry"], T.LongType(), T.LongType(), T.StringType()]
     out = T.StructType([T.StructField(c, fields[c]) for c in [*GROUP, *PAYLOAD]]
@@ -181,7 +181,7 @@ def with_openings(timeline: DataFrame, openings: DataFrame | None, cut: ChunkedE
     )
 
 
-def _carried_entries(rows: DataFrame, cut: ChunkedEvents) -> DataFrame:
+def carried_entries(rows: DataFrame, cut: ChunkedEvents) -> DataFrame:
     """What earlier chunks of a cut route leave for a later one.
 
     An entry still open at the end of its chunk reaches the next chunk that
@@ -216,21 +216,10 @@ def _best_untouched(spans: DataFrame, cut: ChunkedEvents) -> DataFrame:
     """
     levels = F.sequence(F.lit(0), F.ceil(F.log2(F.col("last_chunk") + 2)).cast("int"))
 
-    def blocks(level: Column) -> Column:
-        size = F.pow(F.lit(2), level).cast("bigint")
-        first, last = F.ceil(F.col("begin") / size), F.floor(F.col("end") / size)
-        return F.filter(
-            F.array(
-                F.struct(level.alias("level"), F.when(first % 2 == 1, first).alias("block")),
-                F.struct(level.alias("level"), F.when(last % 2 == 1, last - 1).alias("block")),
-            ),
-            lambda b: b["block"].isNotNull() & (first < last),
-        )
-
     best_of_block = (
         spans.filter(F.col("begin") < F.col("end"))
         .select(*S.ROUTE, "travel_id", "seq", "entry",
-                F.explode(F.flatten(F.transform(levels, blocks))).alias("b"))
+                F.explode(aligned_blocks(F.col("begin"), F.col("end"), levels)).alias("b"))
         .groupBy(*S.ROUTE, "b.level", "b.block")
         .agg(F.min_by(F.struct("travel_id", "seq", "entry"),
                       F.struct("entry.arrival_time", "travel_id")).alias("best"))

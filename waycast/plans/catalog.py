@@ -379,6 +379,13 @@ def best_timeline(spark, sf_dir):
     return _history(spark, sf_dir).timeline.select("seq", "kind", *S.ROUTE, *_entry("before"), *_entry("after"))
 
 
+@query
+def best_timeline_builtin(spark, sf_dir):
+    """The same in built-in functions, without a Python worker."""
+    history = matching.trace(_events(spark, sf_dir), count_from=_bound(spark, sf_dir), builtin=True)
+    return history.timeline.select("seq", "kind", *S.ROUTE, *_entry("before"), *_entry("after"))
+
+
 @query
 def request_lifetimes(spark, sf_dir):
     return snapshots.request_lifetimes(_history(spark, sf_dir))

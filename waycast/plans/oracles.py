@@ -313,3 +313,4 @@ ORACLES: dict[str, str] = {
           QUALIFY row_number() OVER (PARTITION BY r_seq ORDER BY seq DESC) = 1)"""),
 }
 ORACLES["src_from_latest"] = ORACLES["src_from_time"]
+ORACLES["best_timeline_builtin"] = ORACLES["best_timeline"]
