@@ -243,7 +243,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gate_bits, key_bits = held.value
         for batch in slices(batches, "text", 2 << 20):
-            words = Words(batch.column("text"))
+            words, met = Words(batch.column("text")), []
             n, ends = len(words.hashes), words.ends
             begin = np.r_[0, ends[:-1]]
             upto = {}  # rows of items before each word, by their length
@@ -259,14 +259,21 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
                     part = starts[i : i + 20_000]
                     keys = plan.keys(words.hashes, part, c)
                     found = _has(key_bits, keys.ravel()).reshape(keys.shape)
-                    for j in np.flatnonzero(found.any(1)).tolist():
-                        at, d = int(part[j]), int(np.searchsorted(ends, part[j], "right"))
-                        k = most // LIMIT
-                        a, b = max(int(begin[d]), at - k), min(int(ends[d]), at + most + 2 * k + 1)
-                        hit = pa.array([keys[j][found[j]].view(np.int64).tolist()], pa.list_(pa.int64()))
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column("doc_id").slice(d, 1), pa.array([words.run(a, b)], pa.binary()), hit], names=["doc_id", "run", "keys"]
-                        )
+                    hit = np.flatnonzero(found.any(1))
+                    if not len(hit):
+                        continue
+                    # hits close to each other in a text are one run
+                    at, d = part[hit], np.searchsorted(ends, part[hit], "right")
+                    cuts = np.flatnonzero((np.diff(d) != 0) | (np.diff(at) > most // LIMIT + 1)) + 1
+                    for own in np.split(np.arange(len(hit)), cuts):
+                        doc, k = int(d[own[0]]), most // LIMIT
+                        a, b = max(int(begin[doc]), int(at[own[0]]) - k), min(int(ends[doc]), int(at[own[-1]]) + most + 2 * k + 1)
+                        rows_of_run = hit[own]
+                        met.append((doc, words.run(a, b), np.unique(keys[rows_of_run][found[rows_of_run]]).view(np.int64).tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array([m[0] for m in met], pa.int64())), pa.array([m[1] for m in met], pa.binary()), pa.array([m[2] for m in met], pa.list_(pa.int64()))],
+                names=["doc_id", "run", "keys"],
+            )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: dict = {}
