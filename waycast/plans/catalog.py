@@ -537,7 +537,7 @@ def stream_early_state(spark, sf_dir):
 @query
 def stream_timetable_feed(spark, sf_dir):
     """Every put and delete of the timetable, from the state's change feed."""
-    _, checkpoint = runs.replay_table(spark, sf_dir)
+    _, checkpoint = runs.replay_table(spark, sf_dir, every_write=True)
     return runs.read_changes(spark, checkpoint, "timetable").select(
         "change_type", *[F.col(f"key.{c}").alias(c) for c in S.ROUTE], F.col("user_map_key.key").alias("travel_id"),
         *[F.col(f"user_map_value.{c}").alias(c) for c in ("travel_type", "departure_time", "arrival_time")],

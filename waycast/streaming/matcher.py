@@ -9,7 +9,11 @@
 3. ``MatchRequests``, per route and shard, holds requests and turns them and the changes
    into alerts.  A route may hold a third of the traffic; requests of a route never
    affect each other, so ``shards`` splits them by their id, and every shard gets the
-   (few) changes of its route.
+   (few) changes of its route, many of them packed in one row.
+
+A call of the state store is a round trip to the JVM.  So what a batch needs of a key's
+state is read once (:class:`_Memo`, :class:`_MapMemo`), and what it leaves is written at
+the end.
 
 With ``expire``, an entry also leaves the timetable when its departure time has come: at
 the latest when the watermark passes it, by a timer, and before any later event is
@@ -18,6 +22,7 @@ looked at.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
@@ -42,13 +47,12 @@ ROUTE_SCHEMA = T.StructType(
 TIME = "_time"
 EVENT_FIELDS = S.EVENT_SCHEMA.fields
 HELD_SCHEMA = T.StructType([*EVENT_FIELDS, T.StructField(TIME, T.TimestampType())])
-#: Requests and changes on their way to the request shards.
-MESSAGE_SCHEMA = T.StructType([
-    *[f for f in EVENT_FIELDS if f.name in ("kind", "seq", "ts", "id", *S.ROUTE)],
-    *[T.StructField(f"{role}_{f.name}", f.dataType) for role in ("told", "best") for f in S.ENTRY_SCHEMA.fields],
-    T.StructField("moved_from", T.StringType()),
-])
-MESSAGE = Row(*MESSAGE_SCHEMA.fieldNames())
+#: Changes on their way to the request shards, ``PACK`` of a route in one row.
+PACK_SCHEMA = T.StructType([*[f for f in EVENT_FIELDS if f.name in S.ROUTE], T.StructField("changes", T.BinaryType())])
+PACKED = Row(*PACK_SCHEMA.fieldNames())
+PACK = 500
+#: A key with more rows than this in a map state is walked in the store and not kept in memory.
+MEMO_ROWS = 100_000
 NO_ENTRY = (None,) * len(S.ENTRY_SCHEMA.fields)
 EPOCH = datetime(1970, 1, 1)
 BUCKETS = 16
@@ -63,25 +67,119 @@ def _entry(values) -> Entry | None:
     return Entry(*values) if values[0] is not None else None
 
 
-class _MapView:
-    """A Spark map state with the few calls the rules need."""
+def _pack(changes: list[Change]) -> bytes:
+    """Plain tuples, so that reading them needs no class of this package."""
+    return pickle.dumps([(*c[:4], c.told and tuple(c.told), c.best and tuple(c.best), c.moved_from) for c in changes], protocol=5)
+
+
+def _unpack(packed: bytes, route: tuple[str, str]) -> Iterator[Change]:
+    for kind, seq, ts, id_, told, best, moved_from in pickle.loads(packed):
+        yield Change(kind, seq, ts, id_, *route, told and Entry(*told), best and Entry(*best), moved_from)
+
 
-    def __init__(self, state, pack, unpack):
+class _Memo:
+    """A value state that a batch reads at most once and writes at its end."""
+
+    def __init__(self, state, pack=lambda v: v, unpack=lambda v: v):
         self._state, self._pack, self._unpack = state, pack, unpack
+        self.forget()
 
-    def put(self, key, value):
+    def forget(self) -> None:
+        self._known, self._changed, self._value = False, False, None
+
+    def get(self):
+        if not self._known:
+            stored = self._state.get()  # None if there is none
+            self._known, self._value = True, None if stored is None else self._unpack(stored)
+        return self._value
+
+    def set(self, value) -> None:
+        if not self._known or value != self._value:
+            self._known, self._changed, self._value = True, True, value
+
+    def write(self) -> None:
+        if self._changed:
+            self._state.clear() if self._value is None else self._state.update(self._pack(self._value))
+        self.forget()
+
+
+class _MapMemo:
+    """A Spark map state with the few calls the rules need.
+
+    Its rows are read once, when they are first walked.  With ``through``, every put and
+    removal is written as it comes, so that the state's change feed has all of them; else
+    only what the batch leaves.  Beyond ``MEMO_ROWS`` rows nothing is kept and the store
+    is walked, lazily.
+    """
+
+    def __init__(self, state, pack, unpack, through: bool = False):
+        self._state, self._pack, self._unpack, self._through = state, pack, unpack, through
+        self.forget()
+
+    def forget(self) -> None:
+        self._rows, self._unwritten, self._too_many, self._stored = None, {}, False, True
+
+    def _walk(self):
+        return ((key[0], self._unpack(value)) for key, value in self._state.iterator())
+
+    def _update(self, key, value) -> None:
         self._state.updateValue((key,), self._pack(value))
+        self._stored = True
+
+    def _flush(self) -> None:
+        for key, value in self._unwritten.items():  # None: removed
+            self._state.removeKey((key,)) if value is None else self._update(key, value)
+        self._unwritten = {}
+
+    def _spill(self) -> None:
+        self._flush()
+        self._rows, self._too_many = None, True
+
+    def _load(self) -> bool:
+        """Whether all rows are in memory, read now if need be."""
+        if self._rows is None and not self._too_many:
+            rows = {}
+            for key, value in self._walk() if self._stored else ():
+                rows[key] = value
+                if len(rows) > MEMO_ROWS:
+                    self._spill()
+                    return False
+            self._rows = {**rows, **self._unwritten}
+        return self._rows is not None
+
+    def put(self, key, value):
+        if self._through or self._too_many:
+            self._update(key, value)
+        else:
+            self._unwritten[key] = value
+        if self._rows is not None:
+            self._rows[key] = value
+        if max(len(self._unwritten), len(self._rows or ())) > MEMO_ROWS:
+            self._spill()
 
     def remove(self, key):
-        if self._state.containsKey((key,)):
-            self._state.removeKey((key,))
+        if self._load():
+            if self._rows.pop(key, None) is None:
+                return
+            if not self._through:
+                self._unwritten[key] = None
+                return
+        elif not self._state.containsKey((key,)):
+            return
+        self._state.removeKey((key,))
 
     def items(self):
-        # lazily, a busy shard may hold many rows; no rule changes the mapping it walks
-        return ((key[0], self._unpack(value)) for key, value in self._state.iterator())
+        # no rule changes the mapping it walks
+        return self._rows.items() if self._load() else self._walk()
 
     def clear(self):
-        self._state.clear()
+        if self._stored:
+            self._state.clear()
+        self._rows, self._unwritten, self._too_many, self._stored = {}, {}, False, False
+
+    def write(self) -> None:
+        self._flush()
+        self.forget()
 
 
 class HoldBack(StatefulProcessor):
@@ -126,63 +224,94 @@ class HoldBack(StatefulProcessor):
 
 
 class FollowTimetable(StatefulProcessor):
-    """The timetable of a route; ``expiring`` entries leave at their departure time."""
+    """The timetable of a route; ``expiring`` entries leave at their departure time.
+
+    One timer per route, for the earliest departure.
+    """
 
-    def __init__(self, expiring: bool = False):
-        self._expiring = expiring
+    def __init__(self, expiring: bool = False, every_write: bool = False):
+        self._expiring, self._every_write = expiring, every_write
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._best_state = handle.getValueState("best", S.ENTRY_SCHEMA)
-        self._due = handle.getValueState("due", COUNTER)  # no entry departs before this millisecond
-        self.timetable = _MapView(handle.getMapState("timetable", TEXT_KEY, S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v))
+        self._best_state = _Memo(handle.getValueState("best", S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v))
+        # no entry departs before this millisecond; the timer is set for it
+        self._due = _Memo(handle.getValueState("due", COUNTER), lambda at: (at,), lambda v: v[0])
+        self.timetable = _MapMemo(handle.getMapState("timetable", TEXT_KEY, S.ENTRY_SCHEMA), tuple, lambda v: Entry(*v), self._every_write)
 
     def best(self) -> Entry | None:
-        return _entry(self._best_state.get()) if self._best_state.exists() else None
+        return self._best_state.get()
 
     def set_best(self, best: Entry | None) -> None:
-        self._best_state.clear() if best is None else self._best_state.update(tuple(best))
+        self._best_state.set(best)
 
     def _until_departure(self, entry: Entry) -> None:
         if self._expiring:
-            at = _millis(entry.departure_time)
-            self._handle.registerTimer(at)
-            if not self._due.exists() or at < self._due.get()[0]:
-                self._due.update((at,))
+            at, due = _millis(entry.departure_time), self._due.get()
+            if due is None or at < due:
+                self._due.set(at)
 
-    def _expire(self, now: datetime, key) -> Iterator[Row]:
-        if not self._due.exists() or _millis(now) < self._due.get()[0]:
+    def _expire(self, now: datetime, key) -> Iterator[Change]:
+        due = self._due.get()
+        if due is None or _millis(now) < due:
             return
-        yield from map(self._message, expire(now, key, self))
-        due = min((_millis(e.departure_time) for _, e in self.timetable.items()), default=None)
-        self._due.clear() if due is None else self._due.update((due,))
+        yield from expire(now, key, self)
+        self._due.set(min((_millis(e.departure_time) for _, e in self.timetable.items()), default=None))
+
+    def _write(self, timer: int | None) -> None:
+        """Ends a batch's work on a key, whose timer was set for ``timer``."""
+        if self._expiring:
+            due = self._due.get()
+            if due != timer:
+                if timer is not None:
+                    self._handle.deleteTimer(timer)
+                if due is not None:
+                    self._handle.registerTimer(due)
+        for state in (self._best_state, self._due, self.timetable):
+            state.write()
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        timer = self._due.get() if self._expiring else None
         entry = Entry(*(initialState[f] for f in S.ENTRY_SCHEMA.fieldNames()))
         self.timetable.put(entry.travel_id, entry)
         best = self.best()
         if best is None or entry.rank < best.rank:
             self.set_best(entry)
         self._until_departure(entry)
+        self._write(timer)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         """One route's updates and departures of a micro-batch, whose size the source options bound."""
-        for event in sorted(rows, key=lambda row: row.seq):
+        timer = self._due.get() if self._expiring else None
+        yield from self._packed(self._changes(key, sorted(rows, key=lambda row: row.seq)), key)
+        self._write(timer)
+
+    def _changes(self, key, events: list[Row]) -> Iterator[Change]:
+        for event in events:
             if self._expiring:
                 yield from self._expire(event.ts, key)
             change = follow(event, self)
             if event.kind != S.DEPARTURE:
                 self._until_departure(Entry(event.travel_id, event.kind, event.departure_time, event.arrival_time))
             if change is not None:
-                yield self._message(change)
+                yield change
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return self._expire(EPOCH + timedelta(milliseconds=expiredTimerInfo.getExpiryTimeInMs()), key)
+        """Everything that has departed by the watermark leaves, in order of time; Spark then drops the timer."""
+        passed = EPOCH + timedelta(milliseconds=timerValues.getCurrentWatermarkInMs())
+        yield from self._packed(self._expire(passed, key), key)
+        self._write(None)
 
     @staticmethod
-    def _message(change: Change) -> Row:
-        told, best = (e or NO_ENTRY for e in (change.told, change.best))
-        return MESSAGE(*change[:6], *told, *best, change.moved_from)
+    def _packed(changes: Iterator[Change], key) -> Iterator[Row]:
+        pack = []
+        for change in changes:
+            pack.append(change)
+            if len(pack) == PACK:
+                yield PACKED(*key, _pack(pack))
+                pack = []
+        if pack:
+            yield PACKED(*key, _pack(pack))
 
 
 class MatchRequests(StatefulProcessor):
@@ -192,41 +321,42 @@ class MatchRequests(StatefulProcessor):
         self._by_time = by_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._stored_route = handle.getValueState("route", ROUTE_SCHEMA)
-        self.active = _MapView(handle.getMapState("active", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
-        self.early = _MapView(handle.getMapState("early", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
+        self._route = _Memo(
+            handle.getValueState("route", ROUTE_SCHEMA),
+            lambda r: (*(r.best or NO_ENTRY), r.updates, r.moved_from), lambda v: Route(_entry(v[:4]), v[4], v[5]))
+        self.active = _MapMemo(handle.getMapState("active", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
+        self.early = _MapMemo(handle.getMapState("early", TEXT_KEY, COUNTER), lambda n: (n,), lambda v: v[0])
 
     def route(self) -> Route:
-        if self._cached is None:
-            stored = self._stored_route.get() if self._stored_route.exists() else None
-            self._cached = Route() if stored is None else Route(_entry(stored[:4]), stored[4], stored[5])
-        return self._cached
+        return self._route.get() or Route()
 
     def set_route(self, route: Route) -> None:
-        self._cached, self._changed = route, True
+        self._route.set(route)
+
+    def _write(self) -> None:
+        for state in (self._route, self.active, self.early):
+            state.write()
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         if initialState.id is None:
-            self._stored_route.update(tuple(initialState[f] for f in ROUTE_SCHEMA.fieldNames()))
+            values = [initialState[f] for f in ROUTE_SCHEMA.fieldNames()]
+            self.set_route(Route(_entry(values[:4]), *values[4:]))
         else:
             (self.active if initialState.is_active else self.early).put(initialState.id, initialState.n)
+        self._write()
 
-    def _order(self, row: Row):
+    def _order(self, message: Row | Change):
         # an expiry has no seq and comes before events of its moment
-        return (row.ts, -1 if row.seq is None else row.seq) if self._by_time else row.seq
+        return (message.ts, -1 if message.seq is None else message.seq) if self._by_time else message.seq
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        self._cached, self._changed = None, False
-        for row in sorted(rows, key=self._order):
-            if row.kind == S.REQUEST:
-                alerts = on_request(row, self)
-            else:
-                told, best = (_entry([row[f"{role}_{f}"] for f in S.ENTRY_SCHEMA.fieldNames()]) for role in ("told", "best"))
-                alerts = on_change(Change(row.kind, row.seq, row.ts, row.id, *key[:2], told, best, row.moved_from), self)
-            for alert in alerts:
+        messages = []
+        for row in rows:
+            messages.extend([row] if row.changes is None else _unpack(row.changes, key[:2]))
+        for message in sorted(messages, key=self._order):
+            for alert in on_request(message, self) if message.kind == S.REQUEST else on_change(message, self):
                 yield ALERT(*alert)
-        if self._changed:
-            self._stored_route.update((*(self._cached.best or NO_ENTRY), self._cached.updates, self._cached.moved_from))
+        self._write()
 
 
 def hold_back(events: DataFrame, disorder: str, buckets: int = BUCKETS, held: DataFrame | None = None) -> DataFrame:
@@ -251,7 +381,8 @@ def _shard(shards: int):
 
 
 def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, *, shards: int,
-                 disorder: str | None = None, expiring: bool = False, state: dict[str, DataFrame] | None = None) -> DataFrame:
+                 disorder: str | None = None, expiring: bool = False, state: dict[str, DataFrame] | None = None,
+                 every_write: bool = False) -> DataFrame:
     """Alerts of a streaming event frame.  Filters run before the state's shuffle.
 
     ``shards`` is the number of tasks the requests of a single route can use.  It is part
@@ -260,7 +391,8 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
 
     ``disorder`` is how late records may arrive, in event time, and still be taken in
     their place; without it, arrival order decides across batches.  ``expiring`` needs
-    it.
+    it.  With ``every_write``, the timetable's change feed has every put and delete, at a
+    call of the state store each; else what each batch leaves.
     """
     if expiring and disorder is None:
         raise ValueError("expiring entries need an event-time clock: give disorder")
@@ -277,7 +409,7 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     requests = of(is_request).select("kind", "seq", "ts", "id", *S.ROUTE, _shard(shards))
     timetable = state.get("timetable")
     changes = apply_lead_time(of(~is_request), min_lead, as_of).groupBy(*S.ROUTE).transformWithState(
-        FollowTimetable(expiring), MESSAGE_SCHEMA, "Append", "EventTime" if expiring else "None",
+        FollowTimetable(expiring, every_write), PACK_SCHEMA, "Append", "EventTime" if expiring else "None",
         initialState=None if timetable is None else timetable.groupBy(*S.ROUTE),
     )
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
