@@ -71,10 +71,10 @@ class Map:
         self.rows.clear()
 
 
-def run(events, batches, every_write=False):
+def run(events, batches, every_write=False, tell_changes=True):
     """The alerts of one route on one shard, and both stores."""
     route = (events[0].departure_location, events[0].arrival_location)
-    follow, match = matcher.FollowTimetable(every_write=every_write), matcher.MatchRequests()
+    follow, match = matcher.FollowTimetable(every_write=every_write), matcher.MatchRequests(tell_changes=tell_changes)
     stores = Store(), Store()
     follow.init(stores[0])
     match.init(stores[1])
@@ -129,3 +129,12 @@ def test_one_timer_a_route_for_the_earliest_departure():
     follow.init(store)
     list(follow.handleInputRows((events[0].departure_location, events[0].arrival_location), iter([Row(**vars(e)) for e in events]), None))
     assert len(store.timers) <= 1 and store.calls["timer"] <= 1
+
+
+def test_first_matches_alone_walk_no_active_request_and_keep_the_state():
+    events = busy(400)
+    told, (_, all_state) = run(events, 3)
+    first, (_, state) = run(events, 3, tell_changes=False)
+    assert first == Counter({alert: n for alert, n in told.items() if alert[2] == S.REQUEST}) != told
+    assert state.maps == all_state.maps and state.values == all_state.values
+    assert state.calls["walk"] < all_state.calls["walk"]

@@ -512,7 +512,7 @@ def stream_alerts_rescaled(spark, sf_dir):
 @query
 def stream_expired(spark, sf_dir):
     """First matches if travels leave the timetable when their departure time has come."""
-    alerts, _ = runs.replay_on_a_clock(spark, sf_dir, parts=2, expiring=True)
+    alerts, _ = runs.replay_on_a_clock(spark, sf_dir, parts=2, expiring=True, tell_changes=False)
     return alerts.filter(F.col("trigger_kind") == S.REQUEST).select("seq", "id", *S.ROUTE, *S.ENTRY_SCHEMA.fieldNames())
 
 

@@ -55,7 +55,7 @@ PACK = 500
 MEMO_ROWS = 100_000
 NO_ENTRY = (None,) * len(S.ENTRY_SCHEMA.fields)
 EPOCH = datetime(1970, 1, 1)
-BUCKETS = 16
+BUCKETS = 64
 
 
 def _millis(time: datetime) -> int:
@@ -317,8 +317,8 @@ class FollowTimetable(StatefulProcessor):
 class MatchRequests(StatefulProcessor):
     """The requests of a shard; messages in order of time where entries expire, else of ``seq``."""
 
-    def __init__(self, by_time: bool = False):
-        self._by_time = by_time
+    def __init__(self, by_time: bool = False, tell_changes: bool = True):
+        self._by_time, self._tell_changes = by_time, tell_changes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._route = _Memo(
@@ -354,7 +354,7 @@ class MatchRequests(StatefulProcessor):
         for row in rows:
             messages.extend([row] if row.changes is None else _unpack(row.changes, key[:2]))
         for message in sorted(messages, key=self._order):
-            for alert in on_request(message, self) if message.kind == S.REQUEST else on_change(message, self):
+            for alert in on_request(message, self) if message.kind == S.REQUEST else on_change(message, self, self._tell_changes):
                 yield ALERT(*alert)
         self._write()
 
@@ -382,7 +382,7 @@ def _shard(shards: int):
 
 def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, *, shards: int,
                  disorder: str | None = None, expiring: bool = False, state: dict[str, DataFrame] | None = None,
-                 every_write: bool = False) -> DataFrame:
+                 every_write: bool = False, tell_changes: bool = True) -> DataFrame:
     """Alerts of a streaming event frame.  Filters run before the state's shuffle.
 
     ``shards`` is the number of tasks the requests of a single route can use.  It is part
@@ -393,6 +393,10 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     their place; without it, arrival order decides across batches.  ``expiring`` needs
     it.  With ``every_write``, the timetable's change feed has every put and delete, at a
     call of the state store each; else what each batch leaves.
+
+    Without ``tell_changes``, only alerts of requests that find a travel on arrival are
+    made; the state is the same.  With ``expiring``, requests of a travel that expired stay
+    active, so the alerts of changes may grow with the square of the stream.
     """
     if expiring and disorder is None:
         raise ValueError("expiring entries need an event-time clock: give disorder")
@@ -419,5 +423,5 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
         of = state["requests"].withColumn("shard", F.when(F.col("id").isNotNull(), F.array(_shard(shards))).otherwise(F.sequence(F.lit(0), F.lit(shards - 1))))
         initial = of.withColumn("shard", F.explode("shard")).groupBy(*S.ROUTE, "shard")
     return messages.groupBy(*S.ROUTE, "shard").transformWithState(
-        MatchRequests(expiring), S.ALERT_SCHEMA, "Append", "None", initialState=initial
+        MatchRequests(expiring, tell_changes), S.ALERT_SCHEMA, "Append", "None", initialState=initial
     )

@@ -129,12 +129,13 @@ def on_request(event, state) -> Iterator[tuple]:
     yield _alert(event, event.id, route.best, None, None)
 
 
-def on_change(change: Change, state) -> Iterator[tuple]:
+def on_change(change: Change, state, tell: bool = True) -> Iterator[tuple]:
+    """Without ``tell``, the state moves on and no alert is made, so active requests are not walked."""
     route = state.route()
     if change.kind == S.EXPIRED:
         state.set_route(route._replace(best=change.best))
     elif change.kind == S.DEPARTURE:
-        for request_id, updates in state.active.items():
+        for request_id, updates in state.active.items() if tell else ():
             last_travel = route.moved_from if updates < route.updates else None
             yield _alert(change, request_id, change.told, last_travel, change.id, S.DEPARTED)
         state.active.clear()
@@ -142,12 +143,13 @@ def on_change(change: Change, state) -> Iterator[tuple]:
     else:
         updates = route.updates + 1
         state.set_route(Route(change.best, updates, change.moved_from))
-        for request_id, _ in state.active.items():
+        for request_id, _ in state.active.items() if tell else ():
             yield _alert(change, request_id, change.told, change.moved_from, change.id)
         if route.best is None:  # only an empty timetable leaves requests waiting
             for request_id, _ in state.early.items():
                 state.active.put(request_id, updates)
-                yield _alert(change, request_id, change.told, None, change.id)
+                if tell:
+                    yield _alert(change, request_id, change.told, None, change.id)
             state.early.clear()
 
 
