@@ -1,9 +1,10 @@
 """The rules as chained stateful Structured Streaming operators.
 
-1. ``HoldBack`` (only if ``disorder`` is given) keeps every event until the watermark
+1. :func:`hold_back` (only if ``disorder`` is given) keeps every event until the watermark
    has passed it.  A batch then lets out exactly the events up to its watermark, so
    sorting within a batch sorts the whole stream, whatever batch a record arrived in.
-   Its key is a hash of the event, so no route can crowd it.
+   It is a built-in aggregation, grouped by the whole event, that counts its copies: no
+   event passes a Python worker for it, and no route or moment can crowd it.
 2. ``FollowTimetable``, per route, holds the timetable, once, and turns updates and
    departures into changes of the best travel.
 3. ``MatchRequests``, per route and shard, holds requests and turns them and the changes
@@ -11,6 +12,10 @@
    affect each other, so ``shards`` splits them by their id, and every shard gets the
    (few) changes of its route, many of them packed in one row.
 
+A row that enters or leaves a stateful operator costs far more than the work on it, so
+events are packed by key before an operator and alerts behind it, in lists of plain
+tuples, by functions on Arrow batches (:func:`_packed_events`, :func:`_unpacked_alerts`).
+
 A call of the state store is a round trip to the JVM.  So what a batch needs of a key's
 state is read once (:class:`_Memo`, :class:`_MapMemo`), and what it leaves is written at
 the end.
@@ -23,12 +28,15 @@ looked at.
 from __future__ import annotations
 
 import pickle
+from collections import namedtuple
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from waycast import schemas as S
@@ -37,7 +45,6 @@ from waycast.operators.streams import apply_lead_time, is_complete
 from waycast.streaming.rules import Change, Entry, Route, expire, follow, on_change, on_request
 
 TEXT_KEY = T.StructType([T.StructField("key", T.StringType())])
-ALERT = Row(*S.ALERT_COLUMNS)
 COUNTER = T.StructType([T.StructField("n", T.LongType())])
 ROUTE_SCHEMA = T.StructType(
     S.ENTRY_SCHEMA.fields
@@ -47,15 +54,22 @@ ROUTE_SCHEMA = T.StructType(
 TIME = "_time"
 EVENT_FIELDS = S.EVENT_SCHEMA.fields
 HELD_SCHEMA = T.StructType([*EVENT_FIELDS, T.StructField(TIME, T.TimestampType())])
+#: How often an event came.
+COPIES = "copies"
 #: Changes on their way to the request shards, ``PACK`` of a route in one row.
 PACK_SCHEMA = T.StructType([*[f for f in EVENT_FIELDS if f.name in S.ROUTE], T.StructField("changes", T.BinaryType())])
 PACKED = Row(*PACK_SCHEMA.fieldNames())
 PACK = 500
+#: Events that a task packs at a time.
+HELD_EVENTS = 50_000
+TIMETABLE_EVENT = namedtuple("TIMETABLE_EVENT", S.EVENT_SCHEMA.fieldNames())
+REQUEST = namedtuple("REQUEST", ["kind", "seq", "ts", "id", *S.ROUTE, "changes"], defaults=[None])
+ALERTS_SCHEMA = T.StructType([T.StructField("alerts", T.BinaryType())])
+ALERTS = Row(*ALERTS_SCHEMA.fieldNames())
 #: A key with more rows than this in a map state is walked in the store and not kept in memory.
 MEMO_ROWS = 100_000
 NO_ENTRY = (None,) * len(S.ENTRY_SCHEMA.fields)
 EPOCH = datetime(1970, 1, 1)
-BUCKETS = 64
 
 
 def _millis(time: datetime) -> int:
@@ -182,47 +196,6 @@ class _MapMemo:
         self.forget()
 
 
-class HoldBack(StatefulProcessor):
-    """Keeps events in a list until the watermark has passed them; one timer per key, for the earliest."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._held = handle.getListState("held", HELD_SCHEMA)
-        self._due = handle.getValueState("due", COUNTER)
-
-    def _hold(self, events: list[tuple]) -> None:
-        if events:
-            self._held.appendList(events)
-            self._set_timer(min(_millis(e[2]) for e in events))
-
-    def _set_timer(self, at: int) -> None:
-        due = self._due.get()[0] if self._due.exists() else None
-        if due is not None and due <= at:
-            return
-        if due is not None:
-            self._handle.deleteTimer(due)
-        self._handle.registerTimer(at)
-        self._due.update((at,))
-
-    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self._hold([tuple(initialState[f] for f in HELD_SCHEMA.fieldNames())])
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        self._hold([tuple(row[f] for f in HELD_SCHEMA.fieldNames()) for row in rows if row.complete])
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(e) for e in self._held.get()]
-        stay = [e for e in held if _millis(e[2]) > passed]
-        self._held.clear()
-        self._due.clear()
-        self._hold(stay)
-        for event in held:
-            if _millis(event[2]) <= passed:
-                yield Row(*HELD_SCHEMA.fieldNames())(*event)
-
-
 class FollowTimetable(StatefulProcessor):
     """The timetable of a route; ``expiring`` entries leave at their departure time.
 
@@ -355,11 +328,93 @@ class MatchRequests(StatefulProcessor):
             messages.extend([row] if row.changes is None else _unpack(row.changes, key[:2]))
         for message in sorted(messages, key=self._order):
             for alert in on_request(message, self) if message.kind == S.REQUEST else on_change(message, self, self._tell_changes):
-                yield ALERT(*alert)
+                yield alert
         self._write()
 
 
-def hold_back(events: DataFrame, disorder: str, buckets: int = BUCKETS, held: DataFrame | None = None) -> DataFrame:
+class FollowPacked(FollowTimetable):
+    """Takes :func:`_packed_events`."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        events = [TIMETABLE_EVENT(*e) for row in rows for e in pickle.loads(row.events)]
+        yield from super().handleInputRows(key, events, timerValues)
+
+
+class MatchPacked(MatchRequests):
+    """Takes requests as :func:`_packed_events` and sends alerts by column, up to ``PACK`` in a row."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        pack = []
+        for alert in super().handleInputRows(key, self._messages(rows), timerValues):
+            pack.append(alert)
+            if len(pack) == PACK:
+                yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
+                pack = []
+        if pack:
+            yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
+
+    @staticmethod
+    def _messages(rows: Iterator[Row]) -> Iterator[Row]:
+        for row in rows:
+            if row.changes is None:
+                yield from (REQUEST(*r) for r in pickle.loads(row.events))
+            else:
+                yield row
+
+
+def _packed_events(events: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """``keys`` and the ``events`` that share them, tuples of ``fields``; several rows a key."""
+    limit = HELD_EVENTS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, held, schema = {}, 0, None
+
+        def packs() -> pa.RecordBatch:
+            columns = [pa.array(c, schema.field(k).type) for c, k in zip(zip(*groups, strict=True), keys, strict=True)]
+            blobs = [pickle.dumps(group, protocol=5) for group in groups.values()]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], names=[*keys, "events"])
+
+        for batch in batches:
+            schema = batch.schema
+            columns = {name: batch.column(name).to_pylist() for name in schema.names}
+            rows = zip(*(columns[f] for f in fields), strict=True)
+            for key, row in zip(zip(*(columns[k] for k in keys), strict=True), rows, strict=True):
+                groups.setdefault(key, []).append(row)
+            held += batch.num_rows
+            if held >= limit:
+                yield packs()
+                groups, held = {}, 0
+        if held:
+            yield packs()
+
+    types = {f.name: f for f in events.schema.fields}
+    out = T.StructType([*(T.StructField(k, types[k].dataType) for k in keys), T.StructField("events", T.BinaryType())])
+    return events.mapInArrow(work, out)
+
+
+def _unpacked_alerts(packed: DataFrame) -> DataFrame:
+    schema, limit = to_arrow_schema(S.ALERT_SCHEMA), HELD_EVENTS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [[] for _ in schema]
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+        for packs in batches:
+            for pack in packs.column("alerts"):
+                for column, values in zip(columns, pickle.loads(pack.as_py()), strict=True):
+                    column.extend(values)
+                if len(columns[0]) >= limit:
+                    yield batch()
+                    columns = [[] for _ in schema]
+        if columns[0]:
+            yield batch()
+
+    return packed.mapInArrow(work, S.ALERT_SCHEMA)
+
+
+def hold_back(events: DataFrame, disorder: str) -> DataFrame:
     """Complete events, let out when the stream is ``disorder`` (an interval) past them.
 
     Rows that are not complete move the clock as well, if they have a time: a clock
@@ -367,13 +422,19 @@ def hold_back(events: DataFrame, disorder: str, buckets: int = BUCKETS, held: Da
     left out; Spark counts them in ``numRowsDroppedByWatermark``.
     """
     timed = events.withColumn(TIME, F.timestamp_micros((times.epoch_seconds(F.col("ts")) * 1000000).cast("bigint")))
-    # a filter would be pushed below the clock, so the operator leaves out what is incomplete
-    ready = timed.withWatermark(TIME, disorder).withColumn("complete", is_complete())
-    bucket = F.pmod(F.xxhash64("seq"), F.lit(buckets)).cast("int").alias("bucket")
-    initial = None if held is None else held.select("*", bucket).groupBy("bucket")
-    return ready.select("*", bucket).groupBy("bucket").transformWithState(
-        HoldBack(), HELD_SCHEMA, "Append", "EventTime", initialState=initial, eventTimeColumnName=TIME
-    )
+    # a filter would be pushed below the clock, so what is incomplete is counted as none
+    ready = timed.withWatermark(TIME, disorder).withColumn("complete", is_complete()).filter(F.col(TIME).isNotNull())
+    held = ready.groupBy(*HELD_SCHEMA.fieldNames()).agg(F.count(F.when(F.col("complete"), 1)).alias(COPIES))
+    return one_row_each(held)
+
+
+def one_row_each(held: DataFrame) -> DataFrame:
+    """Held events as often as they came.
+
+    The columns are those of what is exploded, so that no filter on them is pushed below the clock.
+    """
+    copies = F.array_repeat(F.struct(*S.EVENT_SCHEMA.fieldNames()), F.col(COPIES).cast("int"))
+    return held.select(TIME, F.explode(copies).alias("event")).select("event.*", TIME)
 
 
 def _shard(shards: int):
@@ -387,7 +448,8 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
 
     ``shards`` is the number of tasks the requests of a single route can use.  It is part
     of the state's key: a checkpoint keeps it, and a new one can start from the
-    ``state`` of an old one (``runs.saved_state``) with another.
+    ``state`` of an old one (``runs.saved_state``) with another.  Events the old one held
+    back are a source of the new stream, so it takes them at every restart.
 
     ``disorder`` is how late records may arrive, in event time, and still be taken in
     their place; without it, arrival order decides across batches.  ``expiring`` needs
@@ -401,19 +463,24 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     if expiring and disorder is None:
         raise ValueError("expiring entries need an event-time clock: give disorder")
     state = state or {}
+    if "held" in state:  # held events come once more, with those of the first batch
+        events = events.unionByName(state["held"].select(*events.columns))
     is_request = F.col("kind") == S.REQUEST
 
     def of(kind: Column) -> DataFrame:
         """Both branches read the source; filters reach it."""
         if disorder is None:
             return events.filter(is_complete() & kind)
-        held = state["held"].filter(kind) if "held" in state else None
-        return hold_back(events.filter(F.coalesce(kind, F.lit(True))), disorder, held=held)
+        return hold_back(events.filter(F.coalesce(kind, F.lit(True))), disorder)
 
-    requests = of(is_request).select("kind", "seq", "ts", "id", *S.ROUTE, _shard(shards))
+    requests = _packed_events(of(is_request).select("kind", "seq", "ts", "id", *S.ROUTE, _shard(shards)), [*S.ROUTE, "shard"], [*REQUEST._fields[:-1]])
     timetable = state.get("timetable")
-    changes = apply_lead_time(of(~is_request), min_lead, as_of).groupBy(*S.ROUTE).transformWithState(
-        FollowTimetable(expiring, every_write), PACK_SCHEMA, "Append", "EventTime" if expiring else "None",
+    timed = apply_lead_time(of(~is_request), min_lead, as_of)
+    if not expiring:  # packs have no time of their own, which timers ask for
+        timed = _packed_events(timed.select(*TIMETABLE_EVENT._fields), S.ROUTE, [*TIMETABLE_EVENT._fields])
+    follow = FollowTimetable if expiring else FollowPacked
+    changes = timed.groupBy(*S.ROUTE).transformWithState(
+        follow(expiring, every_write), PACK_SCHEMA, "Append", "EventTime" if expiring else "None",
         initialState=None if timetable is None else timetable.groupBy(*S.ROUTE),
     )
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
@@ -422,6 +489,6 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     if "requests" in state:
         of = state["requests"].withColumn("shard", F.when(F.col("id").isNotNull(), F.array(_shard(shards))).otherwise(F.sequence(F.lit(0), F.lit(shards - 1))))
         initial = of.withColumn("shard", F.explode("shard")).groupBy(*S.ROUTE, "shard")
-    return messages.groupBy(*S.ROUTE, "shard").transformWithState(
-        MatchRequests(expiring, tell_changes), S.ALERT_SCHEMA, "Append", "None", initialState=initial
-    )
+    return _unpacked_alerts(messages.groupBy(*S.ROUTE, "shard").transformWithState(
+        MatchPacked(expiring, tell_changes), ALERTS_SCHEMA, "Append", "None", initialState=initial
+    ))
