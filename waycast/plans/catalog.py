@@ -23,6 +23,9 @@ from waycast.streaming import runs
 # Point in time for as-of questions: about half of the events lie before it.
 AS_OF = "2024-01-16 00:00:00"
 
+# Values that hold the state of many small routes.
+PAGES = 4096
+
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
@@ -530,7 +533,7 @@ def stream_active_state(spark, sf_dir):
 
 @query
 def stream_early_state(spark, sf_dir):
-    _, checkpoint = runs.replay_table(spark, sf_dir, routes="daily")
+    _, checkpoint = runs.replay_table(spark, sf_dir, routes="daily", pages=PAGES)
     return runs.read_early(spark, checkpoint)
 
 

@@ -12,6 +12,10 @@
    affect each other, so ``shards`` splits them by their id, and every shard gets the
    (few) changes of its route, many of them packed in one row.
 
+With ``pages``, steps 2 and 3 are one operator (:class:`KeepPages`) for streams of many small
+routes: a page is all routes of a hash, with both halves of their state in one value, so
+the calls of the state store are as many as pages and not as routes.
+
 A row that enters or leaves a stateful operator costs far more than the work on it, so
 events are packed by key before an operator and alerts behind it, in lists of plain
 tuples, by functions on Arrow batches (:func:`_packed_events`, :func:`_unpacked_alerts`).
@@ -42,7 +46,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from waycast import schemas as S
 from waycast.functions import times
 from waycast.operators.streams import apply_lead_time, is_complete
-from waycast.streaming.rules import Change, Entry, Route, expire, follow, on_change, on_request
+from waycast.streaming.rules import Change, DictMap, DictState, Entry, Route, apply, expire, follow, on_change, on_request
 
 TEXT_KEY = T.StructType([T.StructField("key", T.StringType())])
 COUNTER = T.StructType([T.StructField("n", T.LongType())])
@@ -66,6 +70,7 @@ TIMETABLE_EVENT = namedtuple("TIMETABLE_EVENT", S.EVENT_SCHEMA.fieldNames())
 REQUEST = namedtuple("REQUEST", ["kind", "seq", "ts", "id", *S.ROUTE, "changes"], defaults=[None])
 ALERTS_SCHEMA = T.StructType([T.StructField("alerts", T.BinaryType())])
 ALERTS = Row(*ALERTS_SCHEMA.fieldNames())
+PAGE_SCHEMA = T.StructType([T.StructField("routes", T.BinaryType())])
 #: A key with more rows than this in a map state is walked in the store and not kept in memory.
 MEMO_ROWS = 100_000
 NO_ENTRY = (None,) * len(S.ENTRY_SCHEMA.fields)
@@ -344,14 +349,7 @@ class MatchPacked(MatchRequests):
     """Takes requests as :func:`_packed_events` and sends alerts by column, up to ``PACK`` in a row."""
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        pack = []
-        for alert in super().handleInputRows(key, self._messages(rows), timerValues):
-            pack.append(alert)
-            if len(pack) == PACK:
-                yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
-                pack = []
-        if pack:
-            yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
+        return _alert_packs(super().handleInputRows(key, self._messages(rows), timerValues))
 
     @staticmethod
     def _messages(rows: Iterator[Row]) -> Iterator[Row]:
@@ -362,6 +360,100 @@ class MatchPacked(MatchRequests):
                 yield row
 
 
+class KeepPages(StatefulProcessor):
+    """All routes of a page: a value with the bytes of each route that has anything left.
+
+    A batch reads and writes the pages it has events of, and unpacks the routes it has
+    events of.  One route is worked on by one task and lies in one value, so this is for
+    routes of a bounded number of requests.
+    """
+
+    def __init__(self, tell_changes: bool = True):
+        self._tell_changes = tell_changes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._page = handle.getValueState("page", PAGE_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        stored = self._page.get()
+        page, states = {} if stored is None else pickle.loads(stored[0]), {}
+        events = [TIMETABLE_EVENT(*e) for row in rows for e in pickle.loads(row.events)]
+        yield from _alert_packs(self._alerts(sorted(events, key=lambda e: e.seq), page, states))
+        for route, state in states.items():
+            if state.timetable or state.active or state.early:
+                page[route] = _pack_route(state)
+            else:  # what it counted and moved from concerns nobody
+                page.pop(route, None)
+        if page:
+            self._page.update((pickle.dumps(page, protocol=5),))
+        elif stored is not None:
+            self._page.clear()
+
+    def _alerts(self, events: list[tuple], page: dict, states: dict) -> Iterator[tuple]:
+        for event in events:
+            route = event.departure_location, event.arrival_location
+            if route not in states:
+                states[route] = _unpack_route(page[route]) if route in page else DictState()
+            yield from apply(event, states[route], self._tell_changes)
+
+
+def _pack_route(state: DictState) -> bytes:
+    """Plain values; without expiry, the best entry of both halves is the same and one of the timetable."""
+    best, (_, updates, moved_from) = state.best(), state.route()
+    timetable = {travel: tuple(entry) for travel, entry in state.timetable.items()}
+    return pickle.dumps((timetable, best and best.travel_id, updates, moved_from, dict(state.active), dict(state.early)), protocol=5)
+
+
+def _unpack_route(packed: bytes) -> DictState:
+    timetable, best, updates, moved_from, active, early = pickle.loads(packed)
+    state = DictState()
+    state.timetable = DictMap((travel, Entry(*entry)) for travel, entry in timetable.items())
+    state.active, state.early = DictMap(active), DictMap(early)
+    state.set_best(best and state.timetable[best])
+    state.set_route(Route(state.best(), updates, moved_from))
+    return state
+
+
+def page_rows(pages: DataFrame, what: str) -> DataFrame:
+    """``timetable``, ``active`` or ``early`` of all routes from column ``routes``, the values of :class:`KeepPages`."""
+    text, number = T.StringType(), T.LongType()
+    entry = [(f.name, f.dataType) for f in S.ENTRY_SCHEMA.fields]
+    route = [(c, text) for c in S.ROUTE]
+    columns = {"timetable": [*route, *entry], "active": [("id", text), *route, *entry, ("last_travel_id", text)],
+               "early": [("id", text), *route, ("seq", number)]}[what]
+    schema = T.StructType([T.StructField(*c) for c in columns])
+    arrow = to_arrow_schema(schema)
+
+    def rows_of(key: tuple[str, str], packed: bytes) -> Iterator[tuple]:
+        timetable, best, updates, moved_from, active, early = pickle.loads(packed)
+        if what == "timetable":
+            return ((*key, *e) for e in timetable.values())
+        if what == "early":
+            return ((i, *key, seq) for i, seq in early.items())
+        told = timetable[best] if best else NO_ENTRY
+        return ((i, *key, *told, moved_from if n < updates else None) for i, n in active.items())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.column("routes"):
+                rows = [row for key, packed in pickle.loads(page.as_py()).items() for row in rows_of(key, packed)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+
+    return pages.select("routes").mapInArrow(work, schema)
+
+
+def _alert_packs(alerts: Iterator[tuple]) -> Iterator[Row]:
+    pack = []
+    for alert in alerts:
+        pack.append(alert)
+        if len(pack) == PACK:
+            yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
+            pack = []
+    if pack:
+        yield ALERTS(pickle.dumps([*zip(*pack, strict=True)], protocol=5))
+
+
 def _packed_events(events: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """``keys`` and the ``events`` that share them, tuples of ``fields``; several rows a key."""
     limit = HELD_EVENTS
@@ -443,7 +535,7 @@ def _shard(shards: int):
 
 def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, as_of=None, *, shards: int,
                  disorder: str | None = None, expiring: bool = False, state: dict[str, DataFrame] | None = None,
-                 every_write: bool = False, tell_changes: bool = True) -> DataFrame:
+                 every_write: bool = False, tell_changes: bool = True, pages: int | None = None) -> DataFrame:
     """Alerts of a streaming event frame.  Filters run before the state's shuffle.
 
     ``shards`` is the number of tasks the requests of a single route can use.  It is part
@@ -459,7 +551,13 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
     Without ``tell_changes``, only alerts of requests that find a travel on arrival are
     made; the state is the same.  With ``expiring``, requests of a travel that expired stay
     active, so the alerts of changes may grow with the square of the stream.
+
+    ``pages`` is for many small routes: their state lies in that many values, fixed by the
+    checkpoint, and ``shards`` has no use.  A value grows with the routes of its page, and a
+    batch rewrites the pages it has events of.
     """
+    if pages is not None and (expiring or every_write or state):
+        raise ValueError("pages keep no timers, no feed of every write, and start empty")
     if expiring and disorder is None:
         raise ValueError("expiring entries need an event-time clock: give disorder")
     state = state or {}
@@ -473,6 +571,12 @@ def match_stream(events: DataFrame, min_lead: int | None = S.MIN_LEAD_MINUTES, a
             return events.filter(is_complete() & kind)
         return hold_back(events.filter(F.coalesce(kind, F.lit(True))), disorder)
 
+    if pages is not None:
+        rows = of(is_request).unionByName(apply_lead_time(of(~is_request), min_lead, as_of)).select(
+            *TIMETABLE_EVENT._fields, F.pmod(F.xxhash64(*S.ROUTE), F.lit(pages)).cast("int").alias("page"))
+        return _unpacked_alerts(_packed_events(rows, ["page"], [*TIMETABLE_EVENT._fields]).groupBy("page").transformWithState(
+            KeepPages(tell_changes), ALERTS_SCHEMA, "Append", "None"
+        ))
     requests = _packed_events(of(is_request).select("kind", "seq", "ts", "id", *S.ROUTE, _shard(shards)), [*S.ROUTE, "shard"], [*REQUEST._fields[:-1]])
     timetable = state.get("timetable")
     timed = apply_lead_time(of(~is_request), min_lead, as_of)

@@ -153,12 +153,12 @@ def on_change(change: Change, state, tell: bool = True) -> Iterator[tuple]:
             state.early.clear()
 
 
-def apply(event, state) -> Iterator[tuple]:
+def apply(event, state, tell: bool = True) -> Iterator[tuple]:
     """Alerts of one event on a state with both halves, as tuples in the order of the alert columns."""
     if event.kind == S.REQUEST:
         return on_request(event, state)
     change = follow(event, state)
-    return iter(()) if change is None else on_change(change, state)
+    return iter(()) if change is None else on_change(change, state, tell)
 
 
 class DictMap(dict):
