@@ -37,15 +37,26 @@ GROUP = [*ROUTE, "chunk"]
 
 @dataclass
 class ChunkedEvents:
-    """Events with ``chunk`` and ``last_chunk``; ``grid`` has a row per chunk of every cut route."""
+    """Events with ``chunk`` and ``last_chunk``; ``grid`` has a row per chunk of every cut route, ``ranges`` is their number."""
 
     events: DataFrame
     grid: DataFrame | None = None
+    ranges: int = 0
 
     @property
     def is_cut(self) -> bool:
         return self.grid is not None
 
+    def dealt(self, frame: DataFrame) -> DataFrame:
+        """Rows with their chunk, for windows by chunk: in a partition per range, if the session's number is less.
+
+        A window sorts its whole partition, so a fixed number of them would need memory
+        with the size of the input.
+        """
+        if self.ranges <= int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            return frame
+        return frame.repartition(self.ranges, *GROUP)
+
     def cut_only(self, frame: DataFrame) -> DataFrame:
         return frame.filter(F.col("last_chunk") > 0)
 
@@ -81,7 +92,7 @@ def cut_into_chunks(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK,
         F.coalesce("_length", zero).alias("last_chunk"),
     )
     return ChunkedEvents(numbered, grid.select(
-        *ROUTE, F.col("_length").alias("last_chunk"), (F.col("_range") - F.col("_first")).alias("chunk")))
+        *ROUTE, F.col("_length").alias("last_chunk"), (F.col("_range") - F.col("_first")).alias("chunk")), ranges)
 
 
 def first_row_of_next_chunk(frame: DataFrame, keys: list[str], order: str) -> DataFrame:

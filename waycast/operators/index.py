@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from waycast import schemas as S
 from waycast.operators import snapshots, timetable
-from waycast.operators.chunks import GROUP, first_row_of_next_chunk
+from waycast.operators.chunks import GROUP, ROWS_PER_CHUNK, first_row_of_next_chunk
 from waycast.operators.matching import History
+from waycast.session import staged
 
 COLUMNS = [*S.ROUTE, "item", "travel_id", "from_seq", "to_seq"]
 SCHEMA = "state string, departure_location string, arrival_location string, item string, travel_id string, from_seq long, to_seq long, block long"
@@ -32,7 +33,7 @@ def _best(history: History) -> DataFrame:
     if history.cut.is_cut:
         rows = rows.unionByName(first_row_of_next_chunk(history.cut.cut_only(rows), S.ROUTE, "seq"), allowMissingColumns=True)
     until = F.lead("seq").over(Window.partitionBy(*GROUP).orderBy("seq"))
-    return rows.withColumn("to_seq", until).filter("own and travel_id is not null").withColumnRenamed("seq", "from_seq")
+    return history.cut.dealt(rows).withColumn("to_seq", until).filter("own and travel_id is not null").withColumnRenamed("seq", "from_seq")
 
 
 def spans(history: History) -> DataFrame:
@@ -53,7 +54,10 @@ def spans(history: History) -> DataFrame:
 
 def build(history: History, path: str, every: int = 100_000) -> None:
     """Writes the index of ``history`` to the new folder ``path``, one folder per block of ``every`` numbers."""
-    rows = spans(history)
+    # computed once; the sort by block then runs apart from the sorts of the windows, in tasks of a bounded number of rows
+    rows = staged(spans(history), "spans")
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_PER_CHUNK)
+    rows = rows.repartition(tasks, "state", "from_seq")
     newest = rows.agg(F.max(F.greatest("from_seq", F.coalesce("to_seq", "from_seq")))).first()[0]
     block = F.expr(f"from_seq div {every}")
     last = F.when(F.col("to_seq").isNull(), F.lit(newest)).otherwise(F.col("to_seq") - 1)

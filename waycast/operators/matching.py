@@ -78,7 +78,7 @@ def trace(events: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, count_from: D
     # every user of the result, so that Spark runs that shuffle once.
     earlier = Window.partitionBy(*GROUP).orderBy("seq", "ts").rowsBetween(Window.unboundedPreceding, -1)
     same_request = Window.partitionBy(*GROUP, "id").orderBy("seq", "ts")
-    found = rows.select(
+    found = cut.dealt(rows).select(
         *GROUP, "seq", "ts", "id", "announced",
         F.last("state", ignorenulls=True).over(earlier).alias("found"),
         F.lead("seq").over(same_request).alias("replaced_at"),

@@ -140,7 +140,7 @@ def best_timeline(cut: ChunkedEvents) -> DataFrame:
     kinds = [fields["entry"], fields["entry"], T.LongType(), T.LongType(), T.StringType()]
     out = T.StructType([T.StructField(c, fields[c]) for c in [*GROUP, *PAYLOAD]]
                        + [T.StructField(c, t) for c, t in zip(ADDED, kinds, strict=True)])
-    timeline = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "seq").mapInArrow(best_around, out)
+    timeline = cut.dealt(rows.repartition(*GROUP)).sortWithinPartitions(*GROUP, "seq").mapInArrow(best_around, out)
     # Spark cannot know what the function returns.  Stating that routes are set
     # gives every user of the timeline the same plan, so shuffles above it are shared.
     return timeline.filter(F.col("departure_location").isNotNull() & F.col("arrival_location").isNotNull())

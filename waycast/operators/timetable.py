@@ -57,7 +57,7 @@ def intervals(cut: ChunkedEvents) -> DataFrame:
             first_row_of_next_chunk(cut.cut_only(changes), TRAVEL, "seq"), allowMissingColumns=True
         )
     by_travel = Window.partitionBy(*GROUP, "travel_id").orderBy("seq")
-    return changes.withColumn("valid_to", F.lead("seq").over(by_travel)).filter(is_update()).select(
+    return cut.dealt(changes).withColumn("valid_to", F.lead("seq").over(by_travel)).filter(is_update()).select(
         *TRAVEL, F.col("id").alias("update_id"), *TIMES, F.col("seq").alias("valid_from"), "valid_to"
     )
 
