@@ -102,3 +102,15 @@ def test_groups_fit_the_budget():
 
 def test_nothing_to_do(spark):
     assert phrases.collocations(phrases.count(spark.createDataFrame([], "text string, lang string"))).collect() == []
+
+
+def test_only_suffixes_with_a_frequent_triple_are_sent(spark, monkeypatch):
+    sent, leaves = [], phrases._leaves
+    monkeypatch.setattr(phrases, "_leaves", lambda *a: sent.append(leaves(*a)) or sent[-1])
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choice(["ab", "cd", "ef", "gh", "ij", "kl"]) for _ in range(20)), "en") for _ in range(100)] + [("one two three", "en")] * 40
+    counts = phrases.count(spark.createDataFrame(rows, "text string, lang string").repartition(3), min_count=30)
+    f, _ = brute_counts(rows, 5)
+    assert {(r.lang, tuple(r.key.split("\0"))): r.f for r in counts.phrases.collect()} == {k: a for k, a in f.items() if a >= 30}
+    assert {bytes(r.key) for r in sent[0].collect()} == {b"one\0two\0three"}
+    assert sum(len(w) == 2 and a >= 30 for (_, w), a in f.items()) > 30

@@ -6,11 +6,12 @@ all suffixes has a node per phrase; the leaves below it hold the phrase's count.
 never built whole, but in groups, by vertical partitioning:
 
 1. Prefixes.  A scan counts words, a second one pairs of words that are both frequent
-   (``min_count`` occurrences).  Each leaves a bit map of the hashes that are frequent, of
-   ``WORD_BITS`` and ``PAIR_BITS`` bits, whatever the input; a bit that two hashes share
-   costs work and no result.  A suffix is cut before the first pair that is not frequent,
-   since no frequent phrase goes on there; one that is cut to a word was counted as such.
-2. Groups.  A third scan counts suffixes by slots: by the hash of the first word, of the
+   (``min_count`` occurrences), a third one the hashes of triples whose pairs both are.
+   Each leaves a bit map of the hashes that are frequent, of ``WORD_BITS``, ``PAIR_BITS``
+   and ``TRIPLE_BITS`` bits, whatever the input; a bit that two hashes share costs work and
+   no result.  A suffix is cut before the first triple that is not frequent, since no
+   frequent phrase goes on there; one that is cut to a word or a pair was counted as such.
+2. Groups.  A fourth scan counts suffixes by slots: by the hash of the first word, of the
    first two words, and so on.  A suffix belongs to its first slot of no more than
    ``budget`` suffixes, so the prefixes are as short as the budget allows.  Slots are
    packed into groups of at most ``budget`` suffixes, first-fit by falling size; a slot
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 
 from waycast.llm.common import partitions, ragged, slices, staged
 
-WORD_BITS, PAIR_BITS = 1 << 23, 1 << 26
+WORD_BITS, PAIR_BITS, TRIPLE_BITS = 1 << 23, 1 << 26, 1 << 26
 SLOTS = 1 << 12
 BUDGET = 1 << 16
 #: Texts are cut into parts of about this many bytes, between pieces.
@@ -182,20 +183,25 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "lang string, key binary, f long").groupBy("lang", "key").agg(F.sum("f").alias("f"))
 
 
-def _with_hash(words: DataFrame) -> DataFrame:
-    """(h) of frequent words."""
+def _with_hash(phrases: DataFrame) -> DataFrame:
+    """(h) of phrases with equal numbers of words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.array([xxhash.xxh3_64_intdigest(k + b"\0") for k in batch.column("key").to_pylist()], np.uint64)
+            if not batch.num_rows:
+                continue
             of = np.array([xxhash.xxh3_64_intdigest(x) for x in batch.column("lang").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(_mixed(own * _MUL + of).view(np.int64))], names=["h"])
+            h = None
+            for words in zip(*(k.split(b"\0") for k in batch.column("key").to_pylist()), strict=True):
+                own = _mixed(np.array([xxhash.xxh3_64_intdigest(w + b"\0") for w in words], np.uint64) * _MUL + of)
+                h = own if h is None else _followed(h, own)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    return words.select("lang", "key").mapInArrow(work, "h long")
+    return phrases.select("lang", "key").mapInArrow(work, "h long")
 
 
-def _pairs(rows: DataFrame, word_bits: _Bits, min_count: int) -> DataFrame:
-    """(h) of frequent pairs of words: the lower half of the hash, since pairs that share it only cost work."""
+def _pair_counts(rows: DataFrame, word_bits: _Bits) -> DataFrame:
+    """(lang, key, f) of all pairs of frequent words."""
     known = rows.sparkSession.sparkContext.broadcast(word_bits.words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +210,24 @@ def _pairs(rows: DataFrame, word_bits: _Bits, min_count: int) -> DataFrame:
             if words is None:
                 continue
             at = _paired(words, bits)
-            values, n = np.unique(_followed(words.hashes[at], words.hashes[at + 1]) & np.uint64(0xFFFFFFFF), return_counts=True)
+            first, key, n = _combined(words, at, 2)
+            lang = pa.array(words.langs, pa.string()).take(pa.array(words.lang[at[first]]))
+            yield pa.RecordBatch.from_arrays([lang, key, pa.array(n)], names=["lang", "key", "f"])
+
+    return rows.mapInArrow(work, "lang string, key binary, f long").groupBy("lang", "key").agg(F.sum("f").alias("f"))
+
+
+def _triples(rows: DataFrame, bits: tuple[_Bits, _Bits], min_count: int) -> DataFrame:
+    """(h) of frequent triples of words: the lower half of the hash, since triples that share it only cost work."""
+    known = rows.sparkSession.sparkContext.broadcast([b.words for b in bits])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = [_Bits(b) for b in known.value]
+        for words in map(_words, _parts(batches)):
+            if words is None:
+                continue
+            _, h = _tripled(words, *of)
+            values, n = np.unique(h & np.uint64(0xFFFFFFFF), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     return rows.mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h")
@@ -225,15 +248,26 @@ def _paired(words: _Words, word_bits: _Bits) -> np.ndarray:
     return np.flatnonzero(ok[:-1] & ok[1:] & ~words.last[:-1])
 
 
-def _suffixes(words: _Words, word_bits: _Bits, pair_bits: _Bits, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a suffix of two words or more begins, and how many words it has before a pair that is not frequent."""
+def _tripled(words: _Words, word_bits: _Bits, pair_bits: _Bits) -> tuple[np.ndarray, np.ndarray]:
+    """Places of frequent pairs with a frequent one from their second word on, and the hashes of these triples."""
+    at = _paired(words, word_bits)
+    h = _followed(words.hashes[at], words.hashes[at + 1])
+    ok = pair_bits.has(h)
+    at, h = at[ok], h[ok]
+    next_too = np.flatnonzero(at[1:] == at[:-1] + 1)
+    at = at[next_too]
+    return at, _followed(h[next_too], words.hashes[at + 2])
+
+
+def _suffixes(words: _Words, word_bits: _Bits, pair_bits: _Bits, triple_bits: _Bits, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a suffix of three words or more begins, and how many words it has before a triple that is not frequent."""
     n = len(words.starts)
     go_on = np.zeros(n, bool)
-    at = _paired(words, word_bits)
-    go_on[at] = pair_bits.has(_followed(words.hashes[at], words.hashes[at + 1]))
+    at, h = _tripled(words, word_bits, pair_bits)
+    go_on[at] = triple_bits.has(h)
     stop = np.flatnonzero(~go_on)
-    long = np.minimum(stop[np.searchsorted(stop, np.arange(n))] - np.arange(n) + 1, depth)
-    at = np.flatnonzero(long > 1)
+    long = np.minimum(stop[np.searchsorted(stop, np.arange(n))] - np.arange(n) + 2, depth)
+    at = np.flatnonzero(long > 2)
     return at, long[at]
 
 
@@ -270,7 +304,7 @@ def _packed(sizes: np.ndarray, budget: int) -> np.ndarray:
     return group
 
 
-def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits, _Bits], depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Whether a slot is crowded, and the group of each slot."""
     known = rows.sparkSession.sparkContext.broadcast([b.words for b in bits])
 
@@ -291,7 +325,7 @@ def _partitioned(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, budget:
     return crowded, _packed(np.where(crowded & (np.arange(len(sizes)) < (depth - 1) * SLOTS), 0, sizes), budget)
 
 
-def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: np.ndarray, groups: np.ndarray) -> DataFrame:
+def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits, _Bits], depth: int, crowded: np.ndarray, groups: np.ndarray) -> DataFrame:
     """(group, shared, lang, key, n): suffixes, and the words that their beginnings may share with other groups."""
     known = rows.sparkSession.sparkContext.broadcast(([b.words for b in bits], crowded, groups))
     names = ["group", "shared", "lang", "key"]
@@ -324,7 +358,7 @@ def _leaves(rows: DataFrame, bits: tuple[_Bits, _Bits], depth: int, crowded: np.
 
 
 def _nodes(leaves: DataFrame, min_count: int) -> DataFrame:
-    """(lang, key, f, whole): the nodes of two words or more of each group's subtree; those that are ``whole`` are frequent."""
+    """(lang, key, f, whole): the nodes of three words or more of each group's subtree; those that are ``whole`` are frequent."""
     schema = pa.schema([("lang", pa.string()), ("key", pa.binary()), ("f", pa.int64()), ("whole", pa.bool_())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +370,7 @@ def _nodes(leaves: DataFrame, min_count: int) -> DataFrame:
                 n, d = totals.pop(), len(path)
                 if totals:
                     totals[-1] += n
-                if d > 1 and (d <= shared or n >= min_count):
+                if d > 2 and (d <= shared or n >= min_count):
                     out.append((under[1], b"\0".join(path), n, d > shared))
                 path.pop()
 
@@ -387,11 +421,13 @@ def count(docs: DataFrame, depth: int = 5, min_count: int = 100, budget: int = B
     empty = F.octet_length("key") == 0
     frequent = words.where(~empty)
     word_bits = _Bits.of(_with_hash(frequent), WORD_BITS)
-    bits = word_bits, _Bits.of(_pairs(rows, word_bits, min_count), PAIR_BITS)
+    pairs = staged(_pair_counts(rows, word_bits).where(F.col("f") >= min_count), "phrase-pairs")
+    bits = word_bits, _Bits.of(_with_hash(pairs), PAIR_BITS)
+    bits = *bits, _Bits.of(_triples(rows, bits, min_count), TRIPLE_BITS)
     crowded, groups = _partitioned(rows, bits, depth, budget)
     nodes = staged(_nodes(_leaves(rows, bits, depth, crowded, groups), min_count), "phrase-nodes")
     parts = nodes.where("not whole").groupBy("lang", "key").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
-    every = frequent.select("lang", "key", "f").unionByName(nodes.where("whole").select("lang", "key", "f")).unionByName(parts)
+    every = frequent.unionByName(pairs.where(F.lit(depth > 1))).select("lang", "key", "f").unionByName(nodes.where("whole").select("lang", "key", "f")).unionByName(parts)
     phrases = staged(every.select("lang", F.col("key").cast("string").alias("key"), "f"), "phrase-counts")
     return Counts(phrases, words.where(empty).select("lang", F.col("f").alias("n")), depth)
 
