@@ -114,3 +114,8 @@ def test_only_suffixes_with_a_frequent_triple_are_sent(spark, monkeypatch):
     assert {(r.lang, tuple(r.key.split("\0"))): r.f for r in counts.phrases.collect()} == {k: a for k, a in f.items() if a >= 30}
     assert {bytes(r.key) for r in sent[0].collect()} == {b"one\0two\0three"}
     assert sum(len(w) == 2 and a >= 30 for (_, w), a in f.items()) > 30
+
+
+def test_words_alone(spark):
+    counts = phrases.count(spark.createDataFrame([("a b a b", "en")], "text string, lang string"), depth=1, min_count=2)
+    assert {(r.lang, r.key, r.f) for r in counts.phrases.collect()} == {("en", "a", 2), ("en", "b", 2)}
